@@ -15,9 +15,14 @@ FIRST_YEAR = 1900
 LAST_DECADE = 11
 
 
+def words(text: Column) -> Column:
+    """Maximal runs of letters, in order."""
+    return F.array_remove(F.split(text, SEPARATORS), "")
+
+
 def tokens(text: Column, stop_words: Iterable[str] | None = None) -> Column:
-    """Lower-cased maximal runs of letters, in order."""
-    found = F.array_remove(F.split(F.lower(text), SEPARATORS), "")
+    """Lower-cased words, in order."""
+    found = words(F.lower(text))
     if stop_words:
         dropped = list(stop_words)
         found = F.filter(found, lambda t: ~t.isin(dropped))
