@@ -150,16 +150,12 @@ def text_token_events(documents: DataFrame, order: int = ORDER) -> DataFrame:
     of each n-gram that holds it.
     """
     decade = decade_of(F.col("year"))
-    split = documents.where(legal_decade(decade)).select(
-        decade.alias("decade"), tokens(F.col("text")).alias("t")
-    )
-    sized = split.select("decade", "t", F.size("t").alias("length"))
-    rows = sized.select("decade", "length", F.posexplode("t").alias("place", "w"))
+    rows = slices(documents.where(legal_decade(decade)), 1)
     place, length = F.col("place"), F.col("length")
     partners = F.least(length, F.lit(order)) - 1
     return rows.select(
-        "decade",
-        "w",
+        decade.alias("decade"),
+        F.col("t0").alias("w"),
         (_shared_ngrams(place, place, length, order) * partners).alias("paired"),
         F.when(length == 1, 1).otherwise(0).cast("bigint").alias("single"),
     )
@@ -170,7 +166,10 @@ def token_events(
 ) -> DataFrame:
     """`text_token_events` for an n-gram table."""
     sized = _tokenized(counts, stop_words).withColumn("length", F.size("t"))
-    rows = sized.select("decade", "weight", "length", F.posexplode("t").alias("place", "w"))
+    # A slice, not the column: for a bare column Spark adds a test that it is not empty
+    # and moves it below, where the text would be split a second time.
+    each = F.posexplode(F.slice("t", 1, F.col("length")))
+    rows = sized.select("decade", "weight", "length", each.alias("place", "w"))
     length = F.col("length")
     partners = length - 1
     if pairing == "center":

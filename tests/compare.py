@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import glob
-import math
 import os
 
 import duckdb
@@ -18,34 +17,42 @@ def connect(sf: str):
     return con
 
 
-def _plain(value):
-    if isinstance(value, float):
-        return "nan" if math.isnan(value) else round(value, 6) + 0.0
-    if hasattr(value, "tzinfo") and value.tzinfo is not None:
-        return value.replace(tzinfo=None)
-    return value
+def _columns(con, relation: str) -> dict[str, str]:
+    return {r[0]: r[1] for r in con.execute(f"DESCRIBE {relation}").fetchall()}
 
 
-def _order(row):
-    return tuple((v is None, str(type(v)), v if v is not None else 0) for v in row)
-
-
-def rows_of(frame, names):
-    """Sorted rows of a pandas frame over `names`, nulls as None."""
-    columns = [frame[n].astype(object).where(frame[n].notna(), None).tolist() for n in names]
-    return sorted((tuple(_plain(v) for v in row) for row in zip(*columns)), key=_order)
+def _read(columns: dict[str, str]) -> str:
+    """Select list: columns by name, doubles to six decimals, times without zone."""
+    items = []
+    for name, kind in sorted(columns.items()):
+        quoted = f'"{name}"'
+        if kind == "DOUBLE":
+            quoted = f"round({quoted}, 6) + 0.0"
+        elif kind.startswith("TIMESTAMP"):
+            quoted = f"CAST({quoted} AS TIMESTAMP)"
+        items.append(f'{quoted} AS "{name}"')
+    return ", ".join(items)
 
 
 def difference(df, con, sql: str) -> str | None:
-    """None if equal, else what differs."""
-    ours = df.toPandas()
-    theirs = con.execute(sql).df()
-    names = sorted(ours.columns)
-    if names != sorted(theirs.columns):
-        return f"columns {names} / {sorted(theirs.columns)}"
-    if len(ours) != len(theirs):
-        return f"rows {len(ours)} / {len(theirs)}"
-    for a, b in zip(rows_of(ours, names), rows_of(theirs, names)):
-        if a != b:
-            return f"first difference {a} / {b}"
+    """None if both give the same rows, else what differs."""
+    con.register("arrow_rows", df.toArrow())
+    con.execute("CREATE OR REPLACE TEMP TABLE ours AS SELECT * FROM arrow_rows")
+    con.execute(f"CREATE OR REPLACE TEMP TABLE theirs AS {sql}")
+    ours, theirs = _columns(con, "ours"), _columns(con, "theirs")
+    if sorted(ours) != sorted(theirs):
+        return f"columns {sorted(ours)} / {sorted(theirs)}"
+    kinds = {n: (ours[n], theirs[n]) for n in ours if ours[n] != theirs[n]}
+    kinds = {n: k for n, k in kinds.items() if not all(t.startswith("TIMESTAMP") for t in k)}
+    if kinds:
+        return f"types {kinds}"
+    sizes = [con.execute(f"SELECT count(*) FROM {t}").fetchall()[0][0] for t in ("ours", "theirs")]
+    if sizes[0] != sizes[1]:
+        return f"rows {sizes}"
+    read = _read(ours)
+    for a, b in (("ours", "theirs"), ("theirs", "ours")):
+        extra = f"SELECT {read} FROM {a} EXCEPT ALL SELECT {read} FROM {b}"
+        found = con.execute(f"SELECT * FROM ({extra}) LIMIT 3").fetchall()
+        if found:
+            return f"only in {a}: {found}"
     return None
