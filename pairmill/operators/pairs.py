@@ -107,24 +107,19 @@ def pair_stats(
     )
 
 
-def stage_record_counts(
-    pairs: DataFrame, singles: DataFrame, marginals: DataFrame, stats: DataFrame
-) -> DataFrame:
+def stage_record_counts(stats: DataFrame, singles: DataFrame, marginals: DataFrame) -> DataFrame:
     """Records handed on by stages 2 to 5 of the counting flow, per decade and stage.
 
     With P pairs, S one-word rows and W words in the decade, and one total row:
     stage 2 hands on 2P+S+1, stage 3 2P+W+1, stage 4 2P+1, and stage 5 the pairs
-    whose two word weights are positive.
+    whose two word weights are positive. `stats` must hold every pair.
     """
-
-    def count(df, name):
-        return df.groupBy("decade").agg(F.count(F.lit(1)).alias(name))
-
-    scored = stats.where("c_w1 > 0 AND c_w2 > 0")
-    # Four tables of at most twelve rows.
-    sizes = count(pairs, "p")
-    for part in (count(singles, "s"), count(marginals, "w"), count(scored, "k")):
-        sizes = sizes.join(part, "decade", "full")
-    sizes = sizes.na.fill(0)
+    of_pairs = stats.groupBy("decade").agg(
+        F.count(F.lit(1)).alias("p"), F.count_if((F.col("c_w1") > 0) & (F.col("c_w2") > 0)).alias("k")
+    )
+    of_singles = singles.groupBy("decade").agg(F.count(F.lit(1)).alias("s"))
+    of_words = marginals.groupBy("decade").agg(F.count(F.lit(1)).alias("w"))
+    # Three tables of at most twelve rows.
+    sizes = of_pairs.join(of_singles, "decade", "full").join(of_words, "decade", "full").na.fill(0)
     stages = F.expr("stack(4, 2, 2*p+s+1, 3, 2*p+w+1, 4, 2*p+1, 5, k)")
     return sizes.select("decade", stages.alias("stage", "records"))

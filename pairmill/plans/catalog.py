@@ -11,7 +11,7 @@ from pairmill.functions import messages
 from pairmill.functions.html import html_to_text, text_to_html
 from pairmill.operators import conversion, evaluation, jobs, ngrams, pairs, scoring
 from pairmill.plans import flow, tables
-from pairmill.session import fresh_path, spread
+from pairmill.session import durable, fresh_path, spread
 from pairmill.sinks import keyvalue as kv_out
 from pairmill.sinks import report
 from pairmill.sinks import sequencefile as seq_out
@@ -41,6 +41,16 @@ def stats(spark, sf) -> DataFrame:
     return counts(spark, sf).stats()
 
 
+def labelled(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Base-10 scores of the label decade, and the labels.
+
+    The statistics are stored once: labels and scores both come from them.
+    """
+    stored = durable(stats(spark, sf), "stats")
+    in_decade = stored.where(F.col("decade") == evaluation.LABEL_DECADE)
+    return scoring.scored(in_decade, base10=True), tables.labels(stored)
+
+
 # --- n-grams, pairs, words ---------------------------------------------------------
 
 
@@ -131,7 +141,7 @@ def top_pairs(spark, sf):
 @query
 def stage_record_counts(spark, sf):
     text = counts(spark, sf)
-    return pairs.stage_record_counts(text.pairs, text.singles(), text.marginals, text.stats())
+    return pairs.stage_record_counts(text.stats(), text.singles(), text.marginals)
 
 
 # --- key/value text and sequence files ---------------------------------------------
@@ -163,24 +173,16 @@ def row_kinds(spark, sf):
 
 @query
 def seqfile_pairs(spark, sf):
-    text = counts(spark, sf)
+    scores, labels = labelled(spark, sf)
     path = fresh_path(spark, "seqfile")
-    in_decade = text.stats().where(F.col("decade") == evaluation.LABEL_DECADE)
-    seq_out.write_pairs(scoring.scored(in_decade, base10=True), path)
+    seq_out.write_pairs(scores, path)
     read = seq_in.read_pairs(spark, path, evaluation.LABEL_DECADE)
-    return evaluation.labelled_only(read, tables.labels(text.pairs)).withColumns(six("pmi"))
+    return evaluation.labelled_only(read, labels).withColumns(six("pmi"))
 
 
 # --- evaluation --------------------------------------------------------------------
 
 
-def labelled(spark, sf) -> tuple[DataFrame, DataFrame]:
-    """Base-10 scores of the label decade, and the labels."""
-    text = counts(spark, sf)
-    in_decade = text.stats().where(F.col("decade") == evaluation.LABEL_DECADE)
-    return scoring.scored(in_decade, base10=True), tables.labels(text.pairs)
-
-
 def sweep(spark, sf) -> DataFrame:
     scores, labels = labelled(spark, sf)
     lines = kv_out.format_kv(evaluation.labelled_only(scores, labels), "scores")
