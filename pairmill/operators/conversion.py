@@ -42,8 +42,15 @@ def work_items(tasks: DataFrame) -> DataFrame:
 
 
 def fetch(work: DataFrame, documents: DataFrame) -> DataFrame:
-    """Work items with their document; `html` is null where there is none."""
-    return work.join(documents.select("url", "html"), "url", "left")
+    """Work items with their document; `html` is null where there is none.
+
+    Found and missing items are two joins, so that the bodies of documents nobody
+    asked for stay where they are when the work list is small enough to be broadcast,
+    and the search for missing ones reads the url column only.
+    """
+    found = work.join(documents.select("url", "html"), "url")
+    missing = work.join(documents.select("url"), "url", "left_anti")
+    return found.unionByName(missing.withColumn("html", F.lit(None).cast("string")))
 
 
 def load_error(html: Column, url: Column) -> Column:
@@ -180,5 +187,6 @@ def result_contents(tasks: DataFrame, outcomes: DataFrame) -> DataFrame:
 
 def convert_tasks(tasks: DataFrame, documents: DataFrame, bucket: str) -> tuple[DataFrame, DataFrame]:
     """Convert every task: the stored outcomes of the work items and the replies."""
-    outcomes = durable(converted(fetch(work_items(tasks), documents)), "outcomes")
+    work = durable(work_items(tasks), "work")
+    outcomes = durable(converted(fetch(work, documents)), "outcomes")
     return outcomes, replies(tasks, outcomes, bucket)

@@ -42,8 +42,9 @@ def first_replies(replies: DataFrame, arrival: Sequence[str]) -> DataFrame:
 
 
 def pending_tasks(tasks: DataFrame, replies: DataFrame) -> DataFrame:
-    """Tasks without a reply."""
-    return tasks.join(replies, ["local_id", "task_no"], "left_anti")
+    """Tasks without a reply, however often others were answered."""
+    answered = replies.select("local_id", "task_no").distinct()
+    return tasks.join(answered, ["local_id", "task_no"], "left_anti")
 
 
 def job_progress(replies: DataFrame) -> DataFrame:

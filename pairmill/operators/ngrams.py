@@ -48,14 +48,31 @@ def ngrams(documents: DataFrame, order: int = ORDER) -> DataFrame:
 
 
 def ngram_counts(documents: DataFrame, order: int = ORDER) -> DataFrame:
-    """The yearly n-gram table: occurrences, documents and sources per (ngram, year)."""
-    # First per document, so that the distinct counts need no row expansion and a
-    # repeated passage is merged before it is shuffled under its own key.
-    per_document = (
-        ngrams(documents, order)
-        .groupBy("ngram", "year", "source", "doc_id")
-        .agg(F.count(F.lit(1)).alias("n"))
+    """The yearly n-gram table: occurrences, documents and sources per (ngram, year).
+
+    `doc_id` is unique, so the n-grams of a document are counted inside its row: they
+    are sorted, and each run of equal ones becomes one (ngram, n). What is shuffled is
+    then one row per document and n-gram, and the distinct documents are its rows.
+    """
+    kept = ["year", "source"]
+    split = documents.select(*kept, tokens(F.col("text")).alias("t"))
+    last = F.greatest(F.size("t") - order, F.lit(0))
+    grams = F.transform(
+        F.sequence(F.lit(1), last + 1), lambda i: F.concat_ws(" ", F.slice("t", i, order))
+    )
+    made = split.select(*kept, F.when(F.size("t") > 0, F.sort_array(grams)).alias("g"))
+    g, n = F.col("g"), F.size("g")
+    # Places (from 1) where a run starts, closed by the place after the last.
+    starts = F.filter(F.sequence(F.lit(1), n), lambda i: (i == 1) | (F.get(g, i - 1) != F.get(g, i - 2)))
+    runs = made.select(*kept, "g", F.concat(starts, F.array(n + 1)).alias("starts"))
+    bounds = F.arrays_zip(
+        F.col("starts").alias("first"), F.slice("starts", 2, F.size("starts")).alias("after")
+    )
+    counted = F.transform(
+        F.filter(bounds, lambda b: b["after"].isNotNull()),
+        lambda b: F.struct(F.get(g, b["first"] - 1).alias("ngram"), (b["after"] - b["first"]).alias("n")),
     )
+    per_document = runs.select(*kept, F.inline(counted).alias("ngram", "n"))
     return per_document.groupBy("ngram", "year").agg(
         F.sum("n").alias("occurrences"),
         F.count(F.lit(1)).alias("pages"),

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairmill.functions.text import canonical_pair, legal_decade
-from pairmill.operators.skew import lookup_join
+from pairmill.operators.skew import fits_broadcast, lookup_join
 
 
 def canonical_pairs(pairs: DataFrame, a: str, b: str, lowercase: bool = True) -> DataFrame:
@@ -89,12 +89,11 @@ def pair_stats(
     if self_pairs == "drop":
         pairs = pairs.where("w1 <> w2")
     weights = marginals.select("decade", "w", "c_w")
-    first = lookup_join(
-        pairs, weights, "c_w", {"decade": "decade", "w1": "w"}, {"c_w": "c_w1"}, ["w2"]
-    )
-    both = lookup_join(
-        first, weights, "c_w", {"decade": "decade", "w2": "w"}, {"c_w": "c_w2"}, ["w1"]
-    )
+    small = fits_broadcast(weights)
+    w1 = {"decade": "decade", "w1": "w"}
+    w2 = {"decade": "decade", "w2": "w"}
+    first = lookup_join(pairs, weights, "c_w", w1, {"c_w": "c_w1"}, ["w2"], small)
+    both = lookup_join(first, weights, "c_w", w2, {"c_w": "c_w2"}, ["w1"], small)
     # `totals` has one row per legal decade, so twelve at most.
     rows = both.join(F.broadcast(totals), "decade")
     c_w1, c_w2 = F.col("c_w1"), F.col("c_w2")

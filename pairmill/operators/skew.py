@@ -45,6 +45,7 @@ def lookup_join(
     on: dict[str, str],
     values: dict[str, str],
     spread_by: Sequence[str],
+    small: bool | None = None,
 ) -> DataFrame:
     """Inner join of `rows` with a lookup that has one row per key.
 
@@ -54,11 +55,11 @@ def lookup_join(
     such a key take their values there, and pass the shuffle join under a salt over
     `spread_by`, where nothing matches them, so no task gets a whole hot key. All
     other rows are joined by key as usual. Every row is kept or dropped by the same
-    rule as in a plain inner join.
+    rule as in a plain inner join. `small` hands over an earlier measurement.
     """
     names = list(values.values())
     keys = list(on)
-    if fits_broadcast(lookup):
+    if fits_broadcast(lookup) if small is None else small:
         small = lookup.select(
             *[F.col(right).alias(left) for left, right in on.items()],
             *[F.col(c).alias(n) for c, n in values.items()],

@@ -18,6 +18,7 @@ from pairmill.sinks import sequencefile as seq_out
 from pairmill.sources import keyvalue as kv_in
 from pairmill.sources import sequencefile as seq_in
 from pairmill.streaming import completion, intake
+from pairmill.streaming import conversion as stream_conversion
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -375,6 +376,14 @@ def stream_tasks(spark, sf):
     return intake.drained(tables.task_rows(pages), "stream-tasks")
 
 
+@query
+def stream_convert(spark, sf):
+    """The page tasks as a stream; a task's number is its page."""
+    pages = intake.read_folder(spark, sf, tables.PAGE_STREAM, "pages.parquet")
+    tasks = tables.task_rows(pages).withColumnRenamed("page_id", "task_no")
+    return stream_conversion.drained(tasks, tables.page_documents(spark, sf), tables.BUCKET)
+
+
 def reply_stream(spark, sf) -> DataFrame:
     events = intake.read_folder(spark, sf, tables.EVENT_STREAM, "events.parquet")
     return completion.first_replies(tables.repeated(tables.replies_of(events)), "ts")

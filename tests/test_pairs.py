@@ -172,7 +172,7 @@ def test_shuffled_lookup_equals_broadcast_lookup(spark, monkeypatch):
     """Beyond the broadcast size, with hot words served apart, nothing changes."""
     counts = flow.from_text(documents(spark, some_documents(5, 120)))
     small = rows(counts.stats())
-    monkeypatch.setattr(skew, "fits_broadcast", lambda table: False)
+    monkeypatch.setattr(pairs, "fits_broadcast", lambda table: False)
     monkeypatch.setattr(skew, "HOT_SALTS", 7)
     for keep in (0, 1, 3, 1000):
         heaviest = lambda lookup, weight, keep=keep: lookup.orderBy(F.desc(weight)).limit(keep)
@@ -182,7 +182,7 @@ def test_shuffled_lookup_equals_broadcast_lookup(spark, monkeypatch):
 
 def test_salt_stays_in_the_join_key(spark, monkeypatch):
     counts = flow.from_text(documents(spark, some_documents(5)))
-    monkeypatch.setattr(skew, "fits_broadcast", lambda table: False)
+    monkeypatch.setattr(pairs, "fits_broadcast", lambda table: False)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         plan = counts.stats()._jdf.queryExecution().executedPlan().toString()
@@ -197,7 +197,7 @@ def test_missing_word_drops_the_pair(spark, monkeypatch):
     known = marginal.where("w <> 'b'")
     expected = [(10, "a", "a", 2, 22, 2, 9)]
     assert rows(pairs.pair_stats(pair, known, total)) == expected
-    monkeypatch.setattr(skew, "fits_broadcast", lambda table: False)
+    monkeypatch.setattr(pairs, "fits_broadcast", lambda table: False)
     assert rows(pairs.pair_stats(pair, known, total)) == expected
 
 

@@ -88,3 +88,25 @@ def test_text_job_ids(spark, tmp_path):
     read = intake.read_folder(spark, path, made.schema.simpleString()[7:-1].replace(":", " "), files_per_batch=1)
     found = intake.drained(completion.full_rounds(read), "test-text")
     assert rows(found) == [("j", 0, 2), ("j", 1, 2)]
+
+
+def test_streamed_conversion_equals_batch(spark, tmp_path):
+    from pairmill.operators import conversion
+    from pairmill.streaming import conversion as stream_conversion
+
+    made = spark.createDataFrame(
+        [("j", i, 40, "ToText" if i % 2 else "ToHTML", f"u{i % 4}") for i in range(40)],
+        "local_id string, task_no bigint, num_tasks bigint, operation string, url string",
+    )
+    pages = spark.createDataFrame([("u0", "<p>a"), ("u1", "<p>b"), ("u2", "")], "url string, html string")
+    folder, out, checkpoint = (str(tmp_path / n) for n in ("s", "out", "checkpoint"))
+    write_files(made, folder, 2)
+    schema = made.schema
+
+    def tasks():
+        return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in*")
+
+    expected = rows(conversion.convert_tasks(made, pages, "b")[1])
+    for _ in range(2):
+        stream_conversion.drain(tasks(), pages, "b", out, checkpoint)
+        assert rows(spark.read.parquet(out).drop("batch")) == expected
