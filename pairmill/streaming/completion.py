@@ -25,26 +25,6 @@ def first_replies(stream: DataFrame, arrival: str, delay: str = REDELIVERY) -> D
     return per_split.drop("_split").dropDuplicatesWithinWatermark(["local_id", "task_no"])
 
 
-def _batch_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        yield batch.groupby("local_id", as_index=False).agg(
-            num_tasks=("num_tasks", "max"), replies=("num_tasks", "size")
-        )
-
-
-def _full_rounds(
-    key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
-) -> Iterator[pd.DataFrame]:
-    seen, num_tasks = state.get if state.exists else (0, 0)
-    before = seen
-    for batch in batches:
-        seen += int(batch["replies"].sum())
-        num_tasks = num_tasks or int(batch["num_tasks"].max())
-    state.update((seen, num_tasks))
-    rounds = range(before // num_tasks, seen // num_tasks)
-    yield pd.DataFrame({"local_id": key[0], "round": rounds, "replies": num_tasks})
-
-
 def full_rounds(replies: DataFrame) -> DataFrame:
     """`local_id, round, replies`: each round of `num_tasks` replies, once it is full.
 
@@ -52,11 +32,31 @@ def full_rounds(replies: DataFrame) -> DataFrame:
     the shuffle, so a job that sends a third of all replies still sends its one state
     a few rows.
     """
+
+    # Inner functions travel to the workers by value: the package need not be there.
+    def batch_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.groupby("local_id", as_index=False).agg(
+                num_tasks=("num_tasks", "max"), replies=("num_tasks", "size")
+            )
+
+    def rounds_of(
+        key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
+    ) -> Iterator[pd.DataFrame]:
+        seen, num_tasks = state.get if state.exists else (0, 0)
+        before = seen
+        for batch in batches:
+            seen += int(batch["replies"].sum())
+            num_tasks = num_tasks or int(batch["num_tasks"].max())
+        state.update((seen, num_tasks))
+        done = range(before // num_tasks, seen // num_tasks)
+        yield pd.DataFrame({"local_id": key[0], "round": done, "replies": num_tasks})
+
     job = f"local_id {replies.schema['local_id'].dataType.simpleString()}"
     slim = replies.select("local_id", F.col("num_tasks").cast("bigint").alias("num_tasks"))
-    counts = slim.mapInPandas(_batch_counts, f"{job}, num_tasks bigint, replies bigint")
+    counts = slim.mapInPandas(batch_counts, f"{job}, num_tasks bigint, replies bigint")
     return counts.groupBy("local_id").applyInPandasWithState(
-        _full_rounds,
+        rounds_of,
         f"{job}, round bigint, replies bigint",
         "seen bigint, num_tasks bigint",
         "append",

@@ -1,6 +1,8 @@
 """Every registered query against its SQL at the smallest scale."""
 
 import os
+import subprocess
+import sys
 
 import pytest
 from compare import connect, difference
@@ -28,3 +30,23 @@ def test_query_equals_sql(spark, tables, name):
 
 def test_entry(spark):
     assert contract.entry(spark).count() == 80
+
+
+def test_workers_need_no_package(tmp_path):
+    """From another folder, with the package on the driver's path only."""
+    code = f"""
+import importlib.util
+spec = importlib.util.spec_from_file_location("entry", {os.path.abspath(contract.__file__)!r})
+entry = importlib.util.module_from_spec(spec)
+spec.loader.exec_module(entry)
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config(
+    "spark.sql.shuffle.partitions", "2").getOrCreate()
+for name in ("stream_job_completion", "seqfile_pairs"):
+    assert entry.queries()[name](spark, {SF!r}).count() > 0
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run(
+        [sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600
+    )
+    assert done.returncode == 0, done.stderr[-3000:]
