@@ -102,7 +102,8 @@ def number_rows(
     A plain window sends a whole group to one task. Here the rows are range-sorted on
     (group, order) into even slots, a hot group covering many of them; rows are
     numbered inside their slot and shifted by the rows of the group in earlier slots.
-    `order` must be a total order within the group. `total` adds the group size.
+    `order` must be a total order within the group, and group columns must not be
+    null. `total` adds the group size.
     """
     slotted = durable(
         df.repartitionByRange(*group, *order).withColumn("_slot", F.spark_partition_id()),

@@ -156,7 +156,8 @@ def kv_format(spark, sf):
 @query
 def kv_parse(spark, sf):
     lines = kv_out.format_kv(stats(spark, sf), "stats").select(F.col("line").alias("value"))
-    return kv_in.parse_kv(lines, "stats")
+    parsed = kv_in.parse_kv(lines, "stats")
+    return parsed.withColumn("is_bad", F.col("bad").isNotNull()).drop("bad")
 
 
 @query
@@ -256,7 +257,7 @@ def fetch_status(spark, sf):
         "operation",
         "url",
         "requests",
-        F.length("html").cast("bigint").alias("n_chars"),
+        F.coalesce(F.length("html"), F.lit(0)).cast("bigint").alias("n_chars"),
         conversion.load_error(F.col("html"), F.col("url")).alias("error"),
     )
 
@@ -386,12 +387,16 @@ def stream_convert(spark, sf):
 
 def reply_stream(spark, sf) -> DataFrame:
     events = intake.read_folder(spark, sf, tables.EVENT_STREAM, "events.parquet")
-    return completion.first_replies(tables.repeated(tables.replies_of(events)), "ts")
+    replies = tables.repeated(tables.replies_of(events))
+    # A watermark needs a time with a zone.
+    timed = replies.withColumn("ts", F.col("ts").cast("timestamp"))
+    return completion.first_replies(timed, "ts")
 
 
 @query
 def stream_dedup_responses(spark, sf):
-    return intake.drained(reply_stream(spark, sf), "stream-replies")
+    first = reply_stream(spark, sf).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    return intake.drained(first, "stream-replies")
 
 
 @query

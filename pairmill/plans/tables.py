@@ -95,7 +95,7 @@ def replies_of(events: DataFrame) -> DataFrame:
         F.lit(ROUND).cast("bigint").alias("num_tasks"),
         F.col("event_type").alias("operation"),
         (F.col("event_type") == "error").alias("is_error"),
-        F.col("ts").cast("timestamp").alias("ts"),
+        "ts",
     )
 
 

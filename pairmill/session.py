@@ -30,6 +30,25 @@ def build_session(app: str = "pairmill", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+# Counting pairs shuffles several times its text; a reduce task should take about this.
+SHUFFLE_GROWTH = 8
+SHUFFLE_BYTES = 256 * 1024 * 1024
+# More shuffle partitions than this cost the driver more than they save the tasks.
+MOST_PARTITIONS = 100_000
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Set the shuffle partitions for an input of that size, and return them.
+
+    Spark's default of 200 is for gigabytes. Too many do no harm: adaptive execution
+    joins small ones.
+    """
+    wanted = -(-input_bytes * SHUFFLE_GROWTH // SHUFFLE_BYTES)
+    count = max(2 * spark.sparkContext.defaultParallelism, min(wanted, MOST_PARTITIONS))
+    spark.conf.set("spark.sql.shuffle.partitions", str(count))
+    return count
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for durable tables: `spark.checkpoint.dir`.
 
