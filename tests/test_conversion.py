@@ -13,6 +13,7 @@ from pairmill.operators import conversion, jobs, skew
 from pairmill.session import durable
 from pairmill.sinks import report
 from pairmill.sources.documents import read_files
+from pairmill.sources.summary import read_summary
 from pairmill.sources.tasks import parse_tasks, read_task_lists
 
 TASKS = "local_id string, task_no bigint, num_tasks bigint, operation string, url string"
@@ -220,6 +221,19 @@ def test_summary_of_a_run(spark):
     assert rows(parsed.select(F.regexp_extract("operation", "< (.*) >", 1), "url")) == rows(run, "operation", "url")
 
 
+def test_summary_files(spark, tmp_path):
+    run = run_of_18(spark)
+    lines = report.summary_lines(run)
+    out = str(tmp_path / "summary")
+    report.write_by_job(lines, "task_no", "line", out)
+    back = read_summary(spark, out)
+    assert rows(back) == rows(report.parse_summary(lines).drop("task_no"))
+    written = []
+    for part in sorted(glob.glob(f"{out}/local_id=run/part-*")):
+        written += open(part, encoding="utf8").read().splitlines()
+    assert written == [line for _, line in rows(lines, "task_no", "line")]
+
+
 def test_only_finished_jobs_are_reported(spark, tmp_path):
     run = run_of_18(spark)
     open_job = run.where("task_no < 5").withColumn("local_id", F.lit("open"))

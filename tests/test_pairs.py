@@ -87,6 +87,11 @@ def test_text_and_ngram_routes_equal_brute_force(spark, seed):
         assert rows(counts.singles()) == as_rows(single)
         assert rows(counts.marginals, "decade", "w", "c_w") == as_rows(word)
         assert rows(counts.totals) == as_rows(total)
+        weights = sorted(
+            (d, a, b, c, *((2 * word[d, a], c) if a == b else (word[d, a], word[d, b])), total[d])
+            for (d, a, b), c in pair.items()
+        )
+        assert rows(counts.stats()) == weights
         # The contract's own definitions agree with the token route.
         assert rows(pairs.word_marginals(counts.pairs, counts.singles())) == as_rows(word)
         assert rows(pairs.decade_totals(counts.pairs, counts.singles())) == as_rows(total)
