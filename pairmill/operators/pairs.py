@@ -94,8 +94,8 @@ def pair_stats(
     w2 = {"decade": "decade", "w2": "w"}
     first = lookup_join(pairs, weights, "c_w", w1, {"c_w": "c_w1"}, ["w2"], small)
     both = lookup_join(first, weights, "c_w", w2, {"c_w": "c_w2"}, ["w1"], small)
-    # `totals` has one row per legal decade, so twelve at most.
-    rows = both.join(F.broadcast(totals), "decade")
+    # One row per legal decade, so twelve at most.
+    rows = both.join(F.broadcast(totals.where(legal_decade(F.col("decade")))), "decade")
     c_w1, c_w2 = F.col("c_w1"), F.col("c_w2")
     if self_pairs == "doubled":
         same = F.col("w1") == F.col("w2")
