@@ -8,6 +8,8 @@ import pytest
 from compare import connect, difference
 
 import __spark_entry__ as contract
+from pairmill.plans.catalog import QUERIES
+from pairmill.plans.oracle import ORACLE
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -20,10 +22,12 @@ def tables():
 
 
 def test_each_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, tables, name):
     assert difference(contract.queries()[name](spark, SF), tables, contract.oracle_sql()[name]) is None
 
