@@ -21,7 +21,7 @@ WITH parts AS (
   SELECT page_id, {_HOST} AS host, {_PATH} AS path, contains(url, '://') AS has,
     array_to_string(list_sort(list_filter(
       string_split(regexp_extract(url, '(?s)^.*?://[^?#]*\\?([^#]*)', 1), '&'),
-      x -> x <> '' AND NOT regexp_matches(x, '(?i)^(utm_[a-z]+|ref|gclid|fbclid)='))), '&') AS asked
+      lambda x: x <> '' AND NOT regexp_matches(x, '(?i)^(utm_[a-z]+|ref|gclid|fbclid)='))), '&') AS asked
   FROM pages),
 keyed AS (
   SELECT *, CASE WHEN has THEN regexp_replace(host, '^www\\.', '') || regexp_replace(path, '/+$', '')
@@ -68,7 +68,7 @@ gathered AS (
 SELECT conv_id, CASE
     WHEN roles = ['user', 'assistant'] THEN 'prompt'
     WHEN roles = ['system', 'user', 'assistant'] AND second <> '' THEN 'instruction'
-    WHEN len(list_filter(roles, r -> r NOT IN ('user', 'assistant'))) = 0 THEN 'shared'
+    WHEN len(list_filter(roles, lambda r: r NOT IN ('user', 'assistant'))) = 0 THEN 'shared'
     ELSE 'messages' END AS layout,
   n_turns, sha256(all_text) AS turns_sha256,
   length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars
@@ -82,7 +82,7 @@ WITH split AS (
   SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS body,
     regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
     list_filter(string_split(coalesce(text, ''), chr(10)),
-      x -> regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+      lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
   FROM documents),
 numbered AS (SELECT row_number() OVER () AS id, * FROM split),
 places AS (
