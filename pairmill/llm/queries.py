@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairmill.llm import chat_format, host_rules, url_filter
+from pairmill.llm import chat_format, decontaminate, host_rules, packing, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -77,3 +77,16 @@ def op8_host_rules(spark, sf):
         "kept",
         F.col("rate").alias("host_rate"),
     )
+
+
+@query
+def op1_best_fit_packing(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return packing.pack(docs, packing.text_length(F.col("text")))
+
+
+@query
+def op6_decontamination(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    marked = decontaminate.mark(docs, table(spark, sf, "benchmark"), keep=["doc_id"])
+    return marked.select("doc.doc_id", *[c for c in marked.columns if c != "doc"])

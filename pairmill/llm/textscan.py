@@ -78,12 +78,15 @@ class Scan:
 
 def scan(texts: pa.Array, word_bytes: np.ndarray, lower: bool) -> Scan:
     """Words of all texts; a null text has none."""
+    if not len(texts):
+        none = np.empty(0, np.int64)
+        return Scan(none.astype(np.uint64), none, none, np.zeros(1, np.int64), none.astype(np.uint8))
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     raw = texts.buffers()[2]
-    low, high = (int(offsets[0]), int(offsets[-1])) if len(offsets) else (0, 0)
-    data = np.frombuffer(raw, np.uint8)[low:high] if raw is not None else np.empty(0, np.uint8)
-    offsets = offsets - low if len(offsets) else np.zeros(1, np.int64)
+    low, high = int(offsets[0]), int(offsets[-1])
+    data = np.frombuffer(raw, np.uint8)[low:high] if high > low else np.empty(0, np.uint8)
+    offsets = offsets - low
     if lower:
         data = LOWER[data]
     inside = word_bytes[data]
