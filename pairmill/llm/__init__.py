@@ -1,8 +1,8 @@
 """Operators that prepare training text. Nothing else in the library imports this package."""
 
-import sys
-
 from pyspark import cloudpickle
 
-# Functions of this package travel to the workers by value: it need not be installed there.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+import pairmill
+
+# Functions of the library travel to the workers by value: it need not be installed there.
+cloudpickle.register_pickle_by_value(pairmill)

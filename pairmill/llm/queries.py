@@ -7,7 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairmill.llm import chat_format, decontaminate, host_rules, packing, url_filter
+from pairmill.llm import (
+    chat_format,
+    decontaminate,
+    host_rules,
+    packing,
+    substring_dedup,
+    url_filter,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -90,3 +97,9 @@ def op6_decontamination(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     marked = decontaminate.mark(docs, table(spark, sf, "benchmark"), keep=["doc_id"])
     return marked.select("doc.doc_id", *[c for c in marked.columns if c != "doc"])
+
+
+@query
+def op10_substring_dedup(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return substring_dedup.dedup(docs, with_text=False)

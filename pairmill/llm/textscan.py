@@ -119,11 +119,8 @@ def windows(names: np.ndarray, k: int, seed: int = 2) -> np.ndarray:
 
 def whole_windows(first: np.ndarray, n: int, k: int) -> np.ndarray:
     """Which of n word places start a run of k words inside one text."""
-    fits = np.ones(n, bool)
-    for j in range(1, k):
-        last = first[1:] - j
-        fits[last[last >= first[:-1]]] = False
-    return fits
+    ends = np.repeat(first[1:], np.diff(first))[:n]
+    return np.arange(n) + k <= ends
 
 
 def covered(hits: np.ndarray, k: np.ndarray | int, n: int) -> np.ndarray:
