@@ -11,6 +11,7 @@ from pairmill.llm import (
     chat_format,
     decontaminate,
     host_rules,
+    lm_score,
     packing,
     substring_dedup,
     url_filter,
@@ -103,3 +104,8 @@ def op6_decontamination(spark, sf):
 def op10_substring_dedup(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return substring_dedup.dedup(docs, with_text=False)
+
+
+@query
+def op7_backoff_automaton(spark, sf):
+    return lm_score.score(table(spark, sf, "documents").select("doc_id", "text"))
