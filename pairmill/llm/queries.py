@@ -12,6 +12,7 @@ from pairmill.llm import (
     decontaminate,
     host_rules,
     lm_score,
+    ngram_join,
     packing,
     substring_dedup,
     url_filter,
@@ -109,3 +110,9 @@ def op10_substring_dedup(spark, sf):
 @query
 def op7_backoff_automaton(spark, sf):
     return lm_score.score(table(spark, sf, "documents").select("doc_id", "text"))
+
+
+@query
+def op9_ngram_jaccard_join(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return ngram_join.join(docs, k=3, num=90, den=100)

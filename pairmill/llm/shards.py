@@ -169,7 +169,7 @@ def with_answers(docs: DataFrame, answers: DataFrame, visit: Callable, schema: T
         for _, chunk, bucket, topic, answer in sent:
             by_chunk.setdefault(chunk, Answers()).setdefault(topic, {})[bucket] = answer
         for number, table in enumerate(chunks(iter(pa.ipc.open_stream(rows)))):
-            yield from visit(table, by_chunk[number], part, number)
+            yield from visit(table, by_chunk.get(number, Answers()), part, number)
 
     packed = docs.mapInArrow(pack, "rows binary").rdd.map(lambda r: bytes(r["rows"]))
     sent = answers.select("part", "chunk", "bucket", "topic", "answer").rdd.map(
