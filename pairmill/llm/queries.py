@@ -11,6 +11,7 @@ from pairmill.llm import (
     chat_format,
     decontaminate,
     host_rules,
+    line_dedup,
     lm_score,
     ngram_join,
     packing,
@@ -116,3 +117,15 @@ def op7_backoff_automaton(spark, sf):
 def op9_ngram_jaccard_join(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return ngram_join.join(docs, k=3, num=90, den=100)
+
+
+@query
+def op4_line_dedup(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return line_dedup.dedup(docs).select(
+        "doc.doc_id",
+        "n_lines",
+        "n_removed",
+        F.length("kept").cast("bigint").alias("kept_chars"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
