@@ -16,6 +16,7 @@ from pairmill.llm import (
     ngram_join,
     packing,
     substring_dedup,
+    surrogates,
     url_filter,
 )
 
@@ -129,3 +130,11 @@ def op4_line_dedup(spark, sf):
         F.length("kept").cast("bigint").alias("kept_chars"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query
+def op3_surrogates(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return surrogates.pseudonymize(docs).select(
+        "doc.doc_id", F.col("replaced").alias("text"), "n_entities"
+    )
