@@ -90,9 +90,9 @@ def with_counts(rows: DataFrame, text: str) -> DataFrame:
         "n_dup_lines": F.size("_lines") - F.size(F.array_distinct("_lines")),
         "n_repeat_words": repeated,
     }
-    return again.select(
-        *rows.columns, F.struct(*[c.cast("bigint").alias(n) for n, c in counts.items()]).alias("q")
-    )
+    # As a generator's result the counts are computed once: a filter on them stays above.
+    made = F.struct(*[c.cast("bigint").alias(n) for n, c in counts.items()])
+    return again.select(*rows.columns, F.explode(F.array(made)).alias("q"))
 
 
 def base_failed(q: str = "q") -> Column:
