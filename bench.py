@@ -12,7 +12,7 @@ import os
 import time
 
 from pairmill.plans.catalog import QUERIES
-from pairmill.session import build_session
+from pairmill.session import build_session, release
 
 HEADLINE = [
     "ngram_counts",
@@ -59,6 +59,7 @@ def main() -> None:
     result = {"metric": "total_query_time", "value": total, "unit": "sec"}
     result.update(queries=seconds, sf=os.path.basename(sf.rstrip("/")).removeprefix("sf"))
     print(json.dumps(result))
+    release(spark)
     spark.stop()
 
 

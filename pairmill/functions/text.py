@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 # Anything that is not a Unicode letter separates tokens.
 SEPARATORS = r"[^\p{L}]+"
 
-# Decades are counted from 1900; twelve of them (0..11) are legal.
+# Decades are counted from 1900; earlier ones are negative.
 FIRST_YEAR = 1900
-LAST_DECADE = 11
 
 
 def words(text: Column) -> Column:
@@ -34,10 +33,6 @@ def decade_of(year: Column) -> Column:
     return F.floor((year - F.lit(FIRST_YEAR)) / F.lit(10)).cast("int")
 
 
-def legal_decade(decade: Column) -> Column:
-    return decade.between(0, LAST_DECADE)
-
-
 def canonical_pair(a: Column, b: Column, lowercase: bool = True) -> tuple[Column, Column]:
     """The two words of an unordered pair, smaller first.
 

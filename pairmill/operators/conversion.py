@@ -54,7 +54,7 @@ def fetch(work: DataFrame, documents: DataFrame) -> DataFrame:
 
 
 def load_error(html: Column, url: Column) -> Column:
-    return F.when(html.isNull(), F.concat(F.lit(LOAD_ERROR), url))
+    return F.when(html.isNull(), F.concat(F.lit(LOAD_ERROR), F.coalesce(url, F.lit("null"))))
 
 
 def converted(
@@ -73,7 +73,7 @@ def converted(
     with_content = fetched.withColumn("content", content)
     error = (
         F.when(html.isNull(), load_error(html, F.col("url")))
-        .when(~operation.isin(*converters), INVALID)
+        .when(operation.isNull() | ~operation.isin(*converters), INVALID)
         .when(F.length("content") == 0, CORRUPTED)
     )
     return with_content.select(
@@ -139,15 +139,21 @@ def result_link(bucket: Column, name: Column, base: str = DEFAULT_BASE) -> Colum
 TASKS_PER_COPY = 10_000
 
 
+def _never_null(name: str) -> Column:
+    return F.when(F.col(name).isNull(), "-").otherwise(F.concat(F.lit("+"), F.col(name)))
+
+
 def replies(tasks: DataFrame, outcomes: DataFrame, bucket: str, base: str = DEFAULT_BASE) -> DataFrame:
     """One reply per task, from the stored outcomes of the work items.
 
     Only (operation, url, error) is joined to the tasks, not the content, and a url
     that very many tasks name does not gather them in one task (see lookup_join).
     """
-    slim = outcomes.select("operation", "url", "error", "requests")
+    # As texts of their own, a null operation and a null url meet their outcome too.
+    safe = {"_operation": _never_null("operation"), "_url": _never_null("url")}
+    slim = outcomes.withColumns(safe).select(*safe, "error", "requests")
     rows = lookup_join(
-        tasks, slim, "requests", {"operation": "operation", "url": "url"}, {"error": "error"}, ["task_no"]
+        tasks.withColumns(safe), slim, "requests", {k: k for k in safe}, {"error": "error"}, ["task_no"]
     )
     link = result_link(
         F.lit(bucket), result_name(F.col("operation"), F.col("local_id"), F.col("task_no")), base

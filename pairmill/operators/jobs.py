@@ -59,15 +59,26 @@ def job_progress(replies: DataFrame) -> DataFrame:
     )
 
 
+def in_rounds(replies: DataFrame, arrival: Sequence[Column | str]) -> DataFrame:
+    """Replies with their `round` and their `_place` in their job."""
+    numbered = number_rows(replies, ["local_id"], arrival, "_place", "_replies")
+    return numbered.withColumn("round", F.expr("(_place - 1) div num_tasks"))
+
+
+def full_round_replies(replies: DataFrame, arrival: Sequence[Column | str]) -> DataFrame:
+    """The replies of full rounds with `round` and `place` in it; repeats must be gone."""
+    full = in_rounds(replies, arrival).where("(round + 1) * num_tasks <= _replies")
+    placed = full.withColumn("place", F.col("_place") - F.col("round") * F.col("num_tasks"))
+    return placed.drop("_place", "_replies")
+
+
 def job_completion(replies: DataFrame, arrival: Sequence[Column | str]) -> DataFrame:
     """The replies of each job in rounds of `num_tasks`, in order of arrival.
 
     A round is complete when it is full; the next reply then starts a new one. Only
     the last round of a job can be open.
     """
-    numbered = number_rows(replies, ["local_id"], arrival, "_place")
-    rounds = numbered.withColumn("round", F.expr("(_place - 1) div num_tasks"))
-    return rounds.groupBy("local_id", "round").agg(
+    return in_rounds(replies, arrival).groupBy("local_id", "round").agg(
         F.count(F.lit(1)).alias("replies"),
         F.max("num_tasks").alias("num_tasks"),
         F.count_if("is_error").alias("errors"),

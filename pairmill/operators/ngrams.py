@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairmill.functions.text import canonical_pair, decade_of, legal_decade, tokens
+from pairmill.functions.text import canonical_pair, decade_of, tokens
 
 # Words per n-gram.
 ORDER = 5
@@ -82,7 +82,7 @@ def ngram_counts(documents: DataFrame, order: int = ORDER) -> DataFrame:
 
 def _tokenized(counts: DataFrame, stop_words: Iterable[str] | None) -> DataFrame:
     decade = decade_of(F.col("year"))
-    return counts.where(legal_decade(decade)).select(
+    return counts.where(decade.isNotNull()).select(
         decade.alias("decade"),
         tokens(F.col("ngram"), stop_words).alias("t"),
         F.col("occurrences").alias("weight"),
@@ -123,12 +123,6 @@ def pair_events(
     )
 
 
-def single_events(counts: DataFrame, stop_words: Iterable[str] | None = None) -> DataFrame:
-    """Weighted words of the n-grams that have one token only."""
-    rows = _tokenized(counts, stop_words)
-    return rows.where(F.size("t") == 1).select("decade", F.col("t")[0].alias("w"), "weight")
-
-
 def text_pair_events(documents: DataFrame, order: int = ORDER) -> DataFrame:
     """The pair events of a text's n-grams, without building the n-grams.
 
@@ -138,7 +132,7 @@ def text_pair_events(documents: DataFrame, order: int = ORDER) -> DataFrame:
     the n-grams it is in. The sums per pair equal those of `pair_events`.
     """
     decade = decade_of(F.col("year"))
-    near = slices(documents.where(legal_decade(decade)), order)
+    near = slices(documents.where(decade.isNotNull()), order)
     gaps = [(F.lit(k), F.col(f"t{k}")) for k in range(1, order)]
     rows = near.select(
         decade.alias("decade"),
@@ -167,7 +161,7 @@ def text_token_events(documents: DataFrame, order: int = ORDER) -> DataFrame:
     of each n-gram that holds it.
     """
     decade = decade_of(F.col("year"))
-    rows = slices(documents.where(legal_decade(decade)), 1)
+    rows = slices(documents.where(decade.isNotNull()), 1)
     place, length = F.col("place"), F.col("length")
     partners = F.least(length, F.lit(order)) - 1
     return rows.select(

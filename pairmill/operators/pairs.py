@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairmill.functions.text import canonical_pair, legal_decade
+from pairmill.functions.text import canonical_pair
 from pairmill.operators.skew import fits_broadcast, lookup_join
 
 
@@ -25,11 +25,6 @@ def pair_counts(events: DataFrame) -> DataFrame:
     return events.groupBy("decade", "w1", "w2").agg(F.sum("weight").alias("c_pair"))
 
 
-def single_counts(events: DataFrame) -> DataFrame:
-    """Total weight per decade and word of one-word n-grams."""
-    return events.groupBy("decade", "w").agg(F.sum("weight").alias("c_single"))
-
-
 def word_marginals(pairs: DataFrame, singles: DataFrame) -> DataFrame:
     """Weight of each word: its singles plus all its pairs, a self-pair twice."""
     halves = pairs.select(
@@ -40,15 +35,11 @@ def word_marginals(pairs: DataFrame, singles: DataFrame) -> DataFrame:
 
 
 def decade_totals(pairs: DataFrame, singles: DataFrame) -> DataFrame:
-    """Weight of all pairs and singles per decade: at most twelve rows."""
+    """Weight of all pairs and singles per decade."""
     weights = pairs.select("decade", F.col("c_pair").alias("c")).unionByName(
         singles.select("decade", F.col("c_single").alias("c"))
     )
-    return (
-        weights.where(legal_decade(F.col("decade")))
-        .groupBy("decade")
-        .agg(F.sum("c").alias("n_total"))
-    )
+    return weights.groupBy("decade").agg(F.sum("c").alias("n_total"))
 
 
 def token_marginals(tokens: DataFrame) -> DataFrame:
@@ -65,11 +56,7 @@ def token_marginals(tokens: DataFrame) -> DataFrame:
 
 def totals_of(marginals: DataFrame) -> DataFrame:
     """`decade_totals` from token marginals: every pair is counted at two words."""
-    return (
-        marginals.where(legal_decade(F.col("decade")))
-        .groupBy("decade")
-        .agg(F.expr("sum(c_w + c_single) div 2").alias("n_total"))
-    )
+    return marginals.groupBy("decade").agg(F.expr("sum(c_w + c_single) div 2").alias("n_total"))
 
 
 SELF_PAIRS = ("doubled", "marginal", "drop")
@@ -94,8 +81,8 @@ def pair_stats(
     w2 = {"decade": "decade", "w2": "w"}
     first = lookup_join(pairs, weights, "c_w", w1, {"c_w": "c_w1"}, ["w2"], small)
     both = lookup_join(first, weights, "c_w", w2, {"c_w": "c_w2"}, ["w1"], small)
-    # One row per legal decade, so twelve at most.
-    rows = both.join(F.broadcast(totals.where(legal_decade(F.col("decade")))), "decade")
+    # One row per decade: years are whole numbers, so a table of any real corpus is tiny.
+    rows = both.join(F.broadcast(totals), "decade")
     c_w1, c_w2 = F.col("c_w1"), F.col("c_w2")
     if self_pairs == "doubled":
         same = F.col("w1") == F.col("w2")
@@ -118,7 +105,7 @@ def stage_record_counts(stats: DataFrame, singles: DataFrame, marginals: DataFra
     )
     of_singles = singles.groupBy("decade").agg(F.count(F.lit(1)).alias("s"))
     of_words = marginals.groupBy("decade").agg(F.count(F.lit(1)).alias("w"))
-    # Three tables of at most twelve rows.
+    # Three tables of one row per decade.
     sizes = of_pairs.join(of_singles, "decade", "full").join(of_words, "decade", "full").na.fill(0)
     stages = F.expr("stack(4, 2, 2*p+s+1, 3, 2*p+w+1, 4, 2*p+1, 5, k)")
     return sizes.select("decade", stages.alias("stage", "records"))

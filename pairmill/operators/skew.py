@@ -100,30 +100,33 @@ def number_rows(
     """1-based position of each row in its group, as `row_number()` would give it.
 
     A plain window sends a whole group to one task. Here the rows are range-sorted on
-    (group, order) into even slots, a hot group covering many of them; rows are
-    numbered inside their slot and shifted by the rows of the group in earlier slots.
-    `order` must be a total order within the group, and group columns must not be
-    null. `total` adds the group size.
+    (group, order) into even slots, a hot group covering many of them, and numbered as
+    they are stored. A run of a group in a slot starts at its least number; the rows of
+    the group in earlier slots are added. `order` must be a total order within the
+    group. Rows with a null group are numbered as a group. `total` adds the group size.
     """
+    ids = F.monotonically_increasing_id()
     slotted = durable(
-        df.repartitionByRange(*group, *order).withColumn("_slot", F.spark_partition_id()),
+        df.repartitionByRange(*group, *order).sortWithinPartitions(*group, *order).withColumn("_id", ids),
         "slots",
-    )
-    local = slotted.withColumn(
-        "_local", F.row_number().over(Window.partitionBy("_slot", *group).orderBy(*order))
-    )
+    ).withColumn("_slot", F.shiftright("_id", 33))
     # One row per (group, slot): a group has at most as many as there are slots.
-    runs = slotted.groupBy(*group, "_slot").agg(F.count(F.lit(1)).alias("_n"))
+    runs = slotted.groupBy(*group, "_slot").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
     in_group = Window.partitionBy(*group)
     earlier = in_group.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     shifts = runs.select(
-        *group,
-        "_slot",
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
+        *[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)],
+        F.col("_slot").alias("_at"),
+        (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
         F.sum("_n").over(in_group).alias("_total"),
     )
+    shifts = durable(shifts, "shifts")
+    same = F.col("_slot") == F.col("_at")
+    for i, g in enumerate(group):
+        same &= F.col(g).eqNullSafe(F.col(f"_g{i}"))
+    joined = slotted.join(F.broadcast(shifts) if fits_broadcast(shifts) else shifts, same)
     kept = [F.col(c) for c in df.columns]
-    kept.append((F.col("_local") + F.col("_before")).alias(number))
+    kept.append((F.col("_id") + F.col("_shift")).alias(number))
     if total:
         kept.append(F.col("_total").alias(total))
-    return local.join(shifts, [*group, "_slot"]).select(*kept)
+    return joined.select(*kept)

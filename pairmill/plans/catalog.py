@@ -15,8 +15,12 @@ from pairmill.session import durable, fresh_path, spread
 from pairmill.sinks import keyvalue as kv_out
 from pairmill.sinks import report
 from pairmill.sinks import sequencefile as seq_out
+from pairmill.sources import corpus as corpus_in
 from pairmill.sources import keyvalue as kv_in
+from pairmill.sources import labels as label_in
 from pairmill.sources import sequencefile as seq_in
+from pairmill.sources import summary as summary_in
+from pairmill.sources import tasks as task_in
 from pairmill.streaming import completion, intake
 from pairmill.streaming import conversion as stream_conversion
 
@@ -43,13 +47,19 @@ def stats(spark, sf) -> DataFrame:
 
 
 def labelled(spark, sf) -> tuple[DataFrame, DataFrame]:
-    """Base-10 scores of the label decade, and the labels.
+    """Base-10 scores of the labelled pairs of the label decade, and the labels.
 
-    The statistics are stored once: labels and scores both come from them.
+    The pair table is stored once, by decade: the labels come from it, and of the label
+    decade alone the pairs with a label go on to the word weights.
     """
-    stored = durable(stats(spark, sf), "stats")
+    text = counts(spark, sf)
+    path = fresh_path(spark, "pairs")
+    text.pairs.write.partitionBy("decade").parquet(path)
+    stored = spark.read.schema(text.pairs.schema).parquet(path)
+    labels = durable(tables.labels(stored), "labels")
     in_decade = stored.where(F.col("decade") == evaluation.LABEL_DECADE)
-    return scoring.scored(in_decade, base10=True), tables.labels(stored)
+    wanted = flow.Counts(evaluation.labelled_only(in_decade, labels), text.marginals, text.totals)
+    return scoring.scored(wanted.stats(), base10=True), labels
 
 
 # --- n-grams, pairs, words ---------------------------------------------------------
@@ -112,6 +122,30 @@ def decade_totals(spark, sf):
     return counts(spark, sf).totals
 
 
+@query
+def decade_totals_all_years(spark, sf):
+    """Totals of documents dated from 1880 to 2039."""
+    docs = tables.documents(spark, sf).withColumn("year", F.lit(1880) + F.col("doc_id") % 160)
+    return flow.from_text(docs).totals
+
+
+@query
+def ngram_files(spark, sf):
+    """The n-gram table written as text with broken lines, read back, and counted by decade."""
+    path = fresh_path(spark, "ngram-text")
+    table = ngrams.ngram_counts(tables.documents(spark, sf))
+    line = F.concat_ws("\t", *[F.col(c).cast("string") for c in corpus_in.FIELDS])
+    broken = F.when(F.col("occurrences") >= 3, F.replace(line, F.lit("\t"), F.lit(" "))).otherwise(line)
+    table.select(broken.alias("value")).write.text(path)
+    good, bad = corpus_in.read_ngrams(spark, path)
+    years = good.groupBy("year").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("occurrences").alias("occurrences")
+    )
+    return years.unionByName(
+        bad.agg(F.lit(None).cast("int").alias("year"), F.count(F.lit(1)).alias("lines"), F.lit(None).cast("bigint").alias("occurrences"))
+    )
+
+
 @query
 def pair_stats(spark, sf):
     return stats(spark, sf)
@@ -188,7 +222,7 @@ def seqfile_pairs(spark, sf):
 def sweep(spark, sf) -> DataFrame:
     scores, labels = labelled(spark, sf)
     lines = kv_out.format_kv(evaluation.labelled_only(scores, labels), "scores")
-    listed = kv_in.parse_pmi_list(lines.select(F.col("line").alias("value")), evaluation.LABEL_DECADE)
+    listed, _ = kv_in.parse_pmi_list(lines.select(F.col("line").alias("value")), evaluation.LABEL_DECADE)
     return evaluation.f_measure_sweep(evaluation.with_labels(listed, labels))
 
 
@@ -197,7 +231,18 @@ RATES = ("threshold", "precision", "recall", "f_measure")
 
 @query
 def gold_pairs(spark, sf):
-    return tables.labels(counts(spark, sf).pairs)
+    return tables.labels(pairs.pair_counts(ngrams.text_pair_events(tables.documents(spark, sf))))
+
+
+@query
+def builtin_labels_scored(spark, sf):
+    """The built-in list with the scores that the documents give; null where they have none."""
+    labels = label_in.builtin_labels(spark)
+    text = counts(spark, sf)
+    in_decade = text.pairs.where(F.col("decade") == evaluation.LABEL_DECADE)
+    wanted = flow.Counts(evaluation.labelled_only(in_decade, labels), text.marginals, text.totals)
+    scores = scoring.scored(wanted.stats(), base10=True)
+    return labels.join(scores, ["decade", "w1", "w2"], "left").withColumns(six("pmi"))
 
 
 @query
@@ -368,6 +413,35 @@ def html_report(spark, sf):
     return report.html_report(report.parse_summary(lines), done)
 
 
+@query
+def round_summaries(spark, sf):
+    """Summary lines of the full rounds of all jobs, from replies with repeats."""
+    first = jobs.first_replies(tables.repeated(tables.replies(spark, sf)), ["ts"])
+    return report.round_lines(jobs.full_round_replies(tables.answered(first), ["ts", "task_no"]))
+
+
+@query
+def task_list_files(spark, sf):
+    """Task lists written to files and read back; their broken lines are counted apart."""
+    path = tables.write_task_lists(spark, sf)
+    good, bad = task_in.read_task_lists(spark, path, F.regexp_extract("path", "local_id=([^/]+)/", 1))
+    of_tasks = good.groupBy("local_id", "operation").agg(
+        F.count(F.lit(1)).alias("tasks"), F.max("num_tasks").alias("num_tasks")
+    )
+    of_rejects = bad.groupBy("local_id").agg(F.count(F.lit(1)).alias("rejects"))
+    return of_tasks.join(of_rejects, "local_id", "left").na.fill(0, ["rejects"])
+
+
+@query
+def summary_files(spark, sf):
+    """Summaries written to one folder per job and read back, with job names like 007."""
+    replies = page_replies(spark, sf)[2]
+    named = replies.withColumn("local_id", F.regexp_replace("local_id", "job", "00"))
+    path = fresh_path(spark, "summaries")
+    report.write_by_job(report.summary_lines(named), "task_no", "line", path)
+    return summary_in.read_summary(spark, path)
+
+
 # --- streams -----------------------------------------------------------------------
 
 
@@ -386,17 +460,16 @@ def stream_convert(spark, sf):
 
 
 def reply_stream(spark, sf) -> DataFrame:
-    events = intake.read_folder(spark, sf, tables.EVENT_STREAM, "events.parquet")
-    replies = tables.repeated(tables.replies_of(events))
-    # A watermark needs a time with a zone.
-    timed = replies.withColumn("ts", F.col("ts").cast("timestamp"))
-    return completion.first_replies(timed, "ts")
+    """Replies in several micro-batches, out of time order, with late repeats."""
+    path, files = tables.write_reply_files(spark, sf)
+    batch = -(-files // tables.REPLY_BATCHES)
+    return completion.first_replies(intake.read_folder(spark, path, tables.REPLY_STREAM, files_per_batch=batch))
 
 
 @query
 def stream_dedup_responses(spark, sf):
-    first = reply_stream(spark, sf).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
-    return intake.drained(first, "stream-replies")
+    # Which copy of a reply is first depends on the files, so the time is no result.
+    return intake.drained(reply_stream(spark, sf).drop("ts", "file"), "stream-replies")
 
 
 @query

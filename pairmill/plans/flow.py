@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from pairmill.operators import ngrams, pairs
-from pairmill.session import durable
+from pairmill.session import durable, planned_bytes, size_shuffles
 
 
 @dataclass(frozen=True)
@@ -36,6 +36,7 @@ def _stored(token_events: DataFrame) -> DataFrame:
 
 def from_text(documents: DataFrame, order: int = ngrams.ORDER) -> Counts:
     """Counts of a text table `doc_id, source, year, text`."""
+    size_shuffles(documents.sparkSession, planned_bytes(documents))
     marginals = _stored(ngrams.text_token_events(documents, order))
     return Counts(
         pairs.pair_counts(ngrams.text_pair_events(documents, order)),
@@ -46,6 +47,7 @@ def from_text(documents: DataFrame, order: int = ngrams.ORDER) -> Counts:
 
 def from_ngrams(counts: DataFrame, pairing: str = "all", stop_words=None) -> Counts:
     """Counts of a yearly n-gram table `ngram, year, occurrences`."""
+    size_shuffles(counts.sparkSession, planned_bytes(counts))
     marginals = _stored(ngrams.token_events(counts, pairing, stop_words))
     return Counts(
         pairs.pair_counts(ngrams.pair_events(counts, pairing, stop_words)),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pairmill.functions.text import words
 from pairmill.operators.evaluation import label_set
 from pairmill.operators.skew import number_rows
-from pairmill.session import spread
+from pairmill.session import fresh_path, spread
 
 BUCKET = "results"
 BATCH = 7
@@ -107,3 +107,40 @@ def repeated(rows: DataFrame) -> DataFrame:
     """Replies with every tenth one delivered twice."""
     copies = F.when(F.col("task_no") % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     return rows.select("*", F.explode(copies).alias("_copy")).drop("_copy")
+
+
+def answered(rows: DataFrame) -> DataFrame:
+    """Replies of the event table with a url and a result."""
+    url = F.concat(F.lit("event://"), F.col("task_no").cast("string"))
+    return rows.withColumns({"url": url, "result": F.concat(F.lit("done://"), F.col("task_no").cast("string"))})
+
+
+REPLY_STREAM = (
+    "local_id bigint, task_no bigint, num_tasks bigint, operation string, is_error boolean, ts timestamp_ntz"
+)
+# Micro-batches of the reply streams, at least.
+REPLY_BATCHES = 4
+REPEAT_SECONDS = 400
+
+
+def write_reply_files(spark: SparkSession, sf: str) -> tuple[str, int]:
+    """The replies as files whose times overlap; every tenth again, later, in another file."""
+    rows = replies(spark, sf).withColumn("file", F.col("task_no") % REPLY_BATCHES)
+    late = F.expr(f"ts + interval {REPEAT_SECONDS} seconds")
+    again = rows.where("task_no % 10 = 0").withColumns(
+        {"ts": late, "file": (F.col("file") + 1) % REPLY_BATCHES}
+    )
+    path = fresh_path(spark, "reply-files")
+    rows.unionByName(again).repartition("file").write.partitionBy("file").parquet(path)
+    return path, len(spark.read.parquet(path).inputFiles())
+
+
+def write_task_lists(spark: SparkSession, sf: str) -> str:
+    """Task lists by job, 000 to 004; the lines of some pages lack their tab."""
+    rows = task_rows(table(spark, sf, "pages"))
+    line = F.concat_ws("\t", "operation", "url")
+    broken = F.when(F.col("page_id") % 7 == 3, F.col("url")).otherwise(line)
+    job = F.concat(F.lit("00"), (F.col("page_id") % 5).cast("string"))
+    path = fresh_path(spark, "task-lists")
+    rows.select(job.alias("local_id"), broken.alias("value")).write.partitionBy("local_id").text(path)
+    return path

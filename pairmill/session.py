@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -30,25 +31,35 @@ def build_session(app: str = "pairmill", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-# Counting pairs shuffles several times its text; a reduce task should take about this.
+# Counting pairs shuffles several times its text; a reduce task should take about this,
+# which it spills through in sorted runs.
 SHUFFLE_GROWTH = 8
-SHUFFLE_BYTES = 256 * 1024 * 1024
-# More shuffle partitions than this cost the driver more than they save the tasks.
-MOST_PARTITIONS = 100_000
+SHUFFLE_BYTES = 1024 * 1024 * 1024
 
 
 def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
-    """Set the shuffle partitions for an input of that size, and return them.
+    """Raise the shuffle partitions to what an input of that size needs; return them.
 
     Spark's default of 200 is for gigabytes. Too many do no harm: adaptive execution
-    joins small ones.
+    joins small ones. 100 TB make 800,000 partitions of 1 GiB.
     """
-    wanted = -(-input_bytes * SHUFFLE_GROWTH // SHUFFLE_BYTES)
-    count = max(2 * spark.sparkContext.defaultParallelism, min(wanted, MOST_PARTITIONS))
+    wanted = max(
+        -(-input_bytes * SHUFFLE_GROWTH // SHUFFLE_BYTES), 2 * spark.sparkContext.defaultParallelism
+    )
+    count = max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))
     spark.conf.set("spark.sql.shuffle.partitions", str(count))
     return count
 
 
+def planned_bytes(df: DataFrame) -> int:
+    """What the optimizer expects the rows to take: for tables of files, from their size.
+
+    0 where it knows nothing, as of rows made by a program.
+    """
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return size if size < 1 << 60 else 0
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for durable tables: `spark.checkpoint.dir`.
 
@@ -60,7 +71,7 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     made = tempfile.mkdtemp(prefix="pairmill-")
     context.setCheckpointDir(made)
@@ -69,7 +80,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/pairmill/{label}-{uuid.uuid4().hex}"
+    return f"{_own_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _own_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/pairmill/{spark.sparkContext.applicationId}"
+
+
+def release(spark: SparkSession, path: str | None = None) -> None:
+    """Delete this application's stored tables, or the one at `path`, when no plan reads them."""
+    gone = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path or _own_dir(spark))
+    gone.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(gone, True)
 
 
 def durable(df: DataFrame, label: str) -> DataFrame:

@@ -28,6 +28,13 @@ def summary_lines(replies: DataFrame) -> DataFrame:
     return replies.select("local_id", "task_no", line.alias("line"))
 
 
+def round_lines(replies: DataFrame) -> DataFrame:
+    """`local_id, round, place, line`: a summary for each full round of a job."""
+    keys = ["local_id", "round", "place"]
+    lines = summary_lines(replies.withColumn("task_no", F.struct(*keys)).drop("round", "place"))
+    return lines.select(*[F.col(f"task_no.{k}").alias(k) for k in keys], "line")
+
+
 def parse_summary(lines: DataFrame) -> DataFrame:
     """The four fields of summary lines, and whether the status is the error mark."""
     parts = F.split("line", "\t")

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairmill.operators.skew import number_rows
 
-TASK_STREAM = "page_id bigint, url string, html string"
-
 
 def parse_tasks(lines: DataFrame) -> DataFrame:
     """`operation, url` of each line beside its other columns; `bad` holds a line
@@ -23,19 +21,26 @@ def parse_tasks(lines: DataFrame) -> DataFrame:
     )
 
 
-def read_task_lists(spark: SparkSession, path: str) -> DataFrame:
-    """`local_id, task_no, num_tasks, operation, url` of the list files at `path`.
+def read_task_lists(
+    spark: SparkSession, path: str, job: Column | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Tasks `local_id, task_no, num_tasks, operation, url` of the list files at `path`,
+    and rejects `local_id, value`: lines without a tab.
 
-    The file name is the job. Task numbers follow the lines, also of a file so long
-    that it is read in several splits.
+    The job is the file's whole path, so equal names in two folders are two jobs; `job`
+    takes it from `path` (the file's path) instead. Task numbers follow the lines, also
+    of a file so long that it is read in several splits.
     """
+    job = F.col("path") if job is None else job
     at = F.col("_metadata")
     lines = spark.read.text(path).select(
         "value",
-        F.element_at(F.split(at["file_path"], "/"), -1).alias("local_id"),
+        at["file_path"].alias("path"),
         at["file_block_start"].alias("_block"),
         F.monotonically_increasing_id().alias("_line"),
     )
-    good = parse_tasks(lines.where("value <> ''")).where("bad IS NULL").drop("bad")
-    numbered = number_rows(good, ["local_id"], ["_block", "_line"], "task_no", "num_tasks")
-    return numbered.select("local_id", "task_no", "num_tasks", "operation", "url")
+    parsed = parse_tasks(lines.withColumn("local_id", job).where("value <> ''"))
+    good = parsed.where("bad IS NULL").drop("bad")
+    numbered = number_rows(good, ["local_id"], ["path", "_block", "_line"], "task_no", "num_tasks")
+    rejects = parsed.where("bad IS NOT NULL").select("local_id", F.col("bad").alias("value"))
+    return numbered.select("local_id", "task_no", "num_tasks", "operation", "url"), rejects

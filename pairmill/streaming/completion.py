@@ -9,25 +9,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-# How long after its first reply a task may be answered again: the time a task stays
-# hidden from other workers before it is handed out once more.
-REDELIVERY = "180 seconds"
 
+def first_replies(stream: DataFrame) -> DataFrame:
+    """The reply stream without repeats: each reply counts once, however late they come.
 
-def first_replies(stream: DataFrame, arrival: str, delay: str = REDELIVERY) -> DataFrame:
-    """The reply stream without repeats within `delay`.
-
-    Copies are first dropped per input partition, so that one reply repeated very
-    often is spread over as many tasks as it arrives in, then across partitions.
+    The state is the key of every reply seen, spread over all partitions; it grows with
+    the tasks ever answered, which is the price of never counting one twice. Copies
+    inside an Arrow batch go first, so a reply sent very often is not one hot key.
     """
-    timed = stream.withWatermark(arrival, delay).withColumn("_split", F.spark_partition_id())
-    per_split = timed.dropDuplicatesWithinWatermark(["local_id", "task_no", "_split"])
-    return per_split.drop("_split").dropDuplicatesWithinWatermark(["local_id", "task_no"])
+
+    def batch_first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.drop_duplicates(["local_id", "task_no"])
+
+    once = stream.mapInPandas(batch_first, stream.schema)
+    return once.dropDuplicates(["local_id", "task_no"])
+
+
+def countable(replies: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Replies that say how many tasks their job has, and those that do not."""
+    good = F.coalesce(F.col("num_tasks") > 0, F.lit(False))
+    return replies.where(good), replies.where(~good)
 
 
 def full_rounds(replies: DataFrame) -> DataFrame:
     """`local_id, round, replies`: each round of `num_tasks` replies, once it is full.
 
+    Replies without a positive `num_tasks` belong to no round (see `countable`).
+
     The state of a job is two numbers. Its replies are counted per Arrow batch before
     the shuffle, so a job that sends a third of all replies still sends its one state
     a few rows.
@@ -54,7 +63,7 @@ def full_rounds(replies: DataFrame) -> DataFrame:
 
     job = f"local_id {replies.schema['local_id'].dataType.simpleString()}"
     slim = replies.select("local_id", F.col("num_tasks").cast("bigint").alias("num_tasks"))
-    counts = slim.mapInPandas(batch_counts, f"{job}, num_tasks bigint, replies bigint")
+    counts = countable(slim)[0].mapInPandas(batch_counts, f"{job}, num_tasks bigint, replies bigint")
     return counts.groupBy("local_id").applyInPandasWithState(
         rounds_of,
         f"{job}, round bigint, replies bigint",

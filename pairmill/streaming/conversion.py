@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame
 
 from pairmill.operators import conversion
 from pairmill.session import fresh_path
+from pairmill.streaming.intake import await_end
 
 
 def drain(
-    tasks: DataFrame, documents: DataFrame, bucket: str, path: str, checkpoint: str, timeout: int = 3600
+    tasks: DataFrame, documents: DataFrame, bucket: str, path: str, checkpoint: str, timeout: int | None = None
 ) -> None:
     """Convert the tasks that are there, write their replies below `path`, and stop.
 
@@ -27,9 +28,7 @@ def drain(
         .trigger(availableNow=True)
         .start()
     )
-    if not query.awaitTermination(timeout):
-        query.stop()
-        raise TimeoutError(f"the stream did not drain in {timeout} s")
+    await_end(query, timeout)
 
 
 def drained(tasks: DataFrame, documents: DataFrame, bucket: str) -> DataFrame:

@@ -54,6 +54,9 @@ def test_corpus_rejects(spark):
         "value string",
     )
     good, rejects = corpus.parse_ngrams(lines)
+    assert rows(good, "ngram") == [('"quo\\te" x',), ("a",)]
+    assert rows(rejects, "reason") == [("fields",), ("number",), ("number",)]
+    good, rejects = corpus.parse_ngrams(lines, decades=(0, 11))
     assert rows(good, "ngram") == [('"quo\\te" x',)]
     assert rows(rejects, "reason") == [("decade",), ("fields",), ("number",), ("number",)]
 
@@ -123,7 +126,9 @@ def test_two_totals_fail_the_job(spark):
 
 def test_pmi_list(spark):
     lines = spark.createDataFrame([("a,b,7\t0.5",), ("c,d\t-1.25",), ("junk",)], "value string")
-    assert rows(kv_in.parse_pmi_list(lines, 10)) == [(10, "a", "b", 0.5), (10, "c", "d", -1.25)]
+    good, bad = kv_in.parse_pmi_list(lines, 10)
+    assert rows(good) == [(10, "a", "b", 0.5), (10, "c", "d", -1.25)]
+    assert bad.count() == lines.count() - 2
 
 
 def test_sequence_file_round_trip(spark, tmp_path):

@@ -125,12 +125,12 @@ def test_stop_words_leave_before_pairing(spark):
     assert rows(found, "w1", "w2") == [("cat", "sat")]
 
 
-def test_decades_outside_the_range_are_left_out(spark):
+def test_all_years_count(spark):
     table = spark.createDataFrame(
         [("a b", 1899, 1), ("a b", 1900, 1), ("a b", 2019, 1), ("a b", 2020, 1)],
         "ngram string, year int, occurrences bigint",
     )
-    assert rows(ngrams.pair_events(table), "decade") == [(0,), (11,)]
+    assert rows(ngrams.pair_events(table), "decade") == [(-1,), (0,), (11,), (12,)]
     assert rows(spark.range(1).select(decade_of(F.lit(2005)))) == [(10,)]
 
 

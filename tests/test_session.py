@@ -54,9 +54,12 @@ def test_spread_only_when_there_are_too_few_splits(spark):
 def test_shuffles_grow_with_the_input(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     try:
+        spark.conf.set("spark.sql.shuffle.partitions", "1")
         assert session.size_shuffles(spark, 1) == 2 * spark.sparkContext.defaultParallelism
-        assert session.size_shuffles(spark, 1 << 40) == 32768
-        assert session.size_shuffles(spark, 100 << 40) == session.MOST_PARTITIONS
-        assert spark.conf.get("spark.sql.shuffle.partitions") == str(session.MOST_PARTITIONS)
+        assert session.size_shuffles(spark, 1 << 40) == 8192
+        # A gibibyte per task at any size; a smaller input later takes nothing back.
+        assert session.size_shuffles(spark, 100 << 40) == 819_200
+        assert session.size_shuffles(spark, 1) == 819_200
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "819200"
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -48,7 +48,7 @@ def expected_rounds(table):
 def test_streamed_rounds_equal_batch(spark, tmp_path):
     table = replies(spark)
     write_files(table, tmp_path / "s", 3)
-    kept = completion.first_replies(stream(spark, tmp_path / "s"), "ts", "2 hours")
+    kept = completion.first_replies(stream(spark, tmp_path / "s"))
     found = intake.drained(completion.full_rounds(kept), "test-rounds")
     assert rows(found) == expected_rounds(table)
 
@@ -56,7 +56,7 @@ def test_streamed_rounds_equal_batch(spark, tmp_path):
 def test_streamed_replies_without_repeats(spark, tmp_path):
     table = replies(spark)
     write_files(table.repartition(4), tmp_path / "s", 2)
-    kept = completion.first_replies(stream(spark, tmp_path / "s"), "ts", "2 hours")
+    kept = completion.first_replies(stream(spark, tmp_path / "s"))
     found = rows(intake.drained(kept, "test-replies"), "local_id", "task_no")
     assert found == rows(table.select("local_id", "task_no").distinct())
 
@@ -67,7 +67,7 @@ def test_restart_goes_on_without_repeats(spark, tmp_path):
     folder, out, checkpoint = (str(tmp_path / n) for n in ("s", "out", "checkpoint"))
 
     def run():
-        kept = completion.first_replies(stream(spark, folder), "ts", "2 hours")
+        kept = completion.first_replies(stream(spark, folder))
         intake.drain(completion.full_rounds(kept), out, checkpoint)
         return rows(spark.read.parquet(out))
 
