@@ -33,11 +33,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pairmill.llm.shards import (
-    BUCKETS_PER_PARTITION,
     Answers,
     answered,
     ask,
     ask_first,
+    bucket_count,
     grouped,
     partitions,
     stable,
@@ -99,15 +99,15 @@ def class_of(counts: np.ndarray) -> np.ndarray:
     return np.frexp(counts.astype(np.float64))[1].astype(np.int64)
 
 
-def _word_totals(names: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, bytes]:
+def _word_totals(names: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Training counts of all words; the bucket's number of tokens and of words."""
     totals = summed(names, counts)
     order, first = grouped(names)
     seen = totals[order][first]
-    return totals, np.array([counts.sum(), (seen > 0).sum()], np.int64).tobytes()
+    return totals, np.array([counts.sum(), (seen > 0).sum()])
 
 
-def _pair_totals(names: np.ndarray, packed: np.ndarray) -> tuple[np.ndarray, bytes]:
+def _pair_totals(names: np.ndarray, packed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Training counts of all pairs; per count class of the state: steps, and those seen once."""
     counts, classes = packed // CLASSES, packed % CLASSES
     totals = summed(names, counts)
@@ -115,14 +115,14 @@ def _pair_totals(names: np.ndarray, packed: np.ndarray) -> tuple[np.ndarray, byt
     seen, kind = totals[order][first], classes[order][first]
     steps = np.bincount(kind, seen, CLASSES)
     once = np.bincount(kind, seen == 1, CLASSES)
-    return totals, np.concatenate((steps, once)).astype(np.int64).tobytes()
+    return totals, np.concatenate((steps, once))
 
 
 def _notes(answers: DataFrame, length: int) -> np.ndarray:
     """Sum of the buckets' notes: a few numbers per bucket, summed in Spark."""
     add = lambda a, b: [x + y for x, y in zip(a, b, strict=True)]
-    notes = answers.where("part < 0").select("answer").rdd.map(
-        lambda r: np.frombuffer(bytes(r["answer"]), np.int64).tolist()
+    notes = answers.where("part < 0").select("answers").rdd.map(
+        lambda r: np.frombuffer(bytes(r["answers"][0]), np.int64).tolist()
     )
     return np.array(notes.treeReduce(add) if not notes.isEmpty() else [0] * length, np.int64)
 
@@ -136,10 +136,9 @@ def score(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame
         "base_score double, score double"
     )
     schema = T.StructType([T.StructField("doc_id", id_type), *schema.fields])
-    count = partitions(rows)
-    if not count:
+    if not partitions(rows):
         return docs.sparkSession.createDataFrame([], schema)
-    buckets = BUCKETS_PER_PARTITION * count
+    buckets = bucket_count(rows)
 
     asked = ask_first(rows, lambda t: Shard(t).words(), buckets)
     words = durable(answered(asked, "words", _word_totals, np.int64), "word-totals")
@@ -171,7 +170,11 @@ def score(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame
     pairs = pairs.where("part >= 0")
     shares = np.clip(once / np.maximum(steps, 1), *SHARES)
 
-    def finish(table: pa.Table, got: Answers, part: int, chunk: int) -> Iterator[tuple]:
+    def finish(part: int, shards: Iterator) -> Iterator[tuple]:
+        for table, got in shards:
+            yield from result_rows(table, got)
+
+    def result_rows(table: pa.Table, got: Answers) -> Iterator[tuple]:
         shard = Shard(table)
         counts, before = states_of(shard, got)
         root = (counts + ADD) / (train_tokens + ADD * (train_words + 1))

@@ -13,6 +13,8 @@ tables read from files do. `stable` stores any other.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -21,18 +23,21 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
+from pyspark.serializers import BatchedSerializer, CPickleSerializer
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pairmill.session import durable
 
 # Text of one shard, about; a longer text is a shard of its own.
-SHARD_BYTES = 12 << 20
-# Buckets of the name space for each input partition.
-BUCKETS_PER_PARTITION = 3
+SHARD_BYTES = 2 << 20
+# Text whose names make up one bucket of the name space, about.
+BUCKET_BYTES = 5 << 20
 
-ASKED = "part int, chunk int, bucket int, names binary, numbers binary"
-ANSWER = "part int, chunk int, bucket int, topic string, answer binary"
+# One row for each partition and bucket; lists hold an entry per shard of the partition.
+ASKED = "part int, bucket int, names array<binary>, numbers array<binary>"
+ANSWER = "part int, bucket int, topic string, answers array<binary>"
 
 
 def stable(docs: DataFrame) -> DataFrame:
@@ -44,6 +49,19 @@ def stable(docs: DataFrame) -> DataFrame:
     return docs if straight else durable(docs, "stable")
 
 
+def give_back() -> None:
+    """Hand freed memory back to the machine: idle workers would keep it."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def bucket_count(docs: DataFrame) -> int:
+    """Buckets of the name space: a bucket's names fit in a task at any input size."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(1, -(-size // BUCKET_BYTES))
+
+
 def pack_bytes(values: np.ndarray) -> bytes:
     """Numbers as byte planes, compressed: planes of zeros take no room."""
     wide = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize)
@@ -95,17 +113,27 @@ def chunks(batches: Iterator[pa.RecordBatch], most: int = SHARD_BYTES) -> Iterat
 
 
 def text_of(table: pa.Table) -> pa.Array:
-    column = table.column("text").combine_chunks()
-    return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return pa.concat_arrays(table.column("text").chunks)
+
 
+class Questions:
+    """What the shards of a partition ask, by bucket."""
 
-def _asked_rows(part: int, chunk: int, names: np.ndarray, numbers: np.ndarray, buckets: int):
-    edges = bucket_edges(names, buckets)
-    for b in range(buckets):
-        a, z = edges[b], edges[b + 1]
-        # The first bucket's row is always sent, so that every shard gets an answer.
-        if z > a or b == 0:
-            yield part, chunk, b, pack_names(names[a:z]), pack_bytes(numbers[a:z])
+    def __init__(self, buckets: int):
+        self.names: list[list[bytes]] = [[] for _ in range(buckets)]
+        self.numbers: list[list[bytes]] = [[] for _ in range(buckets)]
+
+    def add(self, names: np.ndarray, numbers: np.ndarray) -> None:
+        edges = bucket_edges(names, len(self.names))
+        for b in range(len(self.names)):
+            part = slice(edges[b], edges[b + 1])
+            self.names[b].append(pack_names(names[part]))
+            self.numbers[b].append(pack_bytes(numbers[part]))
+
+    def rows(self, part: int) -> Iterator[tuple]:
+        for b, (names, numbers) in enumerate(zip(self.names, self.numbers, strict=True)):
+            if names:
+                yield part, b, names, numbers
 
 
 class Answers(dict):
@@ -129,99 +157,116 @@ def ask_first(docs: DataFrame, build: Callable, buckets: int) -> DataFrame:
     """Questions that need no answers: `build(table)` gives sorted names and numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, sent = TaskContext.get().partitionId(), 0
-        for number, table in enumerate(chunks(batches)):
-            names, numbers = build(table)
-            rows = list(zip(*_asked_rows(part, number, names, numbers, buckets), strict=True))
-            kinds = (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
-            sent += 1
+        asked = Questions(buckets)
+        for table in chunks(batches):
+            asked.add(*build(table))
+        kinds = (pa.int32(), pa.int32(), pa.list_(pa.binary()), pa.list_(pa.binary()))
+        give_back()
+        for row in asked.rows(TaskContext.get().partitionId()):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(rows, kinds, strict=True)],
-                names=["part", "chunk", "bucket", "names", "numbers"],
+                [pa.array([x], k) for x, k in zip(row, kinds, strict=True)],
+                names=["part", "bucket", "names", "numbers"],
             )
 
     return docs.mapInArrow(run, ASKED)
 
 
+def _row_chunks(rows: Iterator, most: int = SHARD_BYTES) -> Iterator[tuple[list, list]]:
+    """The same shards as `chunks`, from rows of id, text and size of the text."""
+    ids: list = []
+    texts: list = []
+    size = 0
+    for doc, text, own in rows:
+        own = own or 0
+        if ids and size + own > most:
+            yield ids, texts
+            ids, texts, size = [], [], 0
+        ids.append(doc)
+        texts.append(text)
+        size += own
+    if ids:
+        yield ids, texts
+
+
+def _sorted_answers(rows: Iterator) -> Iterator[list]:
+    """Of the answers to a partition, those to one shard after another."""
+    held = [r for _, group in rows for r in group if r is not None]
+    for number in range(max((len(lists) for *_, lists in held), default=0)):
+        yield [(topic, bucket, bytes(lists[number])) for _, bucket, topic, lists in held if number < len(lists)]
+
+
 def with_answers(docs: DataFrame, answers: DataFrame, visit: Callable, schema: T.StructType) -> DataFrame:
-    """Rows of `visit(table, answers of the shard, partition, chunk)` for every shard.
+    """Rows of `visit(partition, shards)`; `shards` gives (table, answers) one by one.
 
-    The documents stay where they are read; answers go to the partition that asked.
+    The documents stay where they are read; answers go to the partition that asked. Both
+    pass through the task shard by shard.
     """
     count = partitions(docs)
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sink = pa.BufferOutputStream()
-        options = pa.ipc.IpcWriteOptions(compression="lz4")
-        writer = None
-        for batch in batches:
-            writer = writer or pa.ipc.new_stream(sink, batch.schema, options=options)
-            writer.write_batch(batch)
-        if writer:
-            writer.close()
-        yield pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["rows"])
-
-    def run(pair: tuple) -> Iterator[tuple]:
-        rows, (part, sent) = pair
-        if not rows:
-            return
-        by_chunk: dict[int, Answers] = {}
-        for _, chunk, bucket, topic, answer in sent:
-            by_chunk.setdefault(chunk, Answers()).setdefault(topic, {})[bucket] = answer
-        for number, table in enumerate(chunks(iter(pa.ipc.open_stream(rows)))):
-            yield from visit(table, by_chunk.get(number, Answers()), part, number)
-
-    packed = docs.mapInArrow(pack, "rows binary").rdd.map(lambda r: bytes(r["rows"]))
-    sent = answers.select("part", "chunk", "bucket", "topic", "answer").rdd.map(
-        lambda r: (r["part"], (r["part"], r["chunk"], r["bucket"], r["topic"], bytes(r["answer"])))
-    )
-    empty = docs.sparkSession.sparkContext.parallelize(range(count), max(count, 1)).map(lambda p: (p, None))
-    gathered = (
-        sent.union(empty)
-        .groupByKey(count, partitionFunc=lambda p: p)
-        .mapValues(lambda rows: [r for r in rows if r is not None])
-    )
+    context = docs.sparkSession.sparkContext
+    kind = pa.from_numpy_dtype("int64") if docs.schema["doc_id"].dataType == T.LongType() else None
+
+    def run(part: int, pairs: Iterator) -> Iterator[tuple]:
+        def shards() -> Iterator[tuple[pa.Table, Answers]]:
+            for (ids, texts), sent in pairs:
+                got = Answers()
+                for topic, bucket, answer in sent:
+                    got.setdefault(topic, {})[bucket] = answer
+                columns = {"doc_id": pa.array(ids, kind), "text": pa.array(texts, pa.large_string())}
+                yield pa.table(columns), got
+
+        yield from visit(part, shards())
+        give_back()
+
+    sized = docs.select("doc_id", "text", F.octet_length("text"))
+    read = sized.rdd.mapPartitions(_row_chunks)
+    sent = answers.select("part", "bucket", "topic", "answers").rdd.map(lambda r: (r["part"], tuple(r)))
+    none = context.parallelize(range(count), max(count, 1)).map(lambda p: (p, None))
+    gathered = sent.union(none).groupByKey(count, partitionFunc=lambda p: p).mapPartitions(_sorted_answers)
+    # A session may deal answers to more partitions; the documents have none there.
+    spare = gathered.getNumPartitions() - count
+    if spare:
+        read = read.union(context.parallelize([], spare))
+    one = BatchedSerializer(CPickleSerializer(), 1)
+    paired = read._reserialize(one).zip(gathered._reserialize(one))
     return docs.sparkSession.createDataFrame(
-        packed.zip(gathered).flatMap(run), schema, verifySchema=False
+        paired.mapPartitionsWithIndex(run), schema, verifySchema=False
     )
 
 
 def ask(docs: DataFrame, answers: DataFrame, build: Callable, buckets: int) -> DataFrame:
     """Questions that need earlier answers: `build(table, answers)`."""
 
-    def visit(table: pa.Table, got: Answers, part: int, chunk: int) -> Iterator[tuple]:
-        names, numbers = build(table, got)
-        yield from _asked_rows(part, chunk, names, numbers, buckets)
+    def visit(part: int, shards: Iterator) -> Iterator[tuple]:
+        asked = Questions(buckets)
+        for table, got in shards:
+            asked.add(*build(table, got))
+        yield from asked.rows(part)
 
     return with_answers(docs, answers, visit, T.StructType.fromDDL(ASKED))
 
 
 def answered(asked: DataFrame, topic: str, reduce: Callable, kind) -> DataFrame:
-    """One bucket at a time: `reduce(names, numbers, starts)` of all shards' questions.
+    """One bucket at a time: `reduce(names, numbers)` of all shards' questions.
 
-    `names` and `numbers` are those of all shards one after another, `starts` where each
-    begins; the result is an array in that order, and a value for the whole bucket that
-    comes back in a row of partition -1.
+    `names` and `numbers` are those of all shards one after another. The result is an
+    array in that order, and a few sums over the whole bucket that come back in a row of
+    partition -1.
     """
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        names = [unpack_names(x) for x in rows["names"]]
-        numbers = [unpack_bytes(x, kind) for x in rows["numbers"]]
+        lists = rows["names"].tolist()
+        names = [unpack_names(x) for part in lists for x in part]
+        numbers = [unpack_bytes(x, kind) for part in rows["numbers"] for x in part]
         ends = np.cumsum([len(x) for x in names])
-        answers, note = reduce(np.concatenate(names), np.concatenate(numbers))
-        cut = np.split(answers, ends[:-1])
-        made = pd.DataFrame(
-            {
-                "part": rows["part"],
-                "chunk": rows["chunk"],
-                "bucket": rows["bucket"],
-                "topic": topic,
-                "answer": [pack_bytes(x) for x in cut],
-            }
-        )
-        if note is not None:
-            made.loc[len(made)] = [-1, 0, int(rows["bucket"].iloc[0]), topic, note]
-        return made
+        answers, sums = reduce(np.concatenate(names), np.concatenate(numbers))
+        cut = iter(np.split(answers, ends[:-1]))
+        bucket = int(rows["bucket"].iloc[0])
+        made = [(p, bucket, topic, [pack_bytes(next(cut)) for _ in x]) for p, x in zip(rows["part"], lists, strict=True)]
+        if sums is not None:
+            made.append((-1, bucket, topic, [sums.astype(np.int64).tobytes()]))
+        del names, numbers, answers
+        give_back()
+        return pd.DataFrame(made, columns=["part", "bucket", "topic", "answers"])
 
     return asked.groupBy("bucket").applyInPandas(run, ANSWER)
 
@@ -242,3 +287,33 @@ def summed(names: np.ndarray, numbers: np.ndarray) -> np.ndarray:
         sums = np.add.reduceat(numbers[order].astype(np.int64), first)
         out[order] = np.repeat(sums, np.diff(np.append(first, len(names))))
     return out
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Tables that end where a group ends, of rows sorted by integer keys."""
+    held: pa.Table | None = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = pa.concat_tables([held, table]) if held is not None else table
+        if not table.num_rows:
+            continue
+        other = np.zeros(table.num_rows, bool)
+        for key in keys:
+            column = table.column(key).to_numpy()
+            other |= column != column[-1]
+        cut = int(np.flatnonzero(other)[-1]) + 1 if other.any() else 0
+        if cut:
+            yield table.slice(0, cut)
+        held = table.slice(cut).combine_chunks()
+    if held is not None and held.num_rows:
+        yield held
+
+
+def group_starts(table: pa.Table, keys: list[str]) -> np.ndarray:
+    """First row of each group, and the number of rows."""
+    changes = np.zeros(table.num_rows, bool)
+    changes[:1] = True
+    for key in keys:
+        column = table.column(key).to_numpy()
+        changes[1:] |= column[1:] != column[:-1]
+    return np.append(np.flatnonzero(changes), table.num_rows)

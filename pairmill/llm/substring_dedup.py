@@ -35,10 +35,10 @@ from pyspark.sql import types as T
 
 from pairmill.llm.shards import (
     Answers,
-    BUCKETS_PER_PARTITION,
     answered,
     ask,
     ask_first,
+    bucket_count,
     grouped,
     partitions,
     stable,
@@ -203,10 +203,9 @@ def dedup(
     rows = stable(docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text")))
     result = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
     schema = T.StructType.fromDDL(result + (", kept_text string" if with_text else ""))
-    count = partitions(rows)
-    if not count:
+    if not partitions(rows):
         return docs.sparkSession.createDataFrame([], schema)
-    buckets = BUCKETS_PER_PARTITION * count
+    buckets = bucket_count(rows)
     asked = ask_first(rows, lambda t: Shard(t, window, rounds).symbols(), buckets)
     shared = durable(answered(asked, "symbols", _shared, np.uint8), "shared-symbols")
 
@@ -216,7 +215,11 @@ def dedup(
     asked = ask(rows, shared, ask_windows, buckets)
     smaller = durable(answered(asked, "windows", _not_least, np.int64), "smaller-windows")
 
-    def finish(table: pa.Table, got: Answers, part: int, chunk: int) -> Iterator[tuple]:
+    def finish(part: int, shards: Iterator) -> Iterator[tuple]:
+        for table, got in shards:
+            yield from result_rows(table, got)
+
+    def result_rows(table: pa.Table, got: Answers) -> Iterator[tuple]:
         shard = Shard(table, window, rounds)
         gone = shard.removed(got, buckets)
         words = shard.words

@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Bytes hashed at a time, so that what a task holds beside its texts is bounded.
-PIECE = 1 << 21
+PIECE = 1 << 19
 
 
 def _byte_set(*ranges: tuple[int, int]) -> np.ndarray:
