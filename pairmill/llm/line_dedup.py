@@ -30,24 +30,26 @@ MIN_CHARS = 20
 LAST_ID = (1 << 63) - 1
 
 
-def _lines(rows: DataFrame, min_chars: int, gone: str | None = None) -> DataFrame:
-    """`doc_id, line_no, line, h, g`: the lines that take part; `gone` lists codes to leave out."""
-    cut = F.transform(
-        F.split("text", "\n"), lambda x, i: F.struct(i.alias("line_no"), x.alias("line"))
-    )
-    lines = F.filter(cut, lambda x: F.length(x["line"]) >= min_chars)
-    found = rows.select("doc_id", *([gone] if gone else []), F.inline(lines)).withColumns(
-        {"h": F.xxhash64("line"), "g": F.xxhash64(F.lit(7), "line")}
+def _own(listed: str) -> Column:
+    """Of the listed `line_no, h`, the line numbers whose line is that one in this row."""
+    mine = F.filter(listed, lambda x: F.xxhash64(F.get("_split", x["line_no"])) == x["h"])
+    return F.transform(mine, lambda x: x["line_no"])
+
+
+def _picked(rows: DataFrame, numbers: Column) -> DataFrame:
+    """`doc_id, line_no, line`: the lines of `_split` with the given numbers."""
+    each = F.transform(
+        numbers, lambda i: F.struct(i.alias("line_no"), F.get("_split", i).alias("line"))
     )
-    if gone:
-        found = found.where(~F.coalesce(F.array_contains(gone, _code(F.col("line_no"), F.col("h"))), F.lit(False)))
-        found = found.drop(gone)
-    return found
+    return rows.select("doc_id", F.inline(each))
 
 
-def _code(line_no: Column, h: Column) -> Column:
-    """One number for a line's place in its document and its text."""
-    return F.xxhash64(line_no, h)
+def _different(rows: DataFrame, listed: str) -> DataFrame:
+    """The lines of each document but for the listed ones."""
+    split = rows.withColumn("_split", F.coalesce(F.split("text", "\n"), F.array(F.lit(""))))
+    numbers = F.sequence(F.lit(0), F.size("_split") - 1)
+    gone = F.coalesce(_own(listed), F.array().cast("array<int>"))
+    return _picked(split, F.array_except(numbers, gone))
 
 
 def _segment(n: Column, i: int, edits: int) -> tuple[Column, Column]:
@@ -84,23 +86,18 @@ def segment_keys(line: Column, n: Column, edits: int) -> tuple[list[Column], lis
     return index, probes
 
 
-def edit_distance(a: Column, b: Column, edits: int) -> Column:
-    """Edits between two arrays of signs; `edits + 1` if there are more.
+def _automaton(a: Column, b: Column, edits: int, steps: Column) -> Column:
+    """State after that many signs of b, one step for each.
 
     Bit t of vector e says that the prefixes of b of length j and of a of length
-    j + t - edits are at most e edits apart; one step per sign of b.
+    j + t - edits are at most e edits apart.
     """
     everything = (1 << (2 * edits + 1)) - 1
     start = F.struct(
         *[F.lit(sum(1 << (edits + d) for d in range(e + 1))).alias(f"r{e}") for e in range(edits + 1)]
     )
 
-    def step(state: Column, j: Column) -> Column:
-        sign = F.get(b, j)
-        match = F.lit(0)
-        for t in range(2 * edits + 1):
-            same = F.coalesce(F.get(a, j + (t - edits)) == sign, F.lit(False))
-            match = match + F.when(same, 1 << t).otherwise(0)
+    def moved(state: Column, match: Column) -> Column:
         made: list[Column] = [state["r0"].bitwiseAND(match)]
         for e in range(1, edits + 1):
             less = state[f"r{e - 1}"]
@@ -110,18 +107,57 @@ def edit_distance(a: Column, b: Column, edits: int) -> Column:
             made.append(kept.bitwiseOR(less).bitwiseOR(inserted).bitwiseOR(deleted))
         return F.struct(*[r.alias(f"r{e}") for e, r in enumerate(made)])
 
+    def step(state: Column, j: Column) -> Column:
+        sign = F.get(b, j)
+        match = F.lit(0)
+        for t in range(2 * edits + 1):
+            same = F.coalesce(F.get(a, j + (t - edits)) == sign, F.lit(False))
+            match = match + F.when(same, 1 << t).otherwise(0)
+        # As the element of a list the matches are computed once.
+        return F.get(F.transform(F.array(match), lambda m: moved(state, m)), F.lit(0))
+
+    places = F.when(steps > 0, F.sequence(F.lit(0), steps - 1)).otherwise(F.array().cast("array<int>"))
+    return F.aggregate(places, start, step)
+
+
+def may_be_close(a: Column, b: Column, edits: int, steps: int = 24) -> Column:
+    """False if the first signs of two arrays alone need more edits."""
+    state = _automaton(a, b, edits, F.least(F.size(b), F.lit(steps)))
+    return state[f"r{edits}"] != 0
+
+
+def edit_distance(a: Column, b: Column, edits: int) -> Column:
+    """Edits between two arrays of signs; `edits + 1` if there are more."""
     place = F.size(a) - F.size(b) + edits
     bit = F.call_function("shiftleft", F.lit(1), place)
-    steps = F.when(F.size(b) > 0, F.sequence(F.lit(0), F.size(b) - 1)).otherwise(F.array().cast("array<int>"))
+    state = _automaton(a, b, edits, F.size(b))
+    found = F.lit(edits + 1)
+    for e in reversed(range(edits + 1)):
+        found = F.when(state[f"r{e}"].bitwiseAND(bit) != 0, e).otherwise(found)
+    return F.when(F.abs(F.size(a) - F.size(b)) <= edits, found).otherwise(edits + 1)
 
-    def last(state: Column) -> Column:
-        out = F.lit(edits + 1)
-        for e in reversed(range(edits + 1)):
-            out = F.when(state[f"r{e}"].bitwiseAND(bit) != 0, e).otherwise(out)
-        return out
 
-    found = F.aggregate(steps, start, step, last)
-    return F.when(F.abs(F.size(a) - F.size(b)) <= edits, found).otherwise(edits + 1)
+def _alike(a: Column, b: Column, size: Column, at_end: bool, before: Column) -> Column:
+    """Signs that two texts share at one end, by halving steps; of a very long text a part."""
+    n, m = F.length(a), F.length(b)
+
+    def more(known: Column, step: Column) -> Column:
+        if at_end:
+            x, y = F.substring(a, n - known - step + 1, step), F.substring(b, m - known - step + 1, step)
+        else:
+            x, y = F.substring(a, known + 1, step), F.substring(b, known + 1, step)
+        return F.when((before + known + step <= size) & (x == y), known + step).otherwise(known)
+
+    return F.aggregate(F.array(*[F.lit(1 << i) for i in range(13, -1, -1)]), F.lit(0), more)
+
+
+def different_parts(rows: DataFrame, a: str, b: str) -> DataFrame:
+    """Replace texts a and b by the signs between their common beginning and end."""
+    least = F.least(F.length(a), F.length(b))
+    headed = rows.withColumn("_p", _alike(F.col(a), F.col(b), least, False, F.lit(0)))
+    both = headed.withColumn("_q", _alike(F.col(a), F.col(b), least, True, F.col("_p")))
+    inner = lambda c: _signs(F.substring(c, F.col("_p") + 1, F.length(c) - F.col("_p") - F.col("_q")))
+    return both.withColumns({a: inner(F.col(a)), b: inner(F.col(b))}).drop("_p", "_q")
 
 
 def _signs(line: Column) -> Column:
@@ -129,15 +165,23 @@ def _signs(line: Column) -> Column:
 
 
 def _by_doc(places: DataFrame) -> DataFrame:
-    """The codes of each document's lines; a document's lines fit in its row."""
-    return places.groupBy("doc_id").agg(F.collect_list(_code(F.col("line_no"), F.col("h"))).alias("_codes"))
+    """`doc_id, _listed`: each document's lines among these; they fit in its row."""
+    return places.groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "h")).alias("_listed"))
+
+
+def _few_new_words(a: Column, b: Column, edits: int) -> Column:
+    """Can the lines be so close? An edit touches two words at most."""
+    return F.size(F.array_except(F.split(a, " "), F.split(b, " "))) <= 2 * edits
 
 
 def removed_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """`doc_id, _codes`: the lines to remove from each document, for `doc_id, text` rows."""
+    """`doc_id, _listed`: the lines to remove from each document, for `doc_id, text` rows."""
     if min_chars <= edits:
         raise ValueError("lines must be longer than the number of edits")
-    places = durable(_lines(docs, min_chars).drop("line"), "lines")
+    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    hashes = {"h": F.xxhash64("line"), "g": F.xxhash64(F.lit(7), "line")}
+    long = F.length("line") >= min_chars
+    places = durable(lines.where(long).select("doc_id", "line_no", *[c.alias(n) for n, c in hashes.items()]), "lines")
     # The first place of each different line: documents first, then lines.
     per_doc = places.groupBy("h", "g", "doc_id").agg(
         F.min("line_no").alias("line_no"), F.count(F.lit(1)).alias("n")
@@ -155,11 +199,12 @@ def removed_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHAR
     repeats = durable(_by_doc(later), "repeats")
 
     # Index and probes of the different lines, in one shuffle.
-    different = _lines(lookup(docs, repeats, ["doc_id"]), min_chars, "_codes")
-    index, probes = segment_keys(F.col("line"), F.length("line"), edits)
+    different = _different(lookup(docs, repeats, ["doc_id"]), "_listed").where(long)
+    sized = different.select("line", F.xxhash64("line").alias("h"), F.length("line").alias("n"))
+    index, probes = segment_keys(F.col("line"), F.col("n"), edits)
     entry = lambda key, is_index: F.struct(key.alias("k"), F.lit(is_index).alias("is_index"))
     entries = F.array(*[entry(k, True) for k in index], *[entry(k, False) for k in probes])
-    rows = different.select("h", F.inline(entries)).where("k is not null").repartition("k")
+    rows = sized.select("h", F.inline(entries)).where("k is not null").repartition("k")
     shared = rows.groupBy("k").agg(
         F.min("h").alias("low"), F.max("h").alias("high"), F.bool_or("is_index").alias("any")
     )
@@ -178,21 +223,27 @@ def removed_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHAR
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct().join(firsts, "h")
     wanted = wanted.select(F.col("first_doc").alias("doc_id"), F.col("first_line").alias("line_no"), "h")
     chosen = durable(_by_doc(wanted), "lines-to-verify")
-    texts = lookup(docs, chosen, ["doc_id"], "inner")
+    texts = lookup(docs, chosen, ["doc_id"], "inner").withColumn("_split", F.split("text", "\n"))
     signs = (
-        texts.select("doc_id", "_codes", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-        .where(F.array_contains("_codes", _code(F.col("line_no"), F.xxhash64("line"))))
-        .select(F.xxhash64("line").alias("h"), F.xxhash64(F.lit(7), "line").alias("g"), "line")
+        _picked(texts, _own("_listed"))
+        .select(*[c.alias(n) for n, c in hashes.items()], "line")
         .dropDuplicates(["h", "g"])
     )
     signs = durable(signs, "line-texts")
     side = lambda name: signs.select(
-        F.col("h").alias(name), F.col("g").alias(f"{name}_g"), _signs(F.col("line")).alias(f"{name}_s")
+        F.col("h").alias(name), F.col("g").alias(f"{name}_g"), F.col("line").alias(f"{name}_s")
     )
     near = (
         pairs.join(side("a"), "a")
         .join(side("b"), "b")
-        .where(edit_distance(F.col("a_s"), F.col("b_s"), edits) <= edits)
+        .where(_few_new_words(F.col("a_s"), F.col("b_s"), edits))
+        .where(_few_new_words(F.col("b_s"), F.col("a_s"), edits))
+    )
+    close = durable(different_parts(near, "a_s", "b_s"), "different-parts")
+    x, y = F.col("a_s"), F.col("b_s")
+    close = durable(close.repartition("a", "b").where(may_be_close(x, y, edits)), "close-lines")
+    near = (
+        close.where(edit_distance(x, y, edits) <= edits)
         .select(
             F.struct(F.col("a").alias("h"), F.col("a_g").alias("g")).alias("x"),
             F.struct(F.col("b").alias("h"), F.col("b_g").alias("g")).alias("y"),
@@ -218,16 +269,15 @@ def dedup(
     slim = docs.select(ids, F.col(text).alias("text"))
     removed = removed_lines(slim, edits, min_chars)
     rows = docs.select(F.struct("*").alias("doc"), ids, F.col(text).alias("text"))
-    lines = lookup(rows, removed, ["doc_id"]).withColumn("_lines", F.split("text", "\n"))
-    kept = F.filter(
-        "_lines", lambda x, i: ~F.array_contains("_codes", _code(i, F.xxhash64(x)))
-    )
-    shown = F.when(F.col("_codes").isNull(), F.col("_lines")).otherwise(kept)
-    return lines.select("doc", "_lines", shown.alias("_kept")).select(
+    split = lookup(rows, removed, ["doc_id"]).withColumn("_split", F.split("text", "\n"))
+    numbered = split.withColumn("_gone", F.when(F.col("_listed").isNotNull(), _own("_listed")))
+    numbers = F.array_except(F.sequence(F.lit(0), F.size("_split") - 1), F.col("_gone"))
+    kept = F.array_join(F.transform(numbers, lambda i: F.get("_split", i)), "\n")
+    return numbered.select(
         "doc",
-        F.array_join("_kept", "\n").alias("kept"),
-        F.coalesce(F.size("_lines"), F.lit(0)).cast("bigint").alias("n_lines"),
-        F.coalesce(F.size("_lines") - F.size("_kept"), F.lit(0)).cast("bigint").alias("n_removed"),
+        F.when(F.size("_gone") > 0, kept).otherwise(F.col("text")).alias("kept"),
+        F.greatest(F.size("_split"), F.lit(0)).cast("bigint").alias("n_lines"),
+        F.greatest(F.size("_gone"), F.lit(0)).cast("bigint").alias("n_removed"),
     )
 
 
