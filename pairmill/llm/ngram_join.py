@@ -42,11 +42,12 @@ from pyspark.sql import types as T
 from pairmill.llm.common import components, lookup
 from pairmill.llm.shards import (
     ANSWER,
-    BUCKETS_PER_PARTITION,
     Answers,
     answered,
     ask,
+    bucket_count,
     chunks,
+    group_starts,
     grouped,
     pack_bytes,
     partitions,
@@ -54,6 +55,7 @@ from pairmill.llm.shards import (
     summed,
     text_of,
     unpack_bytes,
+    whole_groups,
     with_answers,
 )
 from pairmill.llm.textscan import SPACED, mix, pieces, scan, windows
@@ -68,6 +70,9 @@ SKETCH_BITS = 2048
 # Classes of a bucket, and sets of a prefix tree, that one task holds at a time.
 BLOCK = 4096
 TREE = 512
+# Groups up to this size are compared all at once, so many pairs at a time.
+SMALL_GROUP = 256
+PAIRS = 1 << 17
 
 
 def gram_sets(texts: pa.Array, k: int) -> Iterator[np.ndarray]:
@@ -101,7 +106,7 @@ class Rule:
     def __init__(self, num: int, den: int):
         self.num, self.den = num, den
 
-    def need(self, a, b):
+    def need(self, a, b=0):
         """Smallest intersection of two linked sets of these sizes."""
         return -(-(a + b) * self.num // (self.num + self.den))
 
@@ -172,16 +177,21 @@ def _frequent(facts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return names, np.array([n for _, n in found], np.int64)
 
 
-def _own_classes(classes: DataFrame) -> DataFrame:
+def _own_classes(classes: DataFrame, seen: DataFrame) -> DataFrame:
     """To each shard the classes whose smallest document it holds."""
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        own = pack_bytes(np.sort(rows["name"].to_numpy().astype(np.int64)))
-        return pd.DataFrame(
-            {"part": [key[0]], "chunk": [key[1]], "bucket": [0], "topic": ["own"], "answer": [own]}
-        )
+        # Every partition's last shard is here too, so that each has a list.
+        lists = [np.empty(0, np.int64)] * (int(rows["chunk"].max()) + 1)
+        for chunk, own in rows[rows["own"]].groupby("chunk")["name"]:
+            lists[chunk] = np.sort(own.to_numpy().astype(np.int64))
+        made = [(key[0], 0, "own", [pack_bytes(x) for x in lists])]
+        return pd.DataFrame(made, columns=["part", "bucket", "topic", "answers"])
 
-    return classes.select("part", "chunk", "name").groupBy("part", "chunk").applyInPandas(run, ANSWER)
+    own = classes.select("part", "chunk", "name", F.lit(True).alias("own"))
+    last = seen.groupBy("part").agg(F.max("chunk").alias("chunk"))
+    last = last.select("part", "chunk", F.lit(0).cast("bigint").alias("name"), F.lit(False).alias("own"))
+    return own.union(last).groupBy("part").applyInPandas(run, ANSWER)
 
 
 def _lists(names: np.ndarray, packed: np.ndarray) -> tuple[np.ndarray, None]:
@@ -191,10 +201,10 @@ def _lists(names: np.ndarray, packed: np.ndarray) -> tuple[np.ndarray, None]:
     return np.where(count > 1, total * 2 + 1, 0), None
 
 
-def _members(docs: DataFrame, classes: DataFrame, rule: Rule, k: int, frequent, rank) -> DataFrame:
+def _members(docs: DataFrame, classes: DataFrame, seen: DataFrame, rule: Rule, k: int, frequent, rank) -> DataFrame:
     """`bucket, name, n, sketch`: the classes of each bucket."""
-    buckets = BUCKETS_PER_PARTITION * partitions(docs)
-    own = durable(_own_classes(classes), "own-classes")
+    buckets = bucket_count(docs)
+    own = durable(_own_classes(classes, seen), "own-classes")
 
     def own_sets(table: pa.Table, got: Answers) -> Iterator[tuple[int, np.ndarray]]:
         mine = set(unpack_bytes(got["own"][0], np.int64).tolist()) if "own" in got else set()
@@ -222,7 +232,11 @@ def _members(docs: DataFrame, classes: DataFrame, rule: Rule, k: int, frequent,
     asked = ask(docs, own, ask_prefixes, buckets)
     lists = durable(answered(asked, "lists", _lists, np.int64), "gram-lists")
 
-    def emit(table: pa.Table, got: Answers, part: int, chunk: int) -> Iterator[tuple]:
+    def emit(part: int, shards: Iterator) -> Iterator[tuple]:
+        for table, got in shards:
+            yield from bucket_rows(table, got)
+
+    def bucket_rows(table: pa.Table, got: Answers) -> Iterator[tuple]:
         held = list(own_sets(table, got))
         if not held:
             return
@@ -241,9 +255,32 @@ def _members(docs: DataFrame, classes: DataFrame, rule: Rule, k: int, frequent,
     return durable(with_answers(docs, own.unionByName(lists), emit, schema), "gram-buckets")
 
 
-def _arrays(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    sketches = np.frombuffer(b"".join(rows["sketch"]), np.uint64).reshape(len(rows), -1)
-    return rows["name"].to_numpy(), rows["n"].to_numpy(), sketches
+def _arrays(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64)
+    return table.column("name").to_numpy(), table.column("n").to_numpy(), sketches.reshape(table.num_rows, -1)
+
+
+def _near_pairs(starts: np.ndarray, sizes, sketches, rule: Rule, wanted=None) -> Iterator[tuple]:
+    """(i, j) of all pairs of rows of one group that may link; a group is `starts[g:g + 2]`."""
+    ends = np.repeat(starts[1:], np.diff(starts))
+    number = ends - np.arange(len(ends)) - 1
+    upto = np.cumsum(number)
+    at = 0
+    while at < len(number):
+        base = upto[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(upto, base + PAIRS, side="right")))
+        own = number[at:to]
+        i = np.repeat(np.arange(at, to), own)
+        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(own) - own, own)
+        fits = np.minimum(sizes[i], sizes[j]) * rule.den >= np.maximum(sizes[i], sizes[j]) * rule.num
+        if wanted is not None:
+            fits &= wanted(i, j)
+        i, j = i[fits], j[fits]
+        apart = np.bitwise_count(sketches[i] ^ sketches[j]).sum(axis=1, dtype=np.int64)
+        both = sizes[i] + sizes[j]
+        near = apart <= both - 2 * rule.need(both)
+        yield i[near], j[near]
+        at = to
 
 
 def _forest(members: DataFrame, rule: Rule) -> DataFrame:
@@ -253,30 +290,64 @@ def _forest(members: DataFrame, rule: Rule) -> DataFrame:
     leads itself. Blocks of a large bucket are done apart, then their leaders together.
     """
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("name")
-        names, sizes, sketches = _arrays(rows)
-        rest = np.arange(len(names))
-        edges, leaders = [], []
-        while len(rest):
-            head, rest = rest[0], rest[1:]
-            near = rule.possible(int(sizes[head]), sizes[rest], sketches[head], sketches[rest])
-            edges += [(int(names[head]), int(names[j]), False) for j in rest[near]]
-            leaders.append(head)
-            rest = np.delete(rest, near)
-        made = pd.DataFrame(edges, columns=["a", "b", "leads"]).assign(n=0, sketch=b"")
-        if rows["split"].iloc[0]:
-            lead = rows.iloc[leaders]
-            own = {"a": lead["name"], "b": lead["bucket"], "leads": True, "n": lead["n"], "sketch": lead["sketch"]}
-            made = pd.concat([made, pd.DataFrame(own)])
-        return made
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, ["bucket", "block"]):
+            names, sizes, sketches = _arrays(table)
+            starts = group_starts(table, ["bucket", "block"])
+            counts = np.diff(starts)
+            split = table.column("split").to_numpy()
+            edges, leaders = [], []
+            # Small groups all at once: all pairs, of which a forest is kept.
+            root = np.arange(table.num_rows).tolist()
+
+            def find(x: int) -> int:
+                while root[x] != x:
+                    root[x] = root[root[x]]
+                    x = root[x]
+                return x
+
+            small = (counts <= SMALL_GROUP) & ~split[starts[:-1]]
+            rows = np.flatnonzero(np.repeat(small, counts))
+            packed = np.append(0, np.cumsum(counts[small]))
+            for i, j in _near_pairs(packed, sizes[rows], sketches[rows], rule):
+                for x, y in zip(rows[i].tolist(), rows[j].tolist(), strict=True):
+                    a, b = find(x), find(y)
+                    if a != b:
+                        root[b] = a
+                        edges.append((x, y))
+            # Large ones class by class.
+            for g in np.flatnonzero(~small).tolist():
+                rest = np.arange(starts[g], starts[g + 1])
+                while len(rest):
+                    head, rest = rest[0], rest[1:]
+                    near = rule.possible(int(sizes[head]), sizes[rest], sketches[head], sketches[rest])
+                    edges += [(head, y) for y in rest[near].tolist()]
+                    if split[head]:
+                        leaders.append(head)
+                    rest = np.delete(rest, near)
+            pairs = np.array(edges, np.int64).reshape(-1, 2)
+            lead = np.array(leaders, np.int64)
+            bucket = table.column("bucket").to_numpy()
+            n, m = len(pairs), len(lead)
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "a": pa.array(np.concatenate((names[pairs[:, 0]], names[lead]))),
+                    "b": pa.array(np.concatenate((names[pairs[:, 1]], bucket[lead]))),
+                    "leads": pa.array(np.repeat([False, True], [n, m])),
+                    "n": pa.array(np.concatenate((np.zeros(n, np.int64), sizes[lead]))),
+                    "sketch": pa.array([b""] * n + [sketches[x].tobytes() for x in leaders], pa.binary()),
+                }
+            )
 
     schema = "a bigint, b bigint, leads boolean, n bigint, sketch binary"
-    first = durable(members.groupBy("bucket", "block").applyInPandas(run, schema), "forest")
+    wide = ["bucket", "block", "split", "name", "n", "sketch"]
+    dealt = members.select(wide).repartition("bucket", "block").sortWithinPartitions("bucket", "block", "name")
+    first = durable(dealt.mapInArrow(run, schema), "forest")
     again = first.where("leads").select(
-        F.col("b").alias("bucket"), F.lit(0).alias("block"), F.col("a").alias("name"), "n", "sketch"
-    )
-    again = again.withColumn("split", F.lit(False)).groupBy("bucket", "block").applyInPandas(run, schema)
+        F.col("b").alias("bucket"), F.lit(0).alias("block"), F.lit(False).alias("split"),
+        F.col("a").alias("name"), "n", "sketch",
+    )
+    again = again.repartition("bucket").sortWithinPartitions("bucket", "name").mapInArrow(run, schema)
     return first.where("not leads").select("a", "b").union(again.select("a", "b"))
 
 
@@ -296,20 +367,19 @@ def _crossing(members: DataFrame, found: DataFrame, rule: Rule) -> DataFrame:
     copies = rows.where("blocks > 1 and component <> main").withColumn("to", F.explode(blocks))
     copies = copies.where("to <> block").withColumn("block", F.col("to")).drop("to").withColumn("seen", F.lit(True))
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["seen", "name"])
-        names, sizes, sketches = _arrays(rows)
-        parts, copied = rows["component"].to_numpy(), rows["seen"].to_numpy()
-        main = rows["main"].iloc[0]
-        pairs = []
-        # Classes outside the main component are held against all others.
-        for i in np.flatnonzero(parts != main).tolist():
-            near = rule.possible(int(sizes[i]), sizes, sketches[i], sketches)
-            near = near[(parts[near] != parts[i]) & ~(copied[near] & copied[i])]
-            pairs += [(min(names[i], names[j]), max(names[i], names[j])) for j in near.tolist()]
-        return pd.DataFrame(sorted(set(pairs)), columns=["a", "b"]).astype("int64")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, ["bucket", "block"]):
+            names, sizes, sketches = _arrays(table)
+            starts = group_starts(table, ["bucket", "block"])
+            parts, copied = table.column("component").to_numpy(), table.column("seen").to_numpy()
+            cross = lambda i, j: (parts[i] != parts[j]) & ~(copied[i] & copied[j])
+            for i, j in _near_pairs(starts, sizes, sketches, rule, cross):
+                yield pa.RecordBatch.from_pydict({"a": pa.array(names[i]), "b": pa.array(names[j])})
 
-    return own.unionByName(copies).groupBy("bucket", "block").applyInPandas(run, "a bigint, b bigint")
+    both = own.unionByName(copies).select("bucket", "block", "component", "seen", "name", "n", "sketch")
+    dealt = both.repartition("bucket", "block").sortWithinPartitions("bucket", "block", "name")
+    met = dealt.mapInArrow(run, "a bigint, b bigint")
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def tree_matches(probe: np.ndarray, sets: list[np.ndarray], rule: Rule) -> list[int]:
@@ -390,15 +460,26 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, rule: Rule,
 
     sets = asked.mapInArrow(emit, "a bigint, tree int, name bigint, grams binary")
 
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.drop_duplicates("name")
-        probe = rows[rows["name"] == key[0]]
-        rest = rows[rows["name"] != key[0]]
-        sets = [np.frombuffer(g, np.uint64) for g in rest["grams"]]
-        hits = tree_matches(np.frombuffer(probe["grams"].iloc[0], np.uint64), sets, rule)
-        return pd.DataFrame({"a": key[0], "b": rest["name"].to_numpy()[hits]})
-
-    return durable(sets.groupBy("a", "tree").applyInPandas(run, "a bigint, b bigint"), "gram-links")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, ["a", "tree"]):
+            starts = group_starts(table, ["a", "tree"])
+            heads, names = table.column("a").to_numpy(), table.column("name").to_numpy()
+            grams = table.column("grams")
+            out_a, out_b = [], []
+            for s, e in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+                held = {}
+                for row in range(s, e):
+                    held.setdefault(int(names[row]), np.frombuffer(grams[row].as_py(), np.uint64))
+                head = int(heads[s])
+                probe = held.pop(head)
+                others = list(held)
+                hits = tree_matches(probe, [held[x] for x in others], rule)
+                out_a += [head] * len(hits)
+                out_b += [others[i] for i in hits]
+            yield pa.RecordBatch.from_pydict({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
+
+    dealt = sets.repartition("a", "tree").sortWithinPartitions("a", "tree")
+    return durable(dealt.mapInArrow(run, "a bigint, b bigint"), "gram-links")
 
 
 def join(
@@ -422,7 +503,7 @@ def join(
     classes = seen.where("n > 0").groupBy("name").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), least)
     classes = durable(classes.select("name", "doc_id", "n", "at.part", "at.chunk"), "gram-classes")
     frequent, rank = _frequent(facts)
-    members = _members(rows, classes, rule, k, frequent, rank)
+    members = _members(rows, classes, seen, rule, k, frequent, rank)
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"))
     blocks = durable(
         sizes.where(F.col("members") > BLOCK).select(
@@ -480,10 +561,9 @@ def keep_first(docs: DataFrame, text: str = "text", key: str = "doc_id", **optio
     Of rows that repeat a document all stay that are equal to it in id.
     """
     dropped = join(docs, text, key, **options).where("component_id < doc_id or doc_id is null")
-    gone = durable(dropped.where("component_id is not null").select("doc_id").distinct(), "near-copies")
-    known = docs.withColumn("_near_copy_of", F.coalesce(F.col(key).cast("bigint"), F.lit(LAST_ID)))
-    marked = gone.select(
-        F.coalesce("doc_id", F.lit(LAST_ID)).alias("_near_copy_of"), F.lit(True).alias("_near_copy")
+    gone = dropped.where("component_id is not null").select("doc_id").distinct()
+    rows = docs.select(
+        F.struct("*").alias("doc"), F.coalesce(F.col(key).cast("bigint"), F.lit(LAST_ID)).alias("id")
     )
-    joined = lookup(known, durable(marked, "near-copies"), ["_near_copy_of"])
-    return joined.where("_near_copy is null").drop("_near_copy_of", "_near_copy")
+    marked = gone.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), F.lit(True).alias("goes"))
+    return lookup(rows, durable(marked, "near-copies"), ["id"]).where("goes is null").select("doc.*")
