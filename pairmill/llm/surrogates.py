@@ -33,6 +33,9 @@ MALE = ("Mr", "Herr", "Monsieur", "Señor", "Sr", "Господин")
 FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Госпожа")
 NEUTRAL = ("Dr", "Prof")
 
+# Words that announce a secret. Fixed values.
+KEYWORDS = ("password", "passwd", "pwd", "token", "secret", "api_key", "apikey")
+
 EMAIL = r"(?<![\w.%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++){1,8}"
 PHONE = (
     r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]\d{3,4}(?!\d)"
@@ -43,7 +46,7 @@ ADDRESS = r"(?<![\w.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\.?\d)"
 CARD = r"(?<![\w.])\d(?:[ -]?\d){12,18}(?![\w])"
 ACCESS = r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])"
 SECRET = (
-    r"(?<=[=:\"'])(?<=(?:password|passwd|pwd|token|secret|api_key|apikey)[ ]{0,2}[=:][ ]{0,2}[\"']?)"
+    r"(?<=[=:\"'])(?<=(?:" + "|".join(KEYWORDS) + r")[ ]{0,2}[=:][ ]{0,2}[\"']?)"
     r"[A-Za-z0-9_/+~-]{8,512}"
 )
 _TITLE = "(?:" + "|".join((*MALE, *FEMALE, *NEUTRAL)) + r")\.?"
@@ -62,6 +65,16 @@ ENDINGS = {
 CYRILLIC = r"\p{IsCyrillic}"
 
 
+def mentions_of(text: Column) -> Column:
+    """All mentions in order; texts that can have none are passed over quickly."""
+    marks = ("@", "AKIA", *KEYWORDS, *[t + end for t in (*MALE, *FEMALE, *NEUTRAL) for end in (" ", ". ")])
+    some = text.rlike("[0-9]")
+    for mark in marks:
+        some |= text.contains(mark)
+    found = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
+    return F.when(some, found).when(text.isNotNull(), F.array().cast("array<string>"))
+
+
 def _digits(text: Column) -> Column:
     return F.regexp_replace(text, r"\D", "")
 
@@ -90,9 +103,8 @@ def _gender(mention: Column) -> Column:
     return F.when(starts(FEMALE), "f").when(starts(MALE), "m").otherwise("n")
 
 
-def entities_of(mention: Column) -> Column:
-    """`kind, norm` of a mention: one, or one per word of a name."""
-    kind = kind_of(mention)
+def entities_of(mention: Column, kind: Column) -> Column:
+    """`kind, norm` of a mention of that kind: one, or one per word of a name."""
     norm = (
         F.when(kind == "email", F.lower(mention))
         .when(kind == "phone", F.right(_digits(mention), F.lit(10)))
@@ -131,17 +143,15 @@ def _masked(text: Column, digest: Column) -> Column:
     signs = F.filter(F.split(text, ""), lambda c: c != "")
     lower, upper, digit = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
     hexed = text.rlike("^[0-9a-f]{8,}$") & text.rlike("[a-f]")
-    return F.array_join(
-        F.transform(
-            signs,
-            lambda c, i: F.when(hexed, _picked("0123456789abcdef", digest, i))
-            .when(c.rlike("[a-z]"), _picked(lower, digest, i))
-            .when(c.rlike("[A-Z]"), _picked(upper, digest, i))
-            .when(c.rlike("[0-9]"), _picked(digit, digest, i))
-            .otherwise(c),
-        ),
-        "",
+    classed = F.transform(
+        signs,
+        lambda c, i: F.when(c.rlike("[a-z]"), _picked(lower, digest, i))
+        .when(c.rlike("[A-Z]"), _picked(upper, digest, i))
+        .when(c.rlike("[0-9]"), _picked(digit, digest, i))
+        .otherwise(c),
     )
+    plain = F.transform(signs, lambda c, i: _picked("0123456789abcdef", digest, i))
+    return F.array_join(F.when(hexed, plain).otherwise(classed), "")
 
 
 def _check_digit(digits: Column) -> Column:
@@ -179,24 +189,41 @@ def _invented(kind: Column, norm: Column, attempt: Column, digest: Column) -> Co
     return F.when(norm.rlike(CYRILLIC), made("cyrillic")).otherwise(made("latin"))
 
 
-def surrogate(key: str, kind: Column, norm: Column, attempt: Column) -> Column:
-    """Replacement of an entity in its normal form."""
-    digest = _digest(key, kind, norm, attempt)
-    masked = _masked(norm, digest)
-    top = F.regexp_extract(norm, r"(\.[^.@]+)$", 1)
-    body = F.substring(masked, F.lit(1), F.length(norm) - F.length(top))
-    card = F.concat(
-        F.substring(norm, 1, 1), F.substring(masked, F.lit(2), F.length(norm) - 2)
+def _with(x: Column, names: tuple[str, ...], **more: Column) -> Column:
+    return F.struct(*[x[n].alias(n) for n in names], *[c.alias(n) for n, c in more.items()])
+
+
+def surrogates_of(key: str, entities: Column) -> Column:
+    """Replacements of an array of `kind, norm, attempt`, in normal form.
+
+    Each step is a list of its own, so that what it computes is computed once.
+    """
+    base = ("kind", "norm", "attempt")
+    e = F.transform(
+        entities, lambda x: _with(x, base, digest=_digest(key, x["kind"], x["norm"], x["attempt"]))
     )
-    octets = [(_byte(digest, F.lit(i)) % 254 + 1).cast("string") for i in range(4)]
-    return (
-        F.when(kind == "email", F.concat(body, top))
-        .when(kind == "card", F.concat(card, _check_digit(card)))
-        .when(kind == "address", F.concat_ws(".", *octets))
-        .when(kind == "access", F.concat(F.lit("AKIA"), F.substring(masked, F.lit(5), F.length(norm))))
-        .when(kind.isin("family", "given-m", "given-f", "given-n"), _invented(kind, norm, attempt, digest))
-        .otherwise(masked)
+    e = F.transform(e, lambda x: _with(x, (*base, "digest"), masked=_masked(x["norm"], x["digest"])))
+    head = lambda x: F.concat(
+        F.substring(x["norm"], 1, 1), F.substring(x["masked"], F.lit(2), F.length(x["norm"]) - 2)
     )
+    top = lambda x: F.regexp_extract(x["norm"], r"(\.[^.@]+)$", 1)
+    e = F.transform(e, lambda x: _with(x, (*base, "digest", "masked"), head=head(x), top=top(x)))
+
+    def made(x: Column) -> Column:
+        kind, norm, masked, digest = x["kind"], x["norm"], x["masked"], x["digest"]
+        body = F.substring(masked, F.lit(1), F.length(norm) - F.length(x["top"]))
+        octets = [(_byte(digest, F.lit(i)) % 254 + 1).cast("string") for i in range(4)]
+        named = kind.isin("family", "given-m", "given-f", "given-n")
+        return (
+            F.when(kind == "email", F.concat(body, x["top"]))
+            .when(kind == "card", F.concat(x["head"], _check_digit(x["head"])))
+            .when(kind == "address", F.concat_ws(".", *octets))
+            .when(kind == "access", F.concat(F.lit("AKIA"), F.substring(masked, F.lit(5), F.length(norm))))
+            .when(named, _invented(kind, norm, x["attempt"], digest))
+            .otherwise(masked)
+        )
+
+    return F.transform(e, made)
 
 
 def _filled(mention: Column, digits: Column) -> Column:
@@ -233,26 +260,30 @@ def _same_case(text: Column, like: Column) -> Column:
     )
 
 
-def replaced(key: str, mention: Column, later: Column) -> Column:
-    """A mention's replacement. `later`: `kind, norm, attempt` of entities beyond attempt 0."""
-    kind, found = kind_of(mention), entities_of(mention)
+def replacements(key: str, mentions: Column, later: Column) -> Column:
+    """Each mention's replacement. `later`: `kind, norm, attempt` of entities beyond attempt 0."""
 
-    def own(e: Column) -> Column:
-        tries = F.filter(later, lambda x: (x["kind"] == e["kind"]) & (x["norm"] == e["norm"]))
-        return surrogate(key, e["kind"], e["norm"], F.coalesce(F.get(tries, F.lit(0))["attempt"], F.lit(0)))
+    def tried(e: Column) -> Column:
+        own = F.filter(later, lambda x: (x["kind"] == e["kind"]) & (x["norm"] == e["norm"]))
+        attempt = F.coalesce(F.get(own, F.lit(0))["attempt"], F.lit(0))
+        return _with(e, ("kind", "norm"), attempt=attempt)
 
-    words = _words(mention)
-    title = F.regexp_extract(mention, "^(" + _TITLE + " )", 1)
-    named = F.array_join(
-        F.transform(found, lambda e, i: _cased(own(e), F.get(words, i))), " "
-    )
-    one = own(F.get(found, F.lit(0)))
-    return (
-        F.when(kind == "name", F.concat(title, named))
-        .when(kind.isin("phone", "card"), _filled(mention, one))
-        .when(kind == "email", _same_case(one, mention))
-        .otherwise(one)
-    )
+    def written(x: Column) -> Column:
+        m, kind, one = x["m"], x["kind"], F.get(x["made"], F.lit(0))
+        title = F.regexp_extract(m, "^(" + _TITLE + " )", 1)
+        named = F.array_join(F.zip_with(x["made"], _words(m), _cased), " ")
+        return (
+            F.when(kind == "name", F.concat(title, named))
+            .when(kind.isin("phone", "card"), _filled(m, one))
+            .when(kind == "email", _same_case(one, m))
+            .otherwise(one)
+        )
+
+    x = F.transform(mentions, lambda m: F.struct(m.alias("m"), kind_of(m).alias("kind")))
+    x = F.transform(x, lambda e: _with(e, ("m", "kind"), found=entities_of(e["m"], e["kind"])))
+    x = F.transform(x, lambda e: _with(e, ("m", "kind"), tried=F.transform(e["found"], tried)))
+    x = F.transform(x, lambda e: _with(e, ("m", "kind"), made=surrogates_of(key, e["tried"])))
+    return F.transform(x, written)
 
 
 def assign(entities: DataFrame, key: str) -> DataFrame:
@@ -261,8 +292,9 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
     Among entities with one surrogate, the one with the fewest attempts and then the
     smallest norm keeps it. No surrogate is a real entity of its type.
     """
-    attempt, kind, norm = F.col("attempt"), F.col("kind"), F.col("norm")
-    named = lambda df: df.withColumn("surrogate", surrogate(key, kind, norm, attempt))
+    attempt = F.col("attempt")
+    one = F.get(surrogates_of(key, F.array(F.struct("kind", "norm", "attempt"))), F.lit(0))
+    named = lambda df: df.withColumn("surrogate", one)
     now = durable(named(entities.withColumn("attempt", F.lit(0))), "surrogates")
     real = now.select("kind", F.col("norm").alias("surrogate"), F.lit(True).alias("real"))
     while True:
@@ -282,11 +314,10 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
 def pseudonymize(docs: DataFrame, text: str = "text", id: str = "doc_id", key: str = KEY) -> DataFrame:
     """`doc` (the row as it came), `replaced` (its text with surrogates), `n_entities`."""
     ids = F.coalesce(F.col(id).cast("bigint"), F.lit(LAST_ID)).alias("doc_id")
-    found = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
-    mentions = docs.select(ids, F.explode(F.array_distinct(found)).alias("mention"))
-    held = durable(
-        mentions.select("doc_id", F.inline(entities_of(F.col("mention")))).distinct(), "entities"
-    )
+    mentions = docs.select(ids, F.explode(F.array_distinct(mentions_of(F.col(text)))).alias("mention"))
+    typed = mentions.withColumn("kind", kind_of(F.col("mention")))
+    held = typed.select("doc_id", F.inline(entities_of(F.col("mention"), F.col("kind"))))
+    held = durable(held.distinct(), "entities")
     table = assign(held.select("kind", "norm").distinct(), key)
     late = durable(table.where("attempt > 0").select("kind", "norm", "attempt"), "late-surrogates")
     by_doc = (
@@ -296,11 +327,11 @@ def pseudonymize(docs: DataFrame, text: str = "text", id: str = "doc_id", key: s
     )
     rows = docs.select(F.struct("*").alias("doc"), ids, F.col(text).alias("text"))
     rows = lookup(rows, durable(by_doc, "late-by-document"), ["doc_id"]).withColumn(
-        "_found", F.regexp_extract_all("text", F.lit(ANY), F.lit(0))
+        "_found", mentions_of(F.col("text"))
     )
     empty = F.array().cast("array<struct<kind:string,norm:string,attempt:int>>")
     later = F.coalesce("_later", empty)
-    made = F.transform("_found", lambda m: replaced(key, m, later))
+    made = replacements(key, F.col("_found"), later)
     between = F.split("text", ANY, -1)
     # One piece of text more than there are mentions.
     joined = F.array_join(
