@@ -66,7 +66,7 @@ LAST_ID = np.iinfo(np.int64).max
 FREQUENT_SHARE = 0.0005
 # ... counted where a shard has it in so many classes.
 FREQUENT_IN_SHARD = 4
-SKETCH_BITS = 2048
+SKETCH_BITS = 1024
 # Classes of a bucket, and sets of a prefix tree, that one task holds at a time.
 BLOCK = 4096
 TREE = 512
@@ -96,7 +96,7 @@ def class_name(grams: np.ndarray) -> int:
 
 def sketch(grams: np.ndarray) -> bytes:
     """Bit j tells whether an odd number of n-grams falls on j."""
-    odd = np.bincount((mix(grams) >> np.uint64(53)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    odd = np.bincount((mix(grams) >> np.uint64(54)).astype(np.int64), minlength=SKETCH_BITS) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
