@@ -123,6 +123,26 @@ def edits(a, b):
     return row[-1]
 
 
+def within(a, b, most):
+    """Are the texts at most that many edits apart? Only the band of the table is filled."""
+    if abs(len(a) - len(b)) > most:
+        return False
+    far = most + 1
+    last = {j: j for j in range(most + 1)}
+    for i, x in enumerate(a, 1):
+        row = {}
+        for j in range(max(0, i - most), min(len(b), i + most) + 1):
+            row[j] = (
+                i
+                if j == 0
+                else min(last.get(j, far) + 1, row.get(j - 1, far) + 1, last.get(j - 1, far) + (x != b[j - 1]))
+            )
+        last = row
+        if min(row.values()) > most:
+            return False
+    return last.get(len(b), far) <= most
+
+
 def line_dedup(docs, most=2, min_chars=20):
     """Kept text of each row."""
     last = math.inf
@@ -132,9 +152,7 @@ def line_dedup(docs, most=2, min_chars=20):
         for i, line in enumerate((text or "").split("\n")):
             if len(line) >= min_chars:
                 first[line] = min(first.get(line, (last, last)), place(doc, i))
-    early = {
-        a: min(first[b] for b in first if abs(len(a) - len(b)) <= most and edits(a, b) <= most) for a in first
-    }
+    early = {a: min(first[b] for b in first if within(a, b, most)) for a in first}
     return [
         (
             doc,
