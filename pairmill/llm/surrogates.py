@@ -12,6 +12,13 @@ or one that is a real entity, all but the first try again with the next attempt
 until none is left. Documents are then rewritten in place; only entities with a later
 attempt, which are few, are looked up by document.
 
+Secrets, names, phone numbers and mail addresses have no greatest length: each goes on to
+its real end. A keyword or a form of address counts in any case. A secret has eight signs or
+more and ends before a blank, a quote, a bracket, a comma, `;`, `&`, `|` or a backslash. A name
+goes on as long as words with a capital follow; in a text of capitals that is up to the next
+other sign, so words behind a name are replaced too rather than part of a name left. A word
+without a capital ends a name (also a particle such as `von`).
+
 Defined cases: a null text stays null and has no entity; a text without entities stays as
 it is; rows that repeat a doc_id are rewritten one by one; a null doc_id is an id like any
 other; columns keep their names, whatever they are; an empty table gives no rows.
@@ -36,21 +43,44 @@ NEUTRAL = ("Dr", "Prof")
 # Words that announce a secret. Fixed values.
 KEYWORDS = ("password", "passwd", "pwd", "token", "secret", "api_key", "apikey")
 
-EMAIL = r"(?<![\w.%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++){1,8}"
-PHONE = (
-    r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]\d{3,4}(?!\d)"
-    r"|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\d)"
-    r"|(?<![\w.+-])\d{3}[ .-]\d{3}[ .-]\d{4}(?![\d.-]*\d)"
-)
+
+def _any_case(words: tuple[str, ...]) -> str:
+    """One of the words in any case; a look at the first letter passes over most places."""
+    first = sorted({c for w in words for c in w[0].lower() + w[0].upper()})
+    return "(?=[" + "".join(first) + "])(?iu:" + "|".join(words) + ")"
+
+
+EMAIL = r"(?<![\w.%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 ADDRESS = r"(?<![\w.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\.?\d)"
 CARD = r"(?<![\w.])\d(?:[ -]?\d){12,18}(?![\w])"
+# With a country code or an area code in brackets: all groups of digits that follow, up to
+# a network address or, behind two groups, a card number.
+_SEP = r"[ \u00a0./-]?+"
+_CARD_NEXT = r"(?!\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,7}(?!\w)|\d{13,19}(?!\w))"
+_GROUP = _SEP + "(?!" + ADDRESS + r")\d++"
+_GROUPS = "(?:" + _GROUP + "){1,2}+(?:" + _SEP + "(?!" + ADDRESS + ")" + _CARD_NEXT + r"\d++)*+"
+PHONE = (
+    r"(?<![\w+])\+\d{1,4}\)?+" + _SEP + r"\(\d{1,5}\)(?=(?:" + _SEP + r"\d){5})" + _GROUPS
+    + r"|(?<![\w+])\+(?=\d(?:" + _SEP + r"\d){4}|\d{1,4}\)(?:" + _SEP + r"\d){4})"
+    + r"(?!\d++\)?+" + _SEP + ADDRESS + r")\d++\)?+(?:" + _GROUPS + ")?+"
+    r"|(?<![\w+])\(\d{2,5}\)(?=(?:" + _SEP + r"\d){6})" + _GROUPS
+    + r"|(?<![\w.+-])\d{3}[ .-]\d{3}[ .-]\d{4}(?![\d.-]*\d)"
+)
 ACCESS = r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])"
-SECRET = (
-    r"(?<=[=:\"'])(?<=(?:" + "|".join(KEYWORDS) + r")[ ]{0,2}[=:][ ]{0,2}[\"']?)"
-    r"[A-Za-z0-9_/+~-]{8,512}"
+# A keyword in any case, quotes and blanks; the secret is what follows, up to its last sign.
+_BLANK = r"[ \t\u00a0]"
+_SECRET_LEAD = _any_case(KEYWORDS) + r"[\"']?+" + _BLANK + "*+[=:]" + _BLANK + r"*+[\"']?+"
+SECRET = _SECRET_LEAD + r"[A-Za-z0-9_/+~.=:@!#$%^*?-]{7,}[A-Za-z0-9_/+~-]"
+# Forms of address in any case, and all words with a capital behind them: with hyphens,
+# after O' and the like, or as initials.
+_TITLE = _any_case((*MALE, *FEMALE, *NEUTRAL)) + r"\.?" + _BLANK + "++"
+_WORD = (
+    r"(?:(?:\p{Lu}\p{L}?['’])?\p{Lu}[\p{L}\p{M}‐‑-]*[\p{L}\p{M}]"
+    r"|\p{Lu}(?:\.-?\p{Lu})*+\.?(?=" + _BLANK + r"++\p{Lu}))"
 )
-_TITLE = "(?:" + "|".join((*MALE, *FEMALE, *NEUTRAL)) + r")\.?"
-NAME = r"(?<!\p{L})" + _TITLE + r" \p{Lu}\p{L}{1,40}(?: \p{Lu}\p{L}{1,40})?"
+_NAME_START = r"(?=\p{L})(?<!\p{L})"
+_NAME_LEAD = "(?:(?:" + _TITLE + ")++(?=" + _WORD + ")|" + _TITLE + "(?=" + _WORD + "))"
+NAME = _NAME_START + _NAME_LEAD + _WORD + "(?:" + _BLANK + "++(?!" + _TITLE + ")" + _WORD + ")*+"
 # Longer forms first: a card number must not lose its head to a phone number.
 ANY = "|".join((EMAIL, SECRET, ACCESS, ADDRESS, CARD, PHONE, NAME))
 
@@ -67,52 +97,63 @@ CYRILLIC = r"\p{IsCyrillic}"
 
 def mentions_of(text: Column) -> Column:
     """All mentions in order; texts that can have none are passed over quickly."""
-    marks = ("@", "AKIA", *KEYWORDS, *[t + end for t in (*MALE, *FEMALE, *NEUTRAL) for end in (" ", ". ")])
-    some = text.rlike("[0-9]")
-    for mark in marks:
-        some |= text.contains(mark)
+    some = text.rlike("|".join(("[0-9@]", "AKIA", _any_case(KEYWORDS), _NAME_START + _TITLE)))
     found = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
     return F.when(some, found).when(text.isNotNull(), F.array().cast("array<string>"))
 
 
+def _lead(mention: Column) -> Column:
+    """What stays of a secret or a name: keyword and signs, or forms of address."""
+    return F.regexp_extract(mention, "^(?:" + _SECRET_LEAD + "|" + _NAME_LEAD + ")", 0)
+
+
+def _value(mention: Column) -> Column:
+    return F.substring(mention, F.length(_lead(mention)) + 1, F.length(mention))
+
+
 def _digits(text: Column) -> Column:
     return F.regexp_replace(text, r"\D", "")
 
 
 def kind_of(mention: Column) -> Column:
-    """Type of a mention, tested in the order of the pattern."""
-    whole = lambda p: mention.rlike(r"^(?:" + p + r")$")
+    """Type of a mention; what follows a keyword may be of another type than secret."""
+    value = _value(mention)
+    whole = lambda p: value.rlike(r"^(?:" + p + r")$")
     return (
-        F.when(mention.contains("@"), "email")
-        .when(whole(_TITLE + r" .*"), "name")
+        F.when(mention.rlike("^" + _NAME_LEAD), "name")
+        .when(mention.contains("@"), F.when(_lead(mention) == "", "email").otherwise("secret"))
         .when(whole(ACCESS), "access")
         .when(whole(r"\d{1,3}(?:\.\d{1,3}){3}"), "address")
         .when(whole(r"\d(?:[ -]?\d){12,18}"), "card")
-        .when(whole(r"[\d+ ().-]+") & (F.length(_digits(mention)) >= 7) & mention.rlike(r"^[+(]|[ .-]"), "phone")
+        .when(whole(r"[\d+ \u00a0/().-]+") & (F.length(_digits(value)) >= 7) & value.rlike(r"^[+(]|[ .-]"), "phone")
         .otherwise("secret")
     )
 
 
-def _words(mention: Column) -> Column:
-    """The name words behind the form of address."""
-    return F.split(F.regexp_replace(mention, "^" + _TITLE + " ", ""), " ")
+def _words(name: Column) -> Column:
+    """The words of a name without its forms of address."""
+    return F.split(name, _BLANK + "+")
 
 
-def _gender(mention: Column) -> Column:
-    starts = lambda titles: mention.rlike("^(?:" + "|".join(titles) + r")\.? ")
-    return F.when(starts(FEMALE), "f").when(starts(MALE), "m").otherwise("n")
+def _gender(lead: Column) -> Column:
+    holds = lambda titles: lead.rlike(r"(?iu)(?<!\p{L})(?:" + "|".join(titles) + r")\.?" + _BLANK)
+    return F.when(holds(FEMALE), "f").when(holds(MALE), "m").otherwise("n")
 
 
 def entities_of(mention: Column, kind: Column) -> Column:
     """`kind, norm` of a mention of that kind: one, or one per word of a name."""
+    value = _value(mention)
+    digits = _digits(value)
+    # Without the country code; of a longer run all but as many digits as a code has.
+    number = F.right(digits, F.greatest(F.lit(10), F.length(digits) - 3))
     norm = (
-        F.when(kind == "email", F.lower(mention))
-        .when(kind == "phone", F.right(_digits(mention), F.lit(10)))
-        .when(kind == "card", _digits(mention))
-        .otherwise(mention)
+        F.when(kind == "email", F.lower(value))
+        .when(kind == "phone", number)
+        .when(kind == "card", digits)
+        .otherwise(value)
     )
-    words = _words(mention)
-    given = F.concat(F.lit("given-"), _gender(mention))
+    words = _words(value)
+    given = F.concat(F.lit("given-"), _gender(_lead(mention)))
     named = F.transform(
         words,
         lambda w, i: F.struct(
@@ -246,7 +287,7 @@ def _filled(mention: Column, digits: Column) -> Column:
 
 def _cased(word: Column, like: Column) -> Column:
     return (
-        F.when((like == F.upper(like)) & (F.length(like) > 1), F.upper(word))
+        F.when((like == F.upper(like)) & like.rlike(r"\p{L}[^.]*\p{L}"), F.upper(word))
         .when(F.substring(like, 1, 1) != F.lower(F.substring(like, 1, 1)), F.initcap(word))
         .otherwise(word)
     )
@@ -270,14 +311,17 @@ def replacements(key: str, mentions: Column, later: Column) -> Column:
 
     def written(x: Column) -> Column:
         m, kind, one = x["m"], x["kind"], F.get(x["made"], F.lit(0))
-        title = F.regexp_extract(m, "^(" + _TITLE + " )", 1)
-        named = F.array_join(F.zip_with(x["made"], _words(m), _cased), " ")
-        return (
-            F.when(kind == "name", F.concat(title, named))
-            .when(kind.isin("phone", "card"), _filled(m, one))
-            .when(kind == "email", _same_case(one, m))
+        value = _value(m)
+        gaps = F.regexp_extract_all(value, F.lit("(" + _BLANK + "+)"), F.lit(1))
+        named = F.zip_with(x["made"], _words(value), _cased)
+        named = F.array_join(F.zip_with(named, gaps, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+        new = (
+            F.when(kind == "name", named)
+            .when(kind.isin("phone", "card"), _filled(value, one))
+            .when(kind == "email", _same_case(one, value))
             .otherwise(one)
         )
+        return F.concat(_lead(m), new)
 
     x = F.transform(mentions, lambda m: F.struct(m.alias("m"), kind_of(m).alias("kind")))
     x = F.transform(x, lambda e: _with(e, ("m", "kind"), found=entities_of(e["m"], e["kind"])))
