@@ -556,14 +556,23 @@ def join(
 
 
 def keep_first(docs: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
-    """The smallest document of each component, with the columns that came in.
+    """One row of each component, with the columns that came in.
 
-    Of rows that repeat a document all stay that are equal to it in id.
+    Each row is a document of its own here, under a row key stored with it: rows without
+    an id, or with one id, are linked by their texts alone. The row with the smallest id
+    stays, null ids last; of equal ids the one with the smallest row key.
     """
-    dropped = join(docs, text, key, **options).where("component_id < doc_id or doc_id is null")
-    gone = dropped.where("component_id is not null").select("doc_id").distinct()
-    rows = docs.select(
-        F.struct("*").alias("doc"), F.coalesce(F.col(key).cast("bigint"), F.lit(LAST_ID)).alias("id")
-    )
-    marked = gone.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), F.lit(True).alias("goes"))
-    return lookup(rows, durable(marked, "near-copies"), ["id"]).where("goes is null").select("doc.*")
+    ids = F.coalesce(F.col(key).cast("bigint"), F.lit(LAST_ID))
+    order = F.struct(F.col(key).isNull().alias("none"), ids.alias("id"))
+    rows = docs.select(F.struct("*").alias("doc"), order.alias("at"), F.monotonically_increasing_id().alias("row"))
+    rows = durable(rows, "keyed-rows")
+    found = join(rows.select("row", F.col("doc").getField(text).alias("text")), "text", "row", **options)
+    found = durable(found.select(F.col("doc_id").alias("row"), F.col("component_id").alias("component")), "row-components")
+    # Components of more rows than one; the others keep their row.
+    many = durable(found.where("row <> component").select("component").distinct(), "shared-components")
+    members = lookup(found, many, ["component"], "inner").join(rows.select("row", "at"), "row")
+    members = durable(members, "component-rows")
+    first = members.groupBy("component").agg(F.min(F.struct("at", "row")).alias("first"))
+    marked = lookup(members, durable(first, "first-rows"), ["component"]).where("row <> first.row")
+    gone = durable(marked.select("row", F.lit(True).alias("goes")), "near-copies")
+    return lookup(rows, gone, ["row"]).where("goes is null").select("doc.*")
