@@ -16,6 +16,10 @@ their first few n-grams (their prefix), so:
    as soon as overlap and remaining length cannot reach what is needed.
 5. Verified pairs are links; components are followed to the smallest document.
 
+The result is components, not links: in buckets of any size, pairs that already lie in one
+component are not verified, so the links, or their number, are not known. Candidates come
+from the prefixes and sketches; the prefix tree only verifies.
+
 A bucket or a probe with many sets is split into blocks of bounded size; pairs between the
 blocks go through their leaders first and, where components differ, through copies of the
 smaller side. Nothing is left out.
