@@ -18,6 +18,7 @@ from pairmill.llm import (
     substring_dedup,
     surrogates,
     url_filter,
+    whitening,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -138,3 +139,35 @@ def op3_surrogates(spark, sf):
     return surrogates.pseudonymize(docs).select(
         "doc.doc_id", F.col("replaced").alias("text"), "n_entities"
     )
+
+
+@query
+def op13_embedding_whitening(spark, sf):
+    """All usable embeddings, as whole numbers, on their first eight components."""
+    scaled = F.transform(
+        "embedding", lambda c: (F.floor(c.cast("double") * 1024).cast("bigint") + 100_000).cast("bigint")
+    )
+    # An entry without a finite value has no whole number: it stays null and drops the row.
+    finite = F.forall(
+        F.col("embedding"),
+        lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf")),
+    )
+    rows = table(spark, sf, "embeddings").select("vec_id", F.when(finite, scaled).alias("x"))
+    done = whitening.whiten(rows, "x", components=8, exact="bigint")
+    apart = F.zip_with("row.x", "sums", lambda x, s: x * F.col("n") - s)
+    squares = F.aggregate(apart, F.lit(0).cast("bigint"), lambda total, d: total + d * d)
+    return done.select(
+        F.col("row.vec_id").alias("vec_id"),
+        "n",
+        squares.alias("deviation"),
+        F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "c"),
+        "identity_error",
+    ).select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        "n",
+        "deviation",
+        F.col("c.whitened").alias("whitened"),
+        F.col("c.explained").alias("explained"),
+        "identity_error",
+    )
