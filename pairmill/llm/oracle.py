@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pairmill.llm import chat_format, host_rules
+from pairmill.llm import chat_format, host_rules, spelling
 
 ORACLE: dict[str, str] = {}
 
@@ -116,3 +116,55 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT base_failed AND host_rate <= {host_rules.MAX_HOST_RATE} AS kept, host_rate
 FROM judged JOIN rates USING (host)
 """
+
+# One step of a bitwise crc32, over the bits of the bytes, lowest first.
+_CRC_STEP = "xor(xor(c, b) >> 1, 3988292384 * (xor(c, b) & 1))"
+# Near words by what is left when a letter goes: a replaced letter leaves the same rest at
+# the same place, an inserted one leaves the other word.
+ORACLE["op11_spelling_variants"] = f"""
+WITH RECURSIVE runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc,
+    unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents),
+counted AS (
+  SELECT doc, {_lower("run")} AS run, count(*) AS n FROM runs
+  WHERE length(run) >= {spelling.LEAST_LETTERS} GROUP BY ALL),
+hexed AS (SELECT doc, run, n, hex(encode(doc || ':' || run)) AS x FROM counted),
+bits AS (
+  SELECT run, n, flatten(list_transform(range(length(x) // 2), lambda i:
+    list_transform(range(8), lambda k: (
+      (16 * (strpos('0123456789ABCDEF', x[2 * i + 1]) - 1) + strpos('0123456789ABCDEF', x[2 * i + 2]) - 1) >> k) & 1))) AS b
+  FROM hexed),
+hashed AS (
+  SELECT run, n, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), b),
+    lambda c, b: {_CRC_STEP}), 4294967295) AS h FROM bits),
+slipped AS (
+  SELECT CASE WHEN h % {spelling.SLIP} = 0
+    THEN substring(run, 1, h % length(run)) || substring(run, h % length(run) + 2) ELSE run END AS word, n
+  FROM hashed),
+words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM slipped WHERE length(word) >= {spelling.LEAST_LETTERS}
+  GROUP BY word HAVING sum(n) >= {spelling.LEAST_COUNT}),
+rests AS (
+  SELECT DISTINCT word, n, i, substring(word, 1, i) || substring(word, i + 2) AS rest
+  FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+pairs AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS other_n
+  FROM rests a JOIN rests b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT r.word, r.n, w.word, w.n FROM rests r JOIN words w ON r.rest = w.word
+  UNION SELECT w.word, w.n, r.word, r.n FROM rests r JOIN words w ON r.rest = w.word),
+near AS (
+  SELECT word, count(*) AS n_near, max(other_n) AS most,
+    min_by(other, struct_pack(x := -other_n, y := encode(other))) AS best
+  FROM pairs GROUP BY word),
+forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN most >= {spelling.TIMES} * w.n THEN best END AS form,
+    CASE WHEN most >= {spelling.TIMES} * w.n THEN most END AS form_n
+  FROM words w LEFT JOIN near USING (word)),
+steps AS (
+  SELECT word, form AS at FROM forms WHERE form IS NOT NULL
+  UNION ALL SELECT s.word, f.form FROM steps s JOIN forms f ON s.at = f.word WHERE f.form IS NOT NULL),
+ends AS (SELECT s.word, s.at FROM steps s JOIN forms f ON s.at = f.word WHERE f.form IS NULL)
+SELECT f.word, f.form, coalesce(e.at, f.word) AS root, f.n, f.n_near, f.form_n
+FROM forms f LEFT JOIN ends e ON f.word = e.word
+"""

@@ -15,6 +15,7 @@ from pairmill.llm import (
     lm_score,
     ngram_join,
     packing,
+    spelling,
     substring_dedup,
     surrogates,
     url_filter,
@@ -141,6 +142,12 @@ def op3_surrogates(spark, sf):
     )
 
 
+@query
+def op11_spelling_variants(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return spelling.variants(docs).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 @query
 def op13_embedding_whitening(spark, sf):
     """All usable embeddings, as whole numbers, on their first eight components."""
