@@ -168,3 +168,22 @@ ends AS (SELECT s.word, s.at FROM steps s JOIN forms f ON s.at = f.word WHERE f.
 SELECT f.word, f.form, coalesce(e.at, f.word) AS root, f.n, f.n_near, f.form_n
 FROM forms f LEFT JOIN ends e ON f.word = e.word
 """
+
+_SIGNS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+
+# SHA-1 as base 32: five bits at a time from the two halves of its 160 bits' hex digits.
+ORACLE["op12_warc_index"] = f"""
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS x FROM pages),
+digests AS (
+  SELECT page_id, body, octet_length(encode(body)) AS payload_bytes,
+    array_to_string(list_transform(range(32), lambda i: substring('{_SIGNS}', 1 + CAST(
+      (CAST('0x' || substring(x, 1 + 10 * (i // 8), 10) AS BIGINT) >> (35 - 5 * (i % 8))) & 31 AS INTEGER), 1)), '')
+      AS payload_digest
+  FROM payloads),
+firsts AS (SELECT body, min(page_id) AS least FROM digests GROUP BY body)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN page_id = least THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> least THEN least END AS refers_to
+FROM digests JOIN firsts USING (body)
+"""

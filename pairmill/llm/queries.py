@@ -19,6 +19,7 @@ from pairmill.llm import (
     substring_dedup,
     surrogates,
     url_filter,
+    warc_index,
     whitening,
 )
 
@@ -148,6 +149,23 @@ def op11_spelling_variants(spark, sf):
     return spelling.variants(docs).select("word", "form", "root", "n", "n_near", "form_n")
 
 
+@query
+def op12_warc_index(spark, sf):
+    """All pages archived, then each URL looked up in the index and its records read."""
+    pages = table(spark, sf, "pages").select("page_id", "url", "html")
+    index = warc_index.build(warc_index.write(pages, "page_id", "url", "html"))
+    wanted = pages.select(warc_index.surt(F.col("url")).alias("key"))
+    records = warc_index.read(warc_index.find(wanted, index), with_payload=False)
+    kind = pages.schema["page_id"].dataType
+    return records.select(
+        F.col("id").cast(kind).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast(kind).alias("refers_to"),
+    )
+
+
 @query
 def op13_embedding_whitening(spark, sf):
     """All usable embeddings, as whole numbers, on their first eight components."""
