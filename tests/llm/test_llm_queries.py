@@ -33,7 +33,7 @@ def docs():
 
 def test_names():
     numbers = {int(n[2:].split("_")[0]) for n in QUERIES}
-    assert numbers == set(range(1, 11))
+    assert numbers == set(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(contract.queries())
 
 
