@@ -55,6 +55,8 @@ KEY_SIGNS = 256
 # Records nearer than this are read together, up to so many bytes.
 NEAR_BYTES = 1 << 16
 READ_BYTES = 1 << 23
+# Compressed records that one task reads, about.
+TASK_BYTES = 1 << 26
 
 GZIP_LEVEL = 4
 DATE = "2000-01-01T00:00:00Z"
@@ -359,5 +361,9 @@ def read(entries: DataFrame, with_payload: bool = True) -> DataFrame:
             columns = [pa.array(c, k) for c, k in zip(zip(*made, strict=True), kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    ordered = entries.repartitionByRange("file", "start").sortWithinPartitions("file", "start")
+    # Tasks are cut by the bytes of the records, not by those of the entries, which are few.
+    entries = durable(entries, "wanted-records")
+    total = entries.agg(F.sum("length")).first()[0] or 0
+    tasks = max(2 * entries.sparkSession.sparkContext.defaultParallelism, -(-total // TASK_BYTES))
+    ordered = entries.repartitionByRange(tasks, "file", "start").sortWithinPartitions("file", "start")
     return ordered.mapInArrow(run, RECORD)
