@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,9 +47,11 @@ def fetch(work: DataFrame, documents: DataFrame) -> DataFrame:
 
     Found and missing items are two joins, so that the bodies of documents nobody
     asked for stay where they are when the work list is small enough to be broadcast,
-    and the search for missing ones reads the url column only.
+    and the search for missing ones reads the url column only. Of a url that is listed
+    more than once the least text counts, so that a work item has one document.
     """
-    found = work.join(documents.select("url", "html"), "url")
+    asked = documents.select("url", "html").join(work.select("url"), "url", "left_semi")
+    found = work.join(asked.groupBy("url").agg(F.min("html").alias("html")), "url")
     missing = work.join(documents.select("url"), "url", "left_anti")
     return found.unionByName(missing.withColumn("html", F.lit(None).cast("string")))
 
@@ -89,7 +92,7 @@ def converted_by(
     """`converted` for one operation with a user's function over batches of html.
 
     An exception fails the row it comes from, not the job: the batch is tried whole
-    and, if that raises, row by row.
+    and, if that raises, row by row. The other columns pass as they are, in Arrow.
     """
 
     def attempt(html: pd.Series) -> tuple[pd.Series, pd.Series]:
@@ -101,25 +104,32 @@ def converted_by(
             pairs = [attempt(html.iloc[i : i + 1]) for i in range(len(html))]
             return pd.concat([p[0] for p in pairs]), pd.concat([p[1] for p in pairs])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            content, problem = attempt(batch.pop("html"))
-            yield batch.assign(error=problem, content=content)
+            html = batch["html"].to_pandas()[batch["_own"].to_numpy(zero_copy_only=False)]
+            content, problem = attempt(html) if len(html) else (html, html)
+            made = [
+                pa.array(x.reindex(range(batch.num_rows)).astype(object).where(lambda v: v.notna(), None), pa.string())
+                for x in (problem, content)
+            ]
+            columns = [batch[f.name] for f in names]
+            yield pa.RecordBatch.from_arrays([*columns, batch["_own"], *made], names=[*labels, "_own", "error", "content"])
 
-    kept = fetched.where(F.col("html").isNotNull() & (F.col("operation") == operation))
-    others = fetched.where(F.col("html").isNull() | (F.col("operation") != operation))
     names = [f for f in fetched.schema.fields if f.name != "html"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in names)
-    done = kept.mapInPandas(run, f"{schema}, error string, content string")
-    empty = F.when(F.length("content") == 0, CORRUPTED)
-    judged = done.withColumn("error", F.coalesce("error", empty)).withColumn(
-        "content", F.when(F.col("error").isNull(), F.col("content"))
-    )
+    labels = [f.name for f in names]
+    own = F.coalesce(F.col("html").isNotNull() & (F.col("operation") == operation), F.lit(False))
+    # No document, then no such operation: what other rows get is known beforehand.
     missing = F.coalesce(load_error(F.col("html"), F.col("url")), F.lit(INVALID))
-    failed = others.select(
-        *[f.name for f in names], missing.alias("error"), F.lit(None).cast("string").alias("content")
+    marked = fetched.select(*labels, "html", own.alias("_own"), F.when(~own, missing).alias("_missing"))
+    names = [*names, marked.schema["_missing"]]
+    labels = [f.name for f in names]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in names)
+    done = marked.mapInArrow(run, f"{schema}, _own boolean, error string, content string")
+    empty = F.when(F.col("_own") & (F.length("content") == 0), CORRUPTED)
+    error = F.coalesce("_missing", "error", empty)
+    return done.select(
+        *labels[:-1], error.alias("error"), F.when(error.isNull(), F.col("content")).alias("content")
     )
-    return judged.unionByName(failed)
 
 
 def result_name(operation: Column, local_id: Column, task_no: Column) -> Column:

@@ -42,9 +42,10 @@ def first_replies(replies: DataFrame, arrival: Sequence[str]) -> DataFrame:
 
 
 def pending_tasks(tasks: DataFrame, replies: DataFrame) -> DataFrame:
-    """Tasks without a reply, however often others were answered."""
-    answered = replies.select("local_id", "task_no").distinct()
-    return tasks.join(answered, ["local_id", "task_no"], "left_anti")
+    """Tasks without a reply, however often others were answered; a null job is a job."""
+    answered = replies.select(F.col("local_id").alias("_job"), F.col("task_no").alias("_task")).distinct()
+    same = F.col("local_id").eqNullSafe(F.col("_job")) & F.col("task_no").eqNullSafe(F.col("_task"))
+    return tasks.join(answered, same, "left_anti")
 
 
 def job_progress(replies: DataFrame) -> DataFrame:
@@ -91,10 +92,11 @@ def job_completion(replies: DataFrame, arrival: Sequence[Column | str]) -> DataF
 def finished_jobs(replies: DataFrame, requests: DataFrame | None = None) -> DataFrame:
     """Stored `local_id, replies` of the jobs whose tasks all have a reply.
 
-    `requests` (`local_id, num_tasks`) adds the jobs that have no task at all, which
-    are finished at once.
+    Repeated replies are no progress. `requests` (`local_id, num_tasks`) adds the jobs
+    that have no task at all, which are finished at once.
     """
-    done = job_progress(replies).where("replies >= num_tasks").select("local_id", "replies")
+    answered = replies.groupBy("local_id", "task_no").agg(F.max("num_tasks").alias("num_tasks"))
+    done = job_progress(answered).where("replies >= num_tasks").select("local_id", "replies")
     if requests is not None:
         none = requests.where("num_tasks = 0").select(
             "local_id", F.lit(0).cast("bigint").alias("replies")
@@ -105,6 +107,17 @@ def finished_jobs(replies: DataFrame, requests: DataFrame | None = None) -> Data
 
 def of_finished(replies: DataFrame, finished: DataFrame) -> DataFrame:
     """The replies of finished jobs only, a job of any size spread over many tasks."""
+    named = finished.select(_never_null("local_id").alias("_job"), "replies")
     return lookup_join(
-        replies, finished, "replies", {"local_id": "local_id"}, {"replies": "_n"}, ["task_no"]
-    ).drop("_n")
+        replies.withColumn("_job", _never_null("local_id")),
+        named,
+        "replies",
+        {"_job": "_job"},
+        {"replies": "_n"},
+        ["task_no"],
+    ).drop("_n", "_job")
+
+
+def _never_null(name: str) -> Column:
+    """As a text of its own, a null meets a null in a join."""
+    return F.when(F.col(name).isNull(), "-").otherwise(F.concat(F.lit("+"), F.col(name).cast("string")))

@@ -21,7 +21,7 @@ from pairmill.sources import labels as label_in
 from pairmill.sources import sequencefile as seq_in
 from pairmill.sources import summary as summary_in
 from pairmill.sources import tasks as task_in
-from pairmill.streaming import completion, intake
+from pairmill.streaming import completion, intake, pending
 from pairmill.streaming import conversion as stream_conversion
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -420,6 +420,16 @@ def round_summaries(spark, sf):
     return report.round_lines(jobs.full_round_replies(tables.answered(first), ["ts", "task_no"]))
 
 
+@query
+def round_reports(spark, sf):
+    """HTML reports of the full rounds of all jobs, one for each round."""
+    first = jobs.first_replies(tables.repeated(tables.wide_replies(spark, sf).drop("slice")), ["ts"])
+    full = jobs.full_round_replies(tables.answered(first), ["ts", "task_no"])
+    summary = report.parse_summary(report.round_lines(full))
+    rounds = summary.select("local_id", "round").distinct()
+    return report.html_report(summary, rounds, report=("local_id", "round"), line="place")
+
+
 @query
 def task_list_files(spark, sf):
     """Task lists written to files and read back; their broken lines are counted apart."""
@@ -475,3 +485,64 @@ def stream_dedup_responses(spark, sf):
 @query
 def stream_job_completion(spark, sf):
     return intake.drained(completion.full_rounds(reply_stream(spark, sf)), "stream-rounds")
+
+
+@query
+def stream_round_summaries(spark, sf):
+    """Summary lines of the full rounds, handed out by the stream as each fills.
+
+    Replies come in four runs in order of time, with late repeats.
+    """
+    rows = tables.wide_replies(spark, sf)
+    again = rows.where(F.col("task_no") % 10 == 0).withColumn("slice", F.col("slice") + 1)
+
+    def build(replies: DataFrame) -> DataFrame:
+        first = completion.first_replies(replies)
+        return report.round_lines(tables.answered(completion.round_replies(first)))
+
+    parts = {"replies": rows.unionByName(again)}
+    return intake.drained_in_runs(
+        parts, {"replies": tables.WIDE_STREAM}, tables.SLICES + 1, build, "stream-round-lines"
+    )
+
+
+@query
+def stream_rejected_replies(spark, sf):
+    """First replies with state for ten days only; what comes later is a reject."""
+    parts = {"replies": tables.delivered(spark, sf)}
+    judged = intake.drained_in_runs(
+        parts,
+        {"replies": tables.WIDE_STREAM},
+        tables.SLICES + 3,
+        lambda replies: completion.within_horizon(replies, tables.HORIZON_SECONDS),
+        "stream-horizon",
+    )
+    return judged.select("local_id", "task_no", "operation", "kept")
+
+
+@query
+def stream_unanswered_tasks(spark, sf):
+    """Tasks not answered in 180 s, and the replies that came later than that."""
+    sent, answers = tables.sent_tasks(spark, sf), tables.answers(spark, sf)
+    parts = {
+        "tasks": sent.unionByName(tables.heartbeat(sent, "sent_at")),
+        "replies": answers.unionByName(tables.heartbeat(answers, "answered_at")),
+    }
+
+    def build(tasks: DataFrame, replies: DataFrame) -> DataFrame:
+        due = pending.unanswered(tasks, replies)
+        late = pending.late_replies(tasks, replies)
+        waited = F.lit(pending.REDELIVERY_SECONDS).cast("bigint")
+        seconds = F.unix_seconds("answered_at") - F.unix_seconds("sent_at")
+        task = ["local_id", "task_no", "operation"]
+        return due.select(*task, F.lit("unanswered").alias("state"), waited.alias("seconds")).unionByName(
+            late.select(*task, F.lit("late").alias("state"), seconds.alias("seconds"))
+        )
+
+    return intake.drained_in_runs(
+        parts,
+        {"tasks": tables.TASK_STREAM, "replies": tables.ANSWER_STREAM},
+        tables.SLICES + 1,
+        build,
+        "stream-unanswered",
+    )

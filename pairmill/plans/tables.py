@@ -144,3 +144,66 @@ def write_task_lists(spark: SparkSession, sf: str) -> str:
     path = fresh_path(spark, "task-lists")
     rows.select(job.alias("local_id"), broken.alias("value")).write.partitionBy("local_id").text(path)
     return path
+
+
+# Ids from here on are no doubles.
+WIDE = 1 << 53
+SLICES = 4
+HORIZON_SECONDS = 10 * 86_400
+LATE_SECONDS = 40
+
+WIDE_STREAM = REPLY_STREAM
+
+
+def wide_replies(spark: SparkSession, sf: str) -> DataFrame:
+    """Replies with ids beyond 2**53, one null job, and `slice`, the quarter of their time."""
+    rows = replies(spark, sf).withColumn("_second", F.unix_seconds(F.col("ts").cast("timestamp")))
+    span = rows.agg(F.min("_second").alias("low"), F.max("_second").alias("high")).first()
+    low, high = span.low or 0, span.high or 0
+    part = F.expr(f"(_second - {low}) * {SLICES} div {high - low + 1}")
+    return rows.select(
+        F.when(F.col("local_id") % 25 != 0, F.col("local_id") + WIDE).alias("local_id"),
+        (F.col("task_no") + WIDE).alias("task_no"),
+        "num_tasks",
+        "operation",
+        "is_error",
+        "ts",
+        part.cast("int").alias("slice"),
+    )
+
+
+def delivered(spark: SparkSession, sf: str) -> DataFrame:
+    """The wide replies as they are delivered: `slice` is the quarter they arrive in.
+
+    Every tenth comes again one quarter later, every seventh comes two quarters late.
+    """
+    rows = wide_replies(spark, sf)
+    number = F.col("task_no") - WIDE
+    late = F.col("slice") + F.when(number % 7 == 3, 2).otherwise(0)
+    again = rows.where(number % 10 == 0).withColumn("slice", late + 1)
+    return rows.withColumn("slice", late).unionByName(again)
+
+
+TASK_STREAM = "local_id bigint, task_no bigint, operation string, sent_at timestamp"
+ANSWER_STREAM = "local_id bigint, task_no bigint, answered_at timestamp"
+
+
+def sent_tasks(spark: SparkSession, sf: str) -> DataFrame:
+    """A task for each wide reply, sent when that one was made, and its quarter."""
+    sent = F.col("ts").cast("timestamp").alias("sent_at")
+    return wide_replies(spark, sf).select("local_id", "task_no", "operation", sent, "slice")
+
+
+def answers(spark: SparkSession, sf: str) -> DataFrame:
+    """Answers to the sent tasks, 0 to 240 s later; every 17th task has none."""
+    number = F.col("task_no") - WIDE
+    rows = sent_tasks(spark, sf).where(number % 17 != 0)
+    delay = F.make_dt_interval(secs=(number % 7 * LATE_SECONDS).cast("int"))
+    return rows.select("local_id", "task_no", (F.col("sent_at") + delay).alias("answered_at"), "slice")
+
+
+def heartbeat(rows: DataFrame, time: str) -> DataFrame:
+    """A row without job and task, a day after all others, in a quarter of its own."""
+    later = rows.agg((F.max(time) + F.expr("interval 1 day")).alias(time))
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields if f.name not in (time, "slice")]
+    return later.select(*nulls, time, F.lit(SLICES).alias("slice")).select(*rows.columns)

@@ -9,6 +9,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Keeps the state of streams on disk; Spark's default keeps all of it on the heap.
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 # Runtime settings the plans are written for. All are ordinary Spark options, so a
 # cluster can override any of them with spark-submit --conf.
 DEFAULTS = {
@@ -18,6 +21,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.streaming.stateStore.providerClass": STATE_STORE,
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
@@ -51,6 +56,17 @@ def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     return count
 
 
+def state_on_disk(spark: SparkSession) -> None:
+    """Keep the state of the streams that start from here on in RocksDB.
+
+    Lists and timers of a job need it, and so does the set of all replies ever seen. A
+    stream that goes on from a checkpoint keeps the store it was started with.
+    """
+    for key in DEFAULTS:
+        if "stateStore" in key:
+            spark.conf.set(key, DEFAULTS[key])
+
+
 def planned_bytes(df: DataFrame) -> int:
     """What the optimizer expects the rows to take: for tables of files, from their size.
 

@@ -54,11 +54,18 @@ def outcome_counts(summary: DataFrame) -> DataFrame:
     )
 
 
-def html_report(summary: DataFrame, finished: DataFrame, escape: bool = False) -> DataFrame:
+def html_report(
+    summary: DataFrame,
+    finished: DataFrame,
+    escape: bool = False,
+    report: tuple[str, ...] = ("local_id",),
+    line: str = "task_no",
+) -> DataFrame:
     """`local_id, line_no, html`: opening (line 0), one row per task, closing.
 
     `finished` (`local_id, replies`) gives the jobs, so one without tasks has a report
-    too. Text is put in as it is unless `escape` is set.
+    too. Text is put in as it is unless `escape` is set. `report` names the columns that
+    tell reports apart, such as the job and its round, and `line` the one that orders them.
     """
     clean = html.escape if escape else lambda column: column
 
@@ -74,11 +81,11 @@ def html_report(summary: DataFrame, finished: DataFrame, escape: bool = False) -
         outcome,
         F.lit("<br>"),
     )
-    tasks = summary.select("local_id", F.col("task_no").alias("line_no"), body.alias("html"))
-    opening = finished.select("local_id", F.lit(0).cast("bigint").alias("line_no"), F.lit(PAGE_START).alias("html"))
+    tasks = summary.select(*report, F.col(line).alias("line_no"), body.alias("html"))
+    opening = finished.select(*report, F.lit(0).cast("bigint").alias("line_no"), F.lit(PAGE_START).alias("html"))
     # After every task, whatever their numbers.
     closing = finished.select(
-        "local_id", F.lit((1 << 63) - 1).alias("line_no"), F.lit(PAGE_END).alias("html")
+        *report, F.lit((1 << 63) - 1).alias("line_no"), F.lit(PAGE_END).alias("html")
     )
     return opening.unionByName(tasks).unionByName(closing)
 

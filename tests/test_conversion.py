@@ -281,3 +281,66 @@ def test_results_by_operation(spark, tmp_path):
     out = str(tmp_path / "results")
     report.write_results(conversion.result_contents(made, outcomes), out)
     assert rows(spark.read.parquet(out), "operation", "task_no") == [("ToHTML", 2), ("ToText", 1)]
+
+
+def test_a_url_listed_twice_answers_once(spark):
+    made = tasks(spark, [("j", "ToText", "u1"), ("j", "ToHTML", "u1"), ("j", "ToText", "u9")])
+    pages = spark.createDataFrame(
+        [("u1", "<p>b"), ("u1", "<p>a"), ("u1", None), ("u9", None), ("u9", None)], "url string, html string"
+    )
+    outcomes, replies = conversion.convert_tasks(made, pages, "b")
+    assert len(rows(replies)) == 3
+    texts = {(r.operation, r.url): (r.content, r.error) for r in outcomes.collect()}
+    assert texts["ToText", "u1"] == ("a", None)
+    assert texts["ToText", "u9"] == (None, conversion.LOAD_ERROR + "u9")
+
+
+def test_user_converter_keeps_rows_without_an_operation(spark):
+    made = spark.createDataFrame(
+        [(None, "u1", 2**53 + 1), ("ToUpper", "u1", None), ("ToUpper", None, 2**53 + 3), (None, "gone", 1)],
+        "operation string, url string, requests bigint",
+    )
+    fetched = made.join(spark.createDataFrame([("u1", "<p>a")], "url string, html string"), "url", "left")
+    found = conversion.converted_by(fetched, "ToUpper", lambda html: html.str.upper())
+    got = {(r.operation, r.url, r.requests): (r.error, r.content) for r in found.collect()}
+    assert got == {
+        (None, "u1", 2**53 + 1): ("Invalid operation", None),
+        ("ToUpper", "u1", None): (None, "<P>A"),
+        ("ToUpper", None, 2**53 + 3): (conversion.LOAD_ERROR + "null", None),
+        (None, "gone", 1): (conversion.LOAD_ERROR + "gone", None),
+    }
+
+
+def test_a_job_without_a_name(spark):
+    replies = spark.createDataFrame(
+        [(None, 1, 2), (None, 2, 2), (2**53 + 1, 1, 2), (2**53 + 1, 1, 2), (2**53, 1, 1)],
+        "local_id bigint, task_no bigint, num_tasks bigint",
+    )
+    done = jobs.finished_jobs(replies)
+    # A repeated reply is no progress.
+    assert {tuple(r) for r in done.collect()} == {(None, 2), (2**53, 1)}
+    kept = [(r.local_id, r.task_no) for r in jobs.of_finished(replies, done).collect()]
+    assert sorted(kept, key=repr) == sorted([(None, 1), (None, 2), (2**53, 1)], key=repr)
+    sent = spark.createDataFrame([(None, 1), (None, 3), (2**53, 1), (2**53, 2)], "local_id bigint, task_no bigint")
+    left = [tuple(r) for r in jobs.pending_tasks(sent, replies).collect()]
+    assert sorted(left, key=repr) == sorted([(None, 3), (2**53, 2)], key=repr)
+
+
+def test_a_report_for_each_round(spark):
+    replies = spark.createDataFrame(
+        [(j, i, 2, "ToText", f"u{i}", "r", i == 3, i) for j in ("a", None) for i in (1, 2, 3, 4, 5, 5)],
+        "local_id string, task_no bigint, num_tasks bigint, operation string, url string, result string, is_error boolean, at bigint",
+    )
+    first = jobs.first_replies(replies, ["at"])
+    lines = report.parse_summary(report.round_lines(jobs.full_round_replies(first, ["at"])))
+    rounds = lines.select("local_id", "round").distinct()
+    html = report.html_report(lines, rounds, report=("local_id", "round"), line="place")
+    pages = {}
+    for r in sorted(html.collect(), key=lambda r: r.line_no):
+        pages[r.local_id, r.round] = pages.get((r.local_id, r.round), "") + r.html
+    assert set(pages) == {(j, n) for j in ("a", None) for n in (0, 1)}
+    link = "<a href=r>outputFileLink</a><br>"
+    start = "< ToText >: <a href="
+    assert pages[None, 1] == (
+        f"<html><body>{start}u3>inputFileLink</a> < r ><br>{start}u4>inputFileLink</a> {link}</body></html>"
+    )

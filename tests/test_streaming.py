@@ -6,7 +6,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from pairmill.operators import jobs
-from pairmill.streaming import completion, intake
+from pairmill.streaming import completion, intake, pending
 
 SCHEMA = "local_id bigint, task_no bigint, num_tasks bigint, is_error boolean, ts timestamp"
 
@@ -110,3 +110,110 @@ def test_streamed_conversion_equals_batch(spark, tmp_path):
     for _ in range(2):
         stream_conversion.drain(tasks(), pages, "b", out, checkpoint)
         assert rows(spark.read.parquet(out).drop("batch")) == expected
+
+
+WIDE = "local_id bigint, task_no bigint, num_tasks bigint, is_error boolean, ts timestamp"
+BIG = 2**53
+
+
+def wide(spark, folder):
+    """Two jobs that are one number as doubles, and one without a name; a file per round."""
+    table = [(job, BIG + i, 2, False, 1_700_000_000 + i) for i in range(7) for job in (BIG, BIG + 1, None)]
+    for part in range(4):
+        made = [r for r in table if (r[1] - BIG) // 2 == part or (part and r[1] == BIG)]
+        file = spark.createDataFrame(made, WIDE.replace("ts timestamp", "at bigint"))
+        file.withColumn("ts", F.timestamp_seconds("at")).drop("at").coalesce(1).write.parquet(f"{folder}/in{part}")
+    return stream(spark, folder)
+
+
+def told(found, *columns):
+    return sorted((tuple(r) for r in found.select(*columns).collect()), key=repr)
+
+
+def test_ids_beyond_doubles(spark, tmp_path):
+    jobs_of = (BIG, BIG + 1, None)
+    replies = wide(spark, tmp_path / "s")
+    once = intake.drained(completion.first_replies(replies), "test-ids")
+    assert told(once, "local_id", "task_no") == sorted(((j, BIG + i) for j in jobs_of for i in range(7)), key=repr)
+    rounds = intake.drained(completion.full_rounds(completion.first_replies(replies)), "test-ids")
+    assert told(rounds, "local_id", "round", "replies") == sorted(((j, n, 2) for j in jobs_of for n in range(3)), key=repr)
+    full = intake.drained(completion.round_replies(completion.first_replies(replies)), "test-ids")
+    expected = [(j, BIG + i, i // 2, i % 2 + 1) for j in jobs_of for i in range(6)]
+    assert told(full, "local_id", "task_no", "round", "place") == sorted(expected, key=repr)
+
+
+def test_rounds_with_replies_equal_batch(spark, tmp_path):
+    """Rounds that end in the middle of a batch, span several, or fill many times in one."""
+    rng = random.Random(8)
+    made = [(rng.choice([0, 0, 0, 1, 2]), i, 0, i % 5 == 0, 1_700_000_000 + i) for i in range(400)]
+    made = [(job, i, {0: 7, 1: 90, 2: 1}[job], e, at) for job, i, _, e, at in made]
+    table = spark.createDataFrame(made, "local_id bigint, task_no bigint, num_tasks bigint, is_error boolean, at bigint")
+    table = table.withColumn("ts", F.timestamp_seconds("at")).drop("at").cache()
+    folder, out, checkpoint = (str(tmp_path / n) for n in ("s", "out", "checkpoint"))
+    for part in range(4):
+        table.where(f"task_no div 100 = {part}").coalesce(1).write.parquet(f"{folder}/in{part}")
+        # Each run goes on with the open rounds of the one before it.
+        intake.drain(completion.round_replies(stream(spark, folder)), out, checkpoint)
+    columns = ("local_id", "round", "place", "task_no", "is_error")
+    assert rows(spark.read.parquet(out), *columns) == rows(jobs.full_round_replies(table, ["ts", "task_no"]), *columns)
+
+
+def test_replies_without_a_round_size_are_in_no_round(spark, tmp_path):
+    made = [("a", 1, None), ("a", 2, 0), ("a", 3, 2), ("a", 4, 2)]
+    table = spark.createDataFrame([(*m, None) for m in made], "local_id string, task_no bigint, num_tasks bigint, ts timestamp")
+    table.write.parquet(str(tmp_path / "t"))
+    read = intake.read_folder(spark, str(tmp_path / "t"), "local_id string, task_no bigint, num_tasks bigint, ts timestamp")
+    found = intake.drained(completion.round_replies(read), "test-sizes")
+    assert rows(found, "task_no", "round", "place") == [(3, 0, 1), (4, 0, 2)]
+
+
+def test_horizon_keeps_or_rejects_every_reply(spark, tmp_path):
+    """Against a plain walk over the files: what is late is a reject, copies in time are dropped."""
+    rng = random.Random(9)
+    files = [[] for _ in range(6)]
+    for i in range(300):
+        home = i // 60
+        files[home].append((i % 4 or None, i, 1_700_000_000 + i))
+        if rng.random() < 0.5:
+            files[min(5, home + rng.randrange(4))].append((i % 4 or None, i, 1_700_000_000 + i))
+    files[2] += [(9, 1000, None), (9, 1000, None)]
+    files[5] += [(9, 1000, None)]
+    folder, out, checkpoint = (str(tmp_path / n) for n in ("s", "out", "checkpoint"))
+    kept, rejects, seen, high = [], [], set(), 0
+    for number, made in enumerate(files):
+        for job, task, at in made:
+            if at is not None and high and at <= high - 70:
+                rejects.append((job, task))
+            elif (job, task) not in seen:
+                seen.add((job, task))
+                kept.append((job, task))
+        high = max([high, *(at for *_, at in made if at)])
+        table = spark.createDataFrame([(j, t, 1, False, at) for j, t, at in made], WIDE.replace("ts timestamp", "at bigint"))
+        table.withColumn("ts", F.timestamp_seconds("at")).drop("at").coalesce(1).write.parquet(f"{folder}/in{number}")
+        intake.drain(completion.within_horizon(stream(spark, folder), 70), out, checkpoint)
+    found = spark.read.parquet(out)
+    assert told(found.where("kept"), "local_id", "task_no") == sorted(kept, key=repr)
+    assert told(found.where("not kept"), "local_id", "task_no") == sorted(rejects, key=repr)
+    assert rejects and {r[:2] for f in files for r in f} == {*kept, *rejects}
+
+
+def test_tasks_to_send_again(spark, tmp_path):
+    base = 1_700_000_000
+    sent = [(1, 1, base), (1, 2, base + 5), (None, 1, base + 10), (None, 2, base + 20), (BIG, 1, base), (BIG + 1, 1, base)]
+    answers = [(1, 1, base + 180), (1, 2, base + 186), (None, 2, base + 20), (BIG + 1, 1, base + 1), (BIG + 1, 1, base + 400), (7, 7, base)]
+    for name, made, time in (("tasks", sent, "sent_at"), ("replies", answers, "answered_at")):
+        for i, part in enumerate((made[:3], made[3:], [(None, None, base + 90_000)])):
+            table = spark.createDataFrame(part, "local_id bigint, task_no bigint, at bigint")
+            table = table.withColumn(time, F.timestamp_seconds("at")).drop("at").coalesce(1)
+            table.write.parquet(str(tmp_path / name / str(i)))
+
+    def read(name, time):
+        path = str(tmp_path / name / "*")
+        return intake.read_folder(spark, path, f"local_id bigint, task_no bigint, {time} timestamp", files_per_batch=1)
+
+    streams = read("tasks", "sent_at"), read("replies", "answered_at")
+    due = intake.drained(pending.unanswered(*streams), "test-due")
+    assert told(due, "local_id", "task_no") == sorted([(1, 2), (None, 1), (BIG, 1)], key=repr)
+    assert rows(due.select(F.unix_seconds("due_at") - F.unix_seconds("sent_at")).distinct()) == [(180,)]
+    late = intake.drained(pending.late_replies(*streams), "test-late")
+    assert told(late, "local_id", "task_no") == [(1, 2), (BIG + 1, 1)]
