@@ -11,9 +11,9 @@ from pairmill.functions import messages
 from pairmill.functions.html import html_to_text, text_to_html
 from pairmill.operators import conversion, evaluation, jobs, ngrams, pairs, scoring
 from pairmill.plans import flow, tables
-from pairmill.session import durable, fresh_path, spread
+from pairmill.session import durable, fresh_path, publish, spread
 from pairmill.sinks import keyvalue as kv_out
-from pairmill.sinks import report
+from pairmill.sinks import objects, report
 from pairmill.sinks import sequencefile as seq_out
 from pairmill.sources import corpus as corpus_in
 from pairmill.sources import keyvalue as kv_in
@@ -21,7 +21,7 @@ from pairmill.sources import labels as label_in
 from pairmill.sources import sequencefile as seq_in
 from pairmill.sources import summary as summary_in
 from pairmill.sources import tasks as task_in
-from pairmill.streaming import completion, intake, pending
+from pairmill.streaming import completion, control, intake, pending
 from pairmill.streaming import conversion as stream_conversion
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -337,6 +337,20 @@ def result_links(spark, sf):
     )
 
 
+@query
+def result_objects(spark, sf):
+    """The converted pages written as one object each, and read back."""
+    tasks, outcomes, _ = page_replies(spark, sf)
+    path = fresh_path(spark, "objects")
+    objects.write_objects(conversion.result_contents(tasks, outcomes), path)
+    link = conversion.result_link(F.lit(tables.BUCKET), F.col("name"))
+    return objects.read_objects(spark, path).select(
+        link.alias("link"),
+        F.length(F.col("content").cast("string")).cast("bigint").alias("n_chars"),
+        F.md5("content").alias("digest"),
+    )
+
+
 @query
 def message_codec(spark, sf):
     """Task and reply messages of all tasks, encoded and decoded."""
@@ -546,3 +560,68 @@ def stream_unanswered_tasks(spark, sf):
         build,
         "stream-unanswered",
     )
+
+
+def converted_in_runs(spark, sf) -> tuple[stream_conversion.Store, str]:
+    """The arriving tasks converted in several runs: the store, and where the replies are."""
+    home = fresh_path(spark, "stream-job")
+    arrivals = durable(tables.task_arrivals(spark, sf), "arrivals")
+    documents = tables.page_documents(spark, sf)
+    for run in range(tables.SLICES + 1):
+        arrivals.where(F.col("slice") == run).drop("slice").write.parquet(f"{home}/tasks/{run}")
+        tasks = intake.read_folder(spark, f"{home}/tasks/*", tables.ORDERED_TASK.removesuffix(", at bigint"))
+        store = stream_conversion.drain(tasks, documents, tables.BUCKET, f"{home}/replies", f"{home}/checkpoint")
+    return store, f"{home}/replies"
+
+
+@query
+def stream_job_summaries(spark, sf):
+    """Tasks to replies to full jobs to summary lines, all as streams."""
+    _, path = converted_in_runs(spark, sf)
+    replies = stream_conversion.reply_stream(spark, path)
+    full = completion.round_replies(completion.first_replies(replies), arrival=("task_no",))
+    return intake.drained(report.round_lines(full), "stream-summaries")
+
+
+@query
+def stream_outcome_ledger(spark, sf):
+    """What the stream has converted: each (operation, url) once, with the run that did it."""
+    store, _ = converted_in_runs(spark, sf)
+    return store.ledger(spark).groupBy("operation", "url").agg(
+        F.count(F.lit(1)).alias("conversions"),
+        F.min("batch").alias("batch"),
+        F.max("error").alias("error"),
+        F.max(F.length("content")).cast("bigint").alias("n_chars"),
+    )
+
+
+@query
+def stream_stopped_by_marker(spark, sf):
+    """Replies of a stream that gets its marker half-way, and the tasks it refused."""
+    home = fresh_path(spark, "stream-marker")
+    rows, marker = tables.ordered_tasks(spark, sf)
+    stop = spark.createDataFrame(
+        [("", 0, 0, control.TERMINATE, "", marker)], tables.ORDERED_TASK
+    ).withColumn("slice", F.expr(f"int({tables.SLICES} div 2)"))
+    arrivals = durable(rows.unionByName(stop), "arrivals")
+    store = stream_conversion.open_store(tables.page_documents(spark, sf), f"{home}/store")
+
+    def convert(taken: DataFrame, number: int) -> None:
+        replies = stream_conversion.convert_batch(taken, number, store, tables.BUCKET)
+        replies.write.mode("overwrite").parquet(f"{home}/replies/batch={number}")
+
+    def feed(running) -> None:
+        for run in range(tables.SLICES):
+            arrivals.where(F.col("slice") == run).drop("slice").write.parquet(f"{home}/made/{run}")
+            publish(spark, f"{home}/made/{run}", f"{home}/tasks/{run}")
+            running.processAllAvailable()
+
+    arrivals.limit(0).drop("slice").write.parquet(f"{home}/tasks/none")
+    tasks = intake.read_folder(spark, f"{home}/tasks/*", tables.ORDERED_TASK)
+    control.run_until_marker(tasks, convert, f"{home}/gate", f"{home}/checkpoint", feed)
+    task = ["local_id", "task_no"]
+    done = spark.read.parquet(f"{home}/replies").select(*task, F.lit(True).alias("accepted"), "is_error")
+    refused = spark.read.parquet(f"{home}/gate/refused").select(
+        *task, F.lit(False).alias("accepted"), F.lit(None).cast("boolean").alias("is_error")
+    )
+    return done.unionByName(refused)

@@ -207,3 +207,35 @@ def heartbeat(rows: DataFrame, time: str) -> DataFrame:
     later = rows.agg((F.max(time) + F.expr("interval 1 day")).alias(time))
     nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields if f.name not in (time, "slice")]
     return later.select(*nulls, time, F.lit(SLICES).alias("slice")).select(*rows.columns)
+
+
+ORDERED_TASK = "local_id string, task_no bigint, num_tasks bigint, operation string, url string, at bigint"
+
+
+def _in_quarters(rows: DataFrame, at: str) -> DataFrame:
+    """`slice`: the quarter of the range of the given number."""
+    span = rows.agg(F.min(at).alias("low"), F.max(at).alias("high")).first()
+    low, high = span.low or 0, span.high or 0
+    return rows.withColumn("slice", F.expr(f"({at} - {low}) * {SLICES} div {high - low + 1}").cast("int"))
+
+
+def task_arrivals(spark: SparkSession, sf: str) -> DataFrame:
+    """The page tasks in four quarters of page numbers; each quarter's tasks come again for
+    another job one quarter later."""
+    rows = task_rows(table(spark, sf, "pages"))
+    numbered = number_rows(rows, ["local_id"], ["page_id"], "task_no", "num_tasks")
+    first = _in_quarters(numbered, "page_id").drop("page_id")
+    again = first.withColumns(
+        {"local_id": F.replace("local_id", F.lit("job"), F.lit("again")), "slice": F.col("slice") + 1}
+    )
+    return first.unionByName(again)
+
+
+def ordered_tasks(spark: SparkSession, sf: str) -> tuple[DataFrame, int]:
+    """Tasks of many jobs that begin one after another, and the order number of a marker."""
+    rows = task_rows(table(spark, sf, "pages"))
+    job = F.expr("concat('job', (page_id + 7 * (page_id % 3)) div 20)")
+    numbered = number_rows(rows.withColumn("local_id", job), ["local_id"], ["page_id"], "task_no", "num_tasks")
+    placed = _in_quarters(numbered, "page_id").withColumn("at", 2 * F.col("page_id")).drop("page_id")
+    last = placed.agg(F.max("at")).first()[0] or 0
+    return placed, last // 4 * 2 + 1

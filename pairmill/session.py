@@ -109,6 +109,21 @@ def release(spark: SparkSession, path: str | None = None) -> None:
     gone.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(gone, True)
 
 
+def publish(spark: SparkSession, made: str, path: str) -> None:
+    """Give a finished folder its name in one step, so that a stream sees all of it or nothing."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    to = hadoop.Path(path)
+    system = to.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.mkdirs(to.getParent())
+    if not system.rename(hadoop.Path(made), to):
+        raise OSError(f"{made} could not become {path}")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def durable(df: DataFrame, label: str) -> DataFrame:
     """Write `df` as a table in the shared folder and read it back.
 

@@ -1,17 +1,20 @@
 """Conversion, jobs and reports."""
 
 import glob
+import os
 import random
 
 import pandas as pd
+import pyarrow as pa
 import pytest
 from conftest import rows
+from pyarrow import fs
 from pyspark.sql import functions as F
 
 from pairmill.functions.html import escape, html_to_text, text_to_html
 from pairmill.operators import conversion, jobs, skew
 from pairmill.session import durable
-from pairmill.sinks import report
+from pairmill.sinks import objects, report
 from pairmill.sources.documents import read_files
 from pairmill.sources.summary import read_summary
 from pairmill.sources.tasks import parse_tasks, read_task_lists
@@ -344,3 +347,55 @@ def test_a_report_for_each_round(spark):
     assert pages[None, 1] == (
         f"<html><body>{start}u3>inputFileLink</a> < r ><br>{start}u4>inputFileLink</a> {link}</body></html>"
     )
+
+
+def listing(path):
+    return sorted(os.path.relpath(os.path.join(d, f), path) for d, _, files in os.walk(path) for f in files if not f.endswith(".crc"))
+
+
+def test_one_object_per_result(spark, tmp_path):
+    made = [(f"HTML{i}.html", f"page {i} é\r\n" * i) for i in range(50)] + [("none.txt", None)]
+    path = str(tmp_path / "objects")
+    table = spark.createDataFrame(made, "name string, content string")
+    objects.write_objects(table.repartition(6), path)
+    assert {(r.name, bytes(r.content).decode()) for r in objects.read_objects(spark, path).collect()} == {
+        (n, c) for n, c in made if c
+    }
+    assert listing(path) == sorted(["_committed", *(n for n, _ in made)])
+    # A write that is repeated leaves the same objects.
+    objects.write_objects(table.repartition(3), path)
+    assert listing(path) == sorted(["_committed", *(n for n, _ in made)])
+
+
+def test_a_failed_write_leaves_no_object(spark, tmp_path):
+    path = str(tmp_path / "objects")
+    good = spark.createDataFrame([(f"a{i}", "x") for i in range(40)], "name string, content string").repartition(4)
+    # One task ends, another fails after it has staged some of its objects.
+    bad = spark.createDataFrame([*((f"b{i}", "x") for i in range(5)), ("b/7", "x")], "name string, content string")
+    with pytest.raises(Exception, match="no name of an object"):
+        objects.write_objects(good.union(bad.coalesce(1)), path)
+    assert listing(path) == []
+
+
+def test_objects_of_failed_attempts_are_taken_back(tmp_path, monkeypatch):
+    """A task that fails while it gives its objects their names."""
+    writer = objects.ObjectWriter(str(tmp_path / "o"))
+    batch = pa.RecordBatch.from_pydict({"name": ["a", "b", "c"], "content": ["1", "2", "3"]})
+    moved = []
+
+    class Broken(fs.LocalFileSystem):
+        def move(self, start, end):
+            if len(moved) == 2:
+                raise OSError("gone")
+            moved.append(end)
+            super().move(start, end)
+
+    monkeypatch.setattr(objects, "open_folder", lambda path: (Broken(), path))
+    with pytest.raises(OSError, match="gone"):
+        writer.write(iter([batch]))
+    assert len(moved) == 2 and listing(tmp_path / "o") == []
+    monkeypatch.undo()
+    done = writer.write(iter([batch]))
+    assert done.objects == 3 and listing(tmp_path / "o")[-3:] == ["a", "b", "c"]
+    writer.abort([done, None])
+    assert listing(tmp_path / "o") == []

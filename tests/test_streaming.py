@@ -2,11 +2,14 @@
 
 import random
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from pairmill.operators import jobs
-from pairmill.streaming import completion, intake, pending
+from pairmill.session import publish
+from pairmill.streaming import completion, control, intake, pending
+from pairmill.streaming import conversion as stream_conversion
 
 SCHEMA = "local_id bigint, task_no bigint, num_tasks bigint, is_error boolean, ts timestamp"
 
@@ -92,7 +95,6 @@ def test_text_job_ids(spark, tmp_path):
 
 def test_streamed_conversion_equals_batch(spark, tmp_path):
     from pairmill.operators import conversion
-    from pairmill.streaming import conversion as stream_conversion
 
     made = spark.createDataFrame(
         [("j", i, 40, "ToText" if i % 2 else "ToHTML", f"u{i % 4}") for i in range(40)],
@@ -217,3 +219,89 @@ def test_tasks_to_send_again(spark, tmp_path):
     assert rows(due.select(F.unix_seconds("due_at") - F.unix_seconds("sent_at")).distinct()) == [(180,)]
     late = intake.drained(pending.late_replies(*streams), "test-late")
     assert told(late, "local_id", "task_no") == [(1, 2), (BIG + 1, 1)]
+
+
+TASKS = "local_id string, task_no bigint, num_tasks bigint, operation string, url string"
+
+
+def store_of(spark, tmp_path, parts=16):
+    pages = [(f"u{i}", f"<p>{i}") for i in range(60)] + [("u3", "<p>A"), ("u3", None), (None, "x")]
+    documents = spark.createDataFrame(pages, "url string, html string")
+    return stream_conversion.open_store(documents, str(tmp_path / "store"), parts)
+
+
+def test_a_batch_reads_the_parts_it_needs(spark, tmp_path):
+    store = store_of(spark, tmp_path)
+    plan = store.documents(spark, [1, 4])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [part" in plan and "(1,4)" in plan.replace(" ", "")
+    files = store.documents(spark, [1, 4]).select(F.input_file_name()).distinct().collect()
+    assert {f[0].split("part=")[1].split("/")[0] for f in files} <= {"1", "4"}
+    # Opened again, it keeps its documents and parts.
+    other = stream_conversion.open_store(spark.createDataFrame([], "url string, html string"), store.home, 3)
+    assert other == store and other.documents(spark, list(range(16))).count() == 61
+
+
+def test_outcomes_are_kept_and_a_batch_can_be_repeated(spark, tmp_path):
+    store = store_of(spark, tmp_path)
+
+    def batch(job, entries):
+        made = [(job, i, len(entries), op, url) for i, (op, url) in enumerate(entries)]
+        return spark.createDataFrame(made, TASKS)
+
+    first = batch("a", [("ToText", "u3"), ("ToText", "u3"), ("ToHTML", "u3"), (None, "u1"), ("ToText", None), ("ToText", "gone")])
+    second = batch("b", [("ToText", "u3"), ("ToText", "u5"), (None, "u1"), ("ToText", None)])
+    expected = {}
+    for number, tasks in ((0, first), (1, second), (1, second), (0, first), (1, second)):
+        replies = rows(stream_conversion.convert_batch(tasks, number, store, "b"))
+        assert len(replies) == tasks.count()
+        assert expected.setdefault(number, replies) == replies
+    ledger = store.ledger(spark).collect()
+    keys = [(r.operation, r.url) for r in ledger]
+    assert len(keys) == len(set(keys)) == 6
+    assert {r.batch for r in ledger if r.url == "u5"} == {1} and sum(r.batch for r in ledger) == 1
+    text = {(r.operation, r.url): (r.content, r.error) for r in ledger}
+    assert text["ToText", "u3"] == ("3", None) and text[None, "u1"][1] == "Invalid operation"
+    assert text["ToText", None][1] == text["ToText", "gone"][1].replace("gone", "null")
+
+
+def test_stop_on_a_marker(spark, tmp_path):
+    """Open jobs are finished, also by tasks behind the marker; later jobs are refused."""
+    schema = TASKS + ", at bigint"
+    quarters = [
+        [("a", 1, 2, "ToText", "u", 1), (None, 1, 2, "ToText", "u", 2)],
+        [("", 0, 0, control.TERMINATE, "", 5), ("b", 1, 1, "ToText", "u", 4), ("c", 1, 1, "ToText", "u", 6)],
+        [("a", 2, 2, "ToText", "u", 7), ("a", 2, 2, "ToText", "u", 7), ("d", 1, 1, "ToText", "u", 8)],
+        [(None, 2, 2, "ToText", "u", 9)],
+    ]
+    made = str(tmp_path / "tasks")
+    seen = {}
+
+    def feed(query):
+        for i, part in enumerate(quarters):
+            assert query.isActive
+            spark.createDataFrame(part, schema).coalesce(1).write.parquet(f"{tmp_path}/made{i}")
+            publish(spark, f"{tmp_path}/made{i}", f"{made}/{i}")
+            query.processAllAvailable()
+
+    spark.createDataFrame([], schema).write.parquet(f"{made}/none")
+    tasks = intake.read_folder(spark, f"{made}/*", schema)
+    control.run_until_marker(
+        tasks, lambda taken, n: seen.update({n: rows_of(taken)}), f"{tmp_path}/gate", f"{tmp_path}/c", feed, timeout=120
+    )
+    got = [r for n in sorted(seen) for r in seen[n]]
+    assert sorted({r[:2] for r in got}, key=repr) == sorted([("a", 1), (None, 1), ("b", 1), ("a", 2), (None, 2)], key=repr)
+    refused = spark.read.parquet(f"{tmp_path}/gate/refused")
+    assert rows(refused, "local_id", "task_no") == [("c", 1), ("d", 1)]
+    assert not [q for q in spark.streams.active]
+
+
+def rows_of(table):
+    return [(r.local_id, r.task_no) for r in table.collect()]
+
+
+def test_no_marker_no_end(spark, tmp_path):
+    schema = TASKS + ", at bigint"
+    spark.createDataFrame([("a", 1, 1, "ToText", "u", 1)], schema).write.parquet(f"{tmp_path}/t/0")
+    tasks = intake.read_folder(spark, f"{tmp_path}/t/*", schema)
+    with pytest.raises(TimeoutError):
+        control.run_until_marker(tasks, lambda taken, n: None, f"{tmp_path}/gate", f"{tmp_path}/c", timeout=6)
