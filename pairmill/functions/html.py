@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,6 +34,51 @@ def html_to_text(html: Column) -> Column:
     return F.trim(F.regexp_replace(html, GAPS, " "))
 
 
+# A script or style ends at its own closing tag.
+BLOCKS = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+ENTITY = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+# Named references, as the standard lists them.
+NAMED = dict(sorted(name2codepoint.items()))
+LAST_CODE_POINT = 0x10FFFF
+
+
+def _character(code: Column) -> Column:
+    """The character of a code point; null where there is none that a text may hold."""
+    good = (code > 0) & (code <= LAST_CODE_POINT) & ~code.between(0xD800, 0xDFFF)
+    wide = F.unhex(F.lpad(F.hex(F.when(good, code)), 8, "0"))
+    return F.decode(wide, "UTF-32")
+
+
+def decode_entities(text: Column) -> Column:
+    """Named and numeric references as characters, in one pass: what they give is not read again.
+
+    An unknown name, or a number without a character, stays as it is.
+    """
+    names = F.create_map(*[F.lit(x) for pair in NAMED.items() for x in pair])
+
+    def read(entity: Column) -> Column:
+        body = F.substring(entity, 2, 40)
+        body = F.substring_index(body, ";", 1)
+        hexadecimal = F.conv(F.regexp_extract(body, "^#[xX](.*)$", 1), 16, 10)
+        decimal = F.regexp_extract(body, "^#([0-9]+)$", 1)
+        code = F.coalesce(F.try_element_at(names, body), decimal.try_cast("int"), hexadecimal.try_cast("int"))
+        return F.coalesce(_character(code), entity)
+
+    between = F.split(text, ENTITY, -1)
+    read_out = F.transform(F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0)), read)
+    # One part more than references: the last meets none.
+    return F.array_join(F.zip_with(between, read_out, lambda part, c: F.concat(part, F.coalesce(c, F.lit("")))), "")
+
+
+def html_to_plain(html: Column) -> Column:
+    """`html_to_text` with all references read, and scripts up to their own closing tag."""
+    for pattern in (BLOCKS, *MARKUP[1:]):
+        html = F.regexp_replace(html, pattern, " ")
+    # A no-break space is a gap like others.
+    text = F.translate(decode_entities(html), "\u00a0", " ")
+    return F.trim(F.regexp_replace(text, GAPS, " "))
+
+
 def escape(text: Column) -> Column:
     """The three characters HTML text must not hold bare."""
     text = F.replace(text, F.lit("&"), F.lit("&amp;"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairmill.functions.scores import f_measure, precision, recall
+from pairmill.operators.skew import fits_broadcast
 
 # The decade the labels speak about.
 LABEL_DECADE = 10
@@ -42,6 +43,17 @@ def labelled_only(scores: DataFrame, labels: DataFrame) -> DataFrame:
     return scores.join(labels, ["w1", "w2"], "left_semi")
 
 
+def labelled_events(events: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pair events of the label decade that carry a label: before they are counted.
+
+    `labels` is a stored table. One of a checked size is sent to the tasks, so the events
+    of other pairs go into no shuffle; else both sides are joined by the pair.
+    """
+    wanted = labels.select("w1", "w2")
+    wanted = F.broadcast(wanted) if fits_broadcast(wanted) else wanted
+    return events.where(F.col("decade") == LABEL_DECADE).join(wanted, ["w1", "w2"], "left_semi")
+
+
 def with_labels(scores: DataFrame, labels: DataFrame) -> DataFrame:
     """Scored pairs that carry a label, with the label."""
     return scores.join(labels.select("w1", "w2", "related"), ["w1", "w2"])

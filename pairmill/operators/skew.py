@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairmill.session import durable
+from pairmill.session import computed_once, durable
 
 # Keys served by broadcast in a lookup join. It is a count of rows, so the broadcast
 # stays a few hundred kilobytes whatever the size of the data.
@@ -106,8 +106,9 @@ def number_rows(
     group. Rows with a null group are numbered as a group. `total` adds the group size.
     """
     ids = F.monotonically_increasing_id()
+    # Finding the ranges reads a sample of the keys: of stored rows, not of a plan run twice.
     slotted = durable(
-        df.repartitionByRange(*group, *order).sortWithinPartitions(*group, *order).withColumn("_id", ids),
+        computed_once(df, "numbered").repartitionByRange(*group, *order).sortWithinPartitions(*group, *order).withColumn("_id", ids),
         "slots",
     ).withColumn("_slot", F.shiftright("_id", 33))
     # One row per (group, slot): a group has at most as many as there are slots.

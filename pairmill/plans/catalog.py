@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairmill.functions import messages
-from pairmill.functions.html import html_to_text, text_to_html
+from pairmill.functions.html import html_to_plain, html_to_text, text_to_html
 from pairmill.operators import conversion, evaluation, jobs, ngrams, pairs, scoring
-from pairmill.plans import flow, tables
+from pairmill.plans import counters, flow, tables
 from pairmill.session import durable, fresh_path, publish, spread
 from pairmill.sinks import keyvalue as kv_out
 from pairmill.sinks import objects, report
@@ -49,12 +49,14 @@ def stats(spark, sf) -> DataFrame:
 def labelled(spark, sf) -> tuple[DataFrame, DataFrame]:
     """Base-10 scores of the labelled pairs of the label decade, and the labels.
 
-    The pair table is stored once, by decade: the labels come from it, and of the label
-    decade alone the pairs with a label go on to the word weights.
+    Of the pair table the label decade and the pairs that may give a label are stored, by
+    decade: the labels come from it, and of the label decade alone the pairs with a label
+    go on to the word weights.
     """
     text = counts(spark, sf)
     path = fresh_path(spark, "pairs")
-    text.pairs.write.partitionBy("decade").parquet(path)
+    needed = (F.col("decade") == evaluation.LABEL_DECADE) | (F.col("c_pair") >= tables.LABEL_MIN_COUNT)
+    text.pairs.where(needed).write.partitionBy("decade").parquet(path)
     stored = spark.read.schema(text.pairs.schema).parquet(path)
     labels = durable(tables.labels(stored), "labels")
     in_decade = stored.where(F.col("decade") == evaluation.LABEL_DECADE)
@@ -179,6 +181,13 @@ def stage_record_counts(spark, sf):
     return pairs.stage_record_counts(text.stats(), text.singles(), text.marginals)
 
 
+@query
+def stage_counters(spark, sf):
+    """What the stages themselves counted while the scores were made."""
+    _, seen = counters.counted_run(counts(spark, sf))
+    return counters.stage_records(seen, spark)
+
+
 # --- key/value text and sequence files ---------------------------------------------
 
 
@@ -194,6 +203,28 @@ def kv_parse(spark, sf):
     return parsed.withColumn("is_bad", F.col("bad").isNotNull()).drop("bad")
 
 
+@query
+def kv_files(spark, sf):
+    """The statistics written as text by decade, read back and parsed."""
+    path = fresh_path(spark, "kv")
+    kv_out.write_kv(stats(spark, sf), path, "stats")
+    parsed = kv_in.parse_kv(spark.read.text(path).select("value"), "stats")
+    return parsed.withColumn("is_bad", F.col("bad").isNotNull()).drop("bad")
+
+
+@query
+def pmi_list_files(spark, sf):
+    """Scores written as a list with broken lines, read back from files; rejects counted."""
+    path = fresh_path(spark, "pmi-list")
+    lines = kv_out.format_kv(scoring.scored(stats(spark, sf)), "scores")
+    broken = F.when(F.col("w1").startswith("t"), F.replace("line", F.lit("\t"), F.lit(" "))).otherwise(F.col("line"))
+    lines.select(broken.alias("value")).write.text(path)
+    good, bad = kv_in.read_pmi_list(spark, path, evaluation.LABEL_DECADE)
+    kinds = [(good, "good"), (bad, "reject")]
+    counted = [x.agg(F.lit(kind).alias("kind"), F.count(F.lit(1)).alias("lines")) for x, kind in kinds]
+    return counted[0].unionByName(counted[1])
+
+
 @query
 def row_kinds(spark, sf):
     text = counts(spark, sf)
@@ -236,11 +267,15 @@ def gold_pairs(spark, sf):
 
 @query
 def builtin_labels_scored(spark, sf):
-    """The built-in list with the scores that the documents give; null where they have none."""
+    """The built-in list with the scores that the documents give; null where they have none.
+
+    Only events of labelled pairs are counted.
+    """
     labels = label_in.builtin_labels(spark)
     text = counts(spark, sf)
-    in_decade = text.pairs.where(F.col("decade") == evaluation.LABEL_DECADE)
-    wanted = flow.Counts(evaluation.labelled_only(in_decade, labels), text.marginals, text.totals)
+    events = ngrams.text_pair_events(tables.documents(spark, sf))
+    labelled_pairs = pairs.pair_counts(evaluation.labelled_events(events, labels))
+    wanted = flow.Counts(labelled_pairs, text.marginals, text.totals)
     scores = scoring.scored(wanted.stats(), base10=True)
     return labels.join(scores, ["decade", "w1", "w2"], "left").withColumns(six("pmi"))
 
@@ -318,6 +353,15 @@ def pages_to_text(spark, sf):
     return pages.select("page_id", html_to_text(F.col("html")).alias("text"))
 
 
+@query
+def pages_to_plain(spark, sf):
+    """Pages with references of all kinds and a script that names another tag, as text."""
+    pages = spread(tables.table(spark, sf, "pages").select("page_id", "html"), "page_id")
+    number = F.format_string("&#%d;&#x%x;", F.col("page_id") % 9000 + 33, F.col("page_id") % 9000 + 33)
+    marked = F.concat(F.col("html"), F.lit(tables.REFERENCES), number)
+    return pages.select("page_id", html_to_plain(marked).alias("text"))
+
+
 @query
 def docs_to_html(spark, sf):
     documents = spread(tables.table(spark, sf, "documents").select("doc_id", "text"), "doc_id")

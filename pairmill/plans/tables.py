@@ -239,3 +239,10 @@ def ordered_tasks(spark: SparkSession, sf: str) -> tuple[DataFrame, int]:
     placed = _in_quarters(numbered, "page_id").withColumn("at", 2 * F.col("page_id")).drop("page_id")
     last = placed.agg(F.max("at")).first()[0] or 0
     return placed, last // 4 * 2 + 1
+
+
+# Put behind each page: references of all kinds, and a script that names another tag.
+REFERENCES = (
+    "<p>it&#8217;s caf&eacute; &amp;lt; &#x41;&nbsp;&unknown; &#0; &#1114112; &#55296; &hearts;&copy;</p>"
+    "<script>a</style>b</script><style>c</script>d</style >e"
+)

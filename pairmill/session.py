@@ -135,6 +135,18 @@ def durable(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def computed_once(df: DataFrame, label: str) -> DataFrame:
+    """Store `df` unless it only reads files: for steps that would evaluate it more than once.
+
+    A sort over ranges, for one, evaluates its input for a sample of the keys first.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    cheap = ("Relation", "Project", "Filter")
+    lines = [line.lstrip(" +-:") for line in plan.splitlines() if line]
+    reads = all(line.startswith(cheap) for line in lines) and "PythonUDF" not in plan
+    return df if reads else durable(df, label)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Give an input with fewer splits than cores enough of them.
 

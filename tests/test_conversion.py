@@ -11,7 +11,7 @@ from conftest import rows
 from pyarrow import fs
 from pyspark.sql import functions as F
 
-from pairmill.functions.html import escape, html_to_text, text_to_html
+from pairmill.functions.html import escape, html_to_plain, html_to_text, text_to_html
 from pairmill.operators import conversion, jobs, skew
 from pairmill.session import durable
 from pairmill.sinks import objects, report
@@ -399,3 +399,19 @@ def test_objects_of_failed_attempts_are_taken_back(tmp_path, monkeypatch):
     assert done.objects == 3 and listing(tmp_path / "o")[-3:] == ["a", "b", "c"]
     writer.abort([done, None])
     assert listing(tmp_path / "o") == []
+
+
+def test_references_are_read_once(spark):
+    plain = {
+        "it&#8217;s caf&eacute; &hearts;": "it’s café ♥",
+        "&amp;lt; &amp;#65; &#38;amp;": "&lt; &#65; &amp;",
+        "&#x41;&#X42;&#67;": "ABC",
+        "&unknown; &; &#; &#x; &#0; &#55296; &#1114112; &#9999999; &lt": "&unknown; &; &#; &#x; &#0; &#55296; &#1114112; &#9999999; &lt",
+        "&#128512;|&nbsp;&nbsp;|&AMP;|&Eacute;&eacute;": "😀| |&AMP;|Éé",
+        "<script>a</style>b</script>c<style>d</script>e</style >f<SCRIPT\n>g</ScRiPt>": "c f",
+        "": "",
+        "&lt;": "<",
+    }
+    for html, text in plain.items():
+        assert one(spark, html_to_plain, html) == text
+    assert one(spark, html_to_plain, None) is None

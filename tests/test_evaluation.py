@@ -3,7 +3,7 @@
 import pytest
 from conftest import rows
 
-from pairmill.operators import evaluation
+from pairmill.operators import evaluation, pairs
 from pairmill.sources.labels import RELATED, UNRELATED, builtin_labels, word_pairs
 
 
@@ -83,3 +83,16 @@ def test_sweep_counts_every_step(spark):
 def test_sweep_of_nothing(spark):
     found = evaluation.f_measure_sweep(labelled(spark, [])).collect()
     assert len(found) == 30 and all(r.tp == 0 and r.f_measure is None for r in found)
+
+
+def test_events_are_filtered_before_they_are_counted(spark, monkeypatch):
+    made = [(10, "a", "b", 2), (10, "a", "b", 3), (10, "a", "c", 9), (9, "a", "b", 7), (10, "x", "y", 1)]
+    events = spark.createDataFrame(made, "decade int, w1 string, w2 string, weight bigint")
+    labels = spark.createDataFrame([("a", "b", True), ("x", "y", False), ("u", "v", True)], "w1 string, w2 string, related boolean")
+    expected = [(10, "a", "b", 5), (10, "x", "y", 1)]
+    for small in (True, False):
+        monkeypatch.setattr(evaluation, "fits_broadcast", lambda table, small=small: small)
+        kept = evaluation.labelled_events(events, labels)
+        assert rows(pairs.pair_counts(kept), "decade", "w1", "w2", "c_pair") == expected
+        plan = kept._jdf.queryExecution().optimizedPlan().toString()
+        assert "LeftSemi" in plan and "Aggregate" not in plan

@@ -157,3 +157,21 @@ def test_messages(spark):
     reply = spark.createDataFrame([("j1;3;u;Corrupted File;ToText;_exceptionMessage",)], "m string")
     found = reply.select(messages.decode(messages.REPLY, F.col("m")).alias("r")).select("r.*").first()
     assert (found.num_tasks, found.result, found.flag) == (3, "Corrupted File", messages.ERROR)
+
+
+def test_bad_records_of_a_sequence_file_are_rejects(spark, tmp_path):
+    path = str(tmp_path / "seq")
+    lines = [(1 << 32, "a b\t1.5"), ((1 << 32) + 1, "a b\tmuch"), ((1 << 32) + 2, "alone\t2.0"), ((1 << 32) + 3, "")]
+    spark.sparkContext.parallelize(lines, 2).saveAsNewAPIHadoopFile(
+        path, seq_out.FORMAT, keyClass=seq_in.KEY, valueClass=seq_in.VALUE
+    )
+    good, bad = seq_in.read_checked(spark, path, 10)
+    assert rows(good) == rows(seq_in.read_pairs(spark, path, 10)) == [(10, "a", "b", 1.5)]
+    assert rows(bad) == [("",), ("a b\tmuch",), ("alone\t2.0",)]
+
+
+def test_a_score_list_from_files(spark, tmp_path):
+    (tmp_path / "list.txt").write_text("a,b\t0.5\na,b,10\t1.5\na b\t1\na,b\tx\n\n")
+    good, bad = kv_in.read_pmi_list(spark, str(tmp_path / "list.txt"), 10)
+    assert rows(good) == [(10, "a", "b", 0.5), (10, "a", "b", 1.5)]
+    assert rows(bad) == [("",), ("a b\t1",), ("a,b\tx",)]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from pairmill.functions.text import canonical_pair, decade_of
 from pairmill.operators import ngrams, pairs, scoring, skew
-from pairmill.plans import flow
+from pairmill.plans import counters, flow
 from pairmill.session import durable
 
 WORDS = ["sun", "moon", "Été", "ß", "star", "tide", "the", "of"]
@@ -257,3 +257,32 @@ def test_number_rows_of_a_hot_group(spark):
     assert found == sorted(
         (g, o, n + 1, len(v)) for g, v in groups.items() for n, o in enumerate(sorted(v))
     )
+
+
+def test_counters_equal_the_formula(spark):
+    docs = spark.createDataFrame(
+        [(1, "s", 1990, "a b a c"), (2, "s", 2005, "one"), (3, "t", 2006, "b a b a d e f")],
+        "doc_id bigint, source string, year int, text string",
+    )
+    counts = flow.from_text(docs)
+    scores, seen = counters.counted_run(counts, "r1")
+    formula = pairs.stage_record_counts(counts.stats(), counts.singles(), counts.marginals)
+    assert rows(counters.stage_records(seen, spark)) == rows(formula.groupBy("stage").agg(F.sum("records")))
+    assert seen.of("pairs")["records"] == counts.pairs.count()
+    assert seen.of("stats")["positive"] == scores.count() == seen.of("scores")["records"]
+    stored = {(r.run, r.stage, r.number): r.value for r in seen.table(spark).collect()}
+    assert stored["r1", "words", "singles"] == counts.singles().count()
+
+
+def test_ranks_evaluate_their_input_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def watch(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    made = spark.range(0, 500, 1, 4).selectExpr("cast(id % 3 as int) as g", "id").mapInArrow(watch, "g int, id bigint")
+    numbered = skew.number_rows(made, ["g"], ["id"], "n", "total")
+    assert rows(numbered.groupBy("g").agg(F.max("n"), F.max("total"))) == [(0, 167, 167), (1, 167, 167), (2, 166, 166)]
+    assert seen.value == 500
