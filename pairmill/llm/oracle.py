@@ -27,8 +27,7 @@ keyed AS (
   SELECT *, CASE WHEN has THEN regexp_replace(host, '^www\\.', '') || regexp_replace(path, '/+$', '')
     || CASE WHEN asked <> '' THEN '?' || asked ELSE '' END END AS key FROM parts),
 listed AS (
-  SELECT DISTINCT key FROM keyed
-  WHERE key IS NOT NULL AND regexp_matches(host, '(^|\\.)(spam-farm|cheap-pills)\\.')),
+  SELECT DISTINCT key FROM keyed WHERE key IS NOT NULL AND sha256(host)[1] IN ('0', '1')),
 ruled AS (
   SELECT k.*, l.key IS NOT NULL AS in_list, CASE
     WHEN (host = 'example.net' OR host LIKE '%.example.net') AND path LIKE '/en/%' THEN 'example.net/en/'
