@@ -189,8 +189,8 @@ def _own_classes(classes: DataFrame, seen: DataFrame) -> DataFrame:
         lists = [np.empty(0, np.int64)] * (int(rows["chunk"].max()) + 1)
         for chunk, own in rows[rows["own"]].groupby("chunk")["name"]:
             lists[chunk] = np.sort(own.to_numpy().astype(np.int64))
-        made = [(key[0], 0, "own", [pack_bytes(x) for x in lists])]
-        return pd.DataFrame(made, columns=["part", "bucket", "topic", "answers"])
+        made = [(key[0], 0, "own", list(range(len(lists))), [pack_bytes(x) for x in lists])]
+        return pd.DataFrame(made, columns=["part", "bucket", "topic", "shards", "answers"])
 
     own = classes.select("part", "chunk", "name", F.lit(True).alias("own"))
     last = seen.groupBy("part").agg(F.max("chunk").alias("chunk"))

@@ -7,6 +7,10 @@ frequent name is no hot key. The answer to a shard is a list in the order it ask
 names travel one way only and texts do not travel at all: a shard and its answers meet by
 partition number.
 
+Only buckets that a shard asks something of get a list from it, so there are no more lists
+than names however many buckets there are, and what a shard costs does not grow with the
+corpus.
+
 Rows of the documents must come in the same partitions and order each time they are read;
 tables read from files do. `stable` stores any other.
 """
@@ -16,6 +20,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -32,12 +37,18 @@ from pairmill.session import durable
 
 # Text of one shard, about; a longer text is a shard of its own.
 SHARD_BYTES = 2 << 20
-# Text whose names make up one bucket of the name space, about.
+# Text whose names make up one bucket of the name space, about: the least, and the most,
+# which holds once there would be more than MANY_BUCKETS.
 BUCKET_BYTES = 5 << 20
+MOST_BUCKET_BYTES = 32 << 20
+MANY_BUCKETS = 2048
+# Lists below this length are not worth compressing.
+FEW = 64
 
-# One row for each partition and bucket; lists hold an entry per shard of the partition.
-ASKED = "part int, bucket int, names array<binary>, numbers array<binary>"
-ANSWER = "part int, bucket int, topic string, answers array<binary>"
+# One row for each partition and bucket it asks; lists hold an entry for each of `shards`.
+# A row with a bucket below 0 says how many shards the partition has.
+ASKED = "part int, bucket int, shards array<int>, names array<binary>, numbers array<binary>"
+ANSWER = "part int, bucket int, topic string, shards array<int>, answers array<binary>"
 
 
 def stable(docs: DataFrame) -> DataFrame:
@@ -59,17 +70,21 @@ def give_back() -> None:
 def bucket_count(docs: DataFrame) -> int:
     """Buckets of the name space: a bucket's names fit in a task at any input size."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return max(1, -(-size // BUCKET_BYTES))
+    return max(1, min(-(-size // BUCKET_BYTES), max(MANY_BUCKETS, -(-size // MOST_BUCKET_BYTES))))
 
 
 def pack_bytes(values: np.ndarray) -> bytes:
-    """Numbers as byte planes, compressed: planes of zeros take no room."""
+    """Numbers as byte planes, compressed: planes of zeros take no room. A few go as they are."""
+    if len(values) < FEW:
+        return b"\0" + values.tobytes()
     wide = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize)
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(wide.T).tobytes())
+    return b"\1" + zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(wide.T).tobytes())
 
 
 def unpack_bytes(data: bytes, kind) -> np.ndarray:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    if not data[0]:
+        return np.frombuffer(data, kind, offset=1)
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1:]), np.uint8)
     size = np.dtype(kind).itemsize
     return np.ascontiguousarray(raw.reshape(size, -1).T).reshape(-1).view(kind)
 
@@ -82,11 +97,18 @@ def unpack_names(data: bytes) -> np.ndarray:
     return np.cumsum(unpack_bytes(data, np.uint64), dtype=np.uint64)
 
 
-def bucket_edges(names: np.ndarray, buckets: int) -> np.ndarray:
-    """Where each bucket begins in sorted names, and the end."""
-    width = (1 << 64) // buckets
-    starts = np.array([b * width for b in range(1, buckets)], np.uint64)
-    return np.concatenate(([0], np.searchsorted(names, starts), [len(names)]))
+def bucket_parts(names: np.ndarray, buckets: int) -> Iterator[tuple[int, slice]]:
+    """The buckets that sorted names fall into, and the part of the names in each."""
+    if not len(names):
+        return
+    if buckets == 1:
+        yield 0, slice(0, len(names))
+        return
+    at = np.minimum(names // np.uint64((1 << 64) // buckets), np.uint64(buckets - 1))
+    starts = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+    ends = np.append(starts[1:], len(names))
+    for bucket, start, end in zip(at[starts].tolist(), starts.tolist(), ends.tolist(), strict=True):
+        yield bucket, slice(start, end)
 
 
 def chunks(batches: Iterator[pa.RecordBatch], most: int = SHARD_BYTES) -> Iterator[pa.Table]:
@@ -116,24 +138,40 @@ def text_of(table: pa.Table) -> pa.Array:
     return pa.concat_arrays(table.column("text").chunks)
 
 
+ASKED_ROWS = pa.schema(
+    [
+        ("part", pa.int32()),
+        ("bucket", pa.int32()),
+        ("shards", pa.list_(pa.int32())),
+        ("names", pa.list_(pa.binary())),
+        ("numbers", pa.list_(pa.binary())),
+    ]
+)
+ROWS_A_BATCH = 256
+
+
 class Questions:
     """What the shards of a partition ask, by bucket."""
 
     def __init__(self, buckets: int):
-        self.names: list[list[bytes]] = [[] for _ in range(buckets)]
-        self.numbers: list[list[bytes]] = [[] for _ in range(buckets)]
+        self.buckets = buckets
+        self.shards = 0
+        self.lists: dict[int, tuple[list[int], list[bytes], list[bytes]]] = {}
 
     def add(self, names: np.ndarray, numbers: np.ndarray) -> None:
-        edges = bucket_edges(names, len(self.names))
-        for b in range(len(self.names)):
-            part = slice(edges[b], edges[b + 1])
-            self.names[b].append(pack_names(names[part]))
-            self.numbers[b].append(pack_bytes(numbers[part]))
+        for bucket, part in bucket_parts(names, self.buckets):
+            shards, packed, own = self.lists.setdefault(bucket, ([], [], []))
+            shards.append(self.shards)
+            packed.append(pack_names(names[part]))
+            own.append(pack_bytes(numbers[part]))
+        self.shards += 1
 
     def rows(self, part: int) -> Iterator[tuple]:
-        for b, (names, numbers) in enumerate(zip(self.names, self.numbers, strict=True)):
-            if names:
-                yield part, b, names, numbers
+        if self.shards:
+            # Dealt to as many groups as there are buckets.
+            yield part, -1 - part % self.buckets, [self.shards], [], []
+        for bucket, lists in self.lists.items():
+            yield part, bucket, *lists
 
 
 class Answers(dict):
@@ -141,11 +179,9 @@ class Answers(dict):
 
     def get_list(self, topic: str, names: np.ndarray, buckets: int, kind) -> np.ndarray:
         """The answers to sorted `names`, in their order."""
-        edges = bucket_edges(names, buckets)
         out = np.empty(len(names), kind)
-        for b in range(buckets):
-            if edges[b + 1] > edges[b]:
-                out[edges[b] : edges[b + 1]] = unpack_bytes(self[topic][b], kind)
+        for bucket, part in bucket_parts(names, buckets):
+            out[part] = unpack_bytes(self[topic][bucket], kind)
         return out
 
 
@@ -160,13 +196,11 @@ def ask_first(docs: DataFrame, build: Callable, buckets: int) -> DataFrame:
         asked = Questions(buckets)
         for table in chunks(batches):
             asked.add(*build(table))
-        kinds = (pa.int32(), pa.int32(), pa.list_(pa.binary()), pa.list_(pa.binary()))
         give_back()
-        for row in asked.rows(TaskContext.get().partitionId()):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x], k) for x, k in zip(row, kinds, strict=True)],
-                names=["part", "bucket", "names", "numbers"],
-            )
+        rows = asked.rows(TaskContext.get().partitionId())
+        while some := list(islice(rows, ROWS_A_BATCH)):
+            columns = [pa.array(x, f.type) for x, f in zip(zip(*some, strict=True), ASKED_ROWS, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, schema=ASKED_ROWS)
 
     return docs.mapInArrow(run, ASKED)
 
@@ -190,9 +224,19 @@ def _row_chunks(rows: Iterator, most: int = SHARD_BYTES) -> Iterator[tuple[list,
 
 def _sorted_answers(rows: Iterator) -> Iterator[list]:
     """Of the answers to a partition, those to one shard after another."""
-    held = [r for _, group in rows for r in group if r is not None]
-    for number in range(max((len(lists) for *_, lists in held), default=0)):
-        yield [(topic, bucket, bytes(lists[number])) for _, bucket, topic, lists in held if number < len(lists)]
+    count = 0
+    held: dict[int, list] = {}
+    for _, group in rows:
+        for row in group:
+            if row is None:
+                continue
+            _, bucket, topic, shards, lists = row
+            if bucket < 0:
+                count = max(count, shards[0])
+            for shard, answer in zip(shards, lists, strict=bucket >= 0):
+                held.setdefault(shard, []).append((topic, bucket, bytes(answer)))
+    for number in range(max(count, max(held, default=-1) + 1)):
+        yield held.pop(number, [])
 
 
 def with_answers(docs: DataFrame, answers: DataFrame, visit: Callable, schema: T.StructType) -> DataFrame:
@@ -219,7 +263,7 @@ def with_answers(docs: DataFrame, answers: DataFrame, visit: Callable, schema: T
 
     sized = docs.select("doc_id", "text", F.octet_length("text"))
     read = sized.rdd.mapPartitions(_row_chunks)
-    sent = answers.select("part", "bucket", "topic", "answers").rdd.map(lambda r: (r["part"], tuple(r)))
+    sent = answers.select("part", "bucket", "topic", "shards", "answers").rdd.map(lambda r: (r["part"], tuple(r)))
     none = context.parallelize(range(count), max(count, 1)).map(lambda p: (p, None))
     gathered = sent.union(none).groupByKey(count, partitionFunc=lambda p: p).mapPartitions(_sorted_answers)
     # A session may deal answers to more partitions; the documents have none there.
@@ -253,20 +297,25 @@ def answered(asked: DataFrame, topic: str, reduce: Callable, kind) -> DataFrame:
     partition -1.
     """
 
+    columns = ["part", "bucket", "topic", "shards", "answers"]
+
     def run(rows: pd.DataFrame) -> pd.DataFrame:
+        bucket = int(rows["bucket"].iloc[0])
+        asked_by = zip(rows["part"], rows["shards"], strict=True)
+        if bucket < 0:
+            return pd.DataFrame([(p, bucket, topic, x, []) for p, x in asked_by], columns=columns)
         lists = rows["names"].tolist()
         names = [unpack_names(x) for part in lists for x in part]
         numbers = [unpack_bytes(x, kind) for part in rows["numbers"] for x in part]
         ends = np.cumsum([len(x) for x in names])
         answers, sums = reduce(np.concatenate(names), np.concatenate(numbers))
         cut = iter(np.split(answers, ends[:-1]))
-        bucket = int(rows["bucket"].iloc[0])
-        made = [(p, bucket, topic, [pack_bytes(next(cut)) for _ in x]) for p, x in zip(rows["part"], lists, strict=True)]
+        made = [(p, bucket, topic, x, [pack_bytes(next(cut)) for _ in x]) for p, x in asked_by]
         if sums is not None:
-            made.append((-1, bucket, topic, [sums.astype(np.int64).tobytes()]))
+            made.append((-1, bucket, topic, [0], [sums.astype(np.int64).tobytes()]))
         del names, numbers, answers
         give_back()
-        return pd.DataFrame(made, columns=["part", "bucket", "topic", "answers"])
+        return pd.DataFrame(made, columns=columns)
 
     return asked.groupBy("bucket").applyInPandas(run, ANSWER)
 

@@ -375,3 +375,83 @@ def test_components(spark):
     found = components(spark.createDataFrame(chain, "a bigint, b bigint"))
     expected = {i: 0 for i in range(41)} | {100: 0, 200: 200, 201: 200, 202: 200}
     assert {r.node: r.component for r in found.collect()} == expected
+
+
+def plain_packing(lengths, capacities, overhead):
+    """Best fit by looking through all open bins, for each limit on the size of new ones."""
+    best = None
+    for most in range(len(capacities)):
+        if capacities[most] < max(lengths):
+            continue
+        bins, left = [], sum(lengths)
+        for n in sorted(lengths, reverse=True):
+            fit = [b for b in bins if b[1] >= n]
+            if fit:
+                at = min(fit, key=lambda b: b[1])
+            else:
+                sizes = [c for c in capacities[: most + 1] if c >= n]
+                size = min(sizes, key=lambda c: ((c + overhead) / min(c, left), c))
+                at = [0, size]
+                bins.append(at)
+            at[0], at[1] = at[0] + n, at[1] - n
+            left -= n
+        held = sorted((min(c for c in capacities if c >= full), full) for full, _ in bins)
+        cost = sum(c + overhead for c, _ in held)
+        if best is None or cost < best[0]:
+            best = cost, held
+    return best[1]
+
+
+def test_packing_equals_a_plain_one(spark):
+    rng = random.Random(11)
+    for capacities, overhead in (((512, 1024, 2048, 4096), 32), ((10, 64), 3), ((7,), 0)):
+        lengths = [rng.randrange(1, capacities[-1] + 1) for _ in range(400)]
+        rows = spark.createDataFrame(list(enumerate(lengths)), "doc_id bigint, n bigint")
+        found = packing.pack(rows, F.col("n"), capacities=capacities, overhead=overhead).collect()
+        bins = {}
+        for r in found:
+            bins[r.bin, r.capacity] = bins.get((r.bin, r.capacity), 0) + r.length
+        assert sorted((c, full) for (_, c), full in bins.items()) == plain_packing(lengths, capacities, overhead)
+
+
+def test_packing_keeps_large_ids(spark):
+    ids = [2**53 + 1, 2**53 + 3, None, 2**53 + 5, None, -(2**53) - 1]
+    rows = spark.createDataFrame([(d, 9) for d in ids], "doc_id bigint, n bigint")
+    found = [r.doc_id for r in packing.pack(rows, F.col("n")).collect()]
+    assert sorted(found, key=repr) == sorted(ids, key=repr)
+
+
+def test_false_positives_are_removed(spark):
+    """What the filter lets through beyond the list does not become a verdict."""
+    listed = spark.range(4000).selectExpr("concat('http://h', id, '.org/') as url")
+    pages = spark.range(60000).selectExpr("id as page_id", "concat('http://h', id, '.org/') as url")
+    keys = listed.select(url_filter.canonical(F.col("url")).alias("key"))
+    table, blocks = url_filter.bloom(keys, 4000)
+    passed = url_filter.possible(pages.select(url_filter.canonical(F.col("url")).alias("key")), table, blocks).count()
+    found = url_filter.judge(pages, listed, rules=())
+    assert passed > 4000 == found.where("verdict = 'block'").count()
+
+
+def test_lists_of_many_buckets(spark):
+    """A shard makes no list for a bucket it asks nothing of, and gets its answers in order."""
+    import numpy as np
+
+    from pairmill.llm import shards
+
+    rng = np.random.default_rng(6)
+    for buckets in (1, 2, 1000, 5_000_000):
+        asked = shards.Questions(buckets)
+        sets = [np.unique(rng.integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2)) for n in (0, 1, 300, 0, 70)]
+        for names in sets:
+            asked.add(names, np.arange(len(names)))
+        rows = list(asked.rows(3))
+        assert sum(len(r[2]) for r in rows[1:]) <= sum(map(len, sets)) and rows[0][1] < 0 == rows[0][3].__len__()
+        back = [shards.Answers(t={}) for _ in sets]
+        for _, bucket, numbers, packed, values in rows[1:]:
+            for shard, names, own in zip(numbers, packed, values, strict=True):
+                assert len(shards.unpack_names(names)) == len(shards.unpack_bytes(own, np.int64))
+                back[shard]["t"][bucket] = own
+        for names, got in zip(sets, back, strict=True):
+            assert got.get_list("t", names, buckets, np.int64).tolist() == list(range(len(names)))
+    given = shards._sorted_answers([(3, [None, (3, -2, "t", [3], []), (3, 5, "t", [2, 0], [b"x", b"y"])])])
+    assert list(given) == [[("t", 5, b"y")], [], [("t", 5, b"x")]]
