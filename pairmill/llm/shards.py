@@ -90,10 +90,13 @@ def unpack_bytes(data: bytes, kind) -> np.ndarray:
 
 
 def pack_names(names: np.ndarray) -> bytes:
-    return pack_bytes(np.diff(names, prepend=np.uint64(0)))
+    """Sorted names by their gaps; a few go as they are."""
+    return pack_bytes(names if len(names) < FEW else np.diff(names, prepend=np.uint64(0)))
 
 
 def unpack_names(data: bytes) -> np.ndarray:
+    if not data[0]:
+        return unpack_bytes(data, np.uint64)
     return np.cumsum(unpack_bytes(data, np.uint64), dtype=np.uint64)
 
 
@@ -159,11 +162,19 @@ class Questions:
         self.lists: dict[int, tuple[list[int], list[bytes], list[bytes]]] = {}
 
     def add(self, names: np.ndarray, numbers: np.ndarray) -> None:
+        plain, plain_numbers, size = names.tobytes(), numbers.tobytes(), numbers.itemsize
         for bucket, part in bucket_parts(names, self.buckets):
-            shards, packed, own = self.lists.setdefault(bucket, ([], [], []))
+            if bucket not in self.lists:
+                self.lists[bucket] = [], [], []
+            shards, packed, own = self.lists[bucket]
             shards.append(self.shards)
-            packed.append(pack_names(names[part]))
-            own.append(pack_bytes(numbers[part]))
+            # With very many buckets most lists are a name or two: cut from the whole.
+            if part.stop - part.start < FEW:
+                packed.append(b"\0" + plain[8 * part.start : 8 * part.stop])
+                own.append(b"\0" + plain_numbers[size * part.start : size * part.stop])
+            else:
+                packed.append(pack_names(names[part]))
+                own.append(pack_bytes(numbers[part]))
         self.shards += 1
 
     def rows(self, part: int) -> Iterator[tuple]:
