@@ -1,6 +1,6 @@
 """Line deduplication by a segment-partition edit join (operator 4). DataFrame functions only.
 
-A line goes when an earlier line (smaller document, then smaller line number) is equal to
+A line goes when an earlier line (smaller doc_id, then row, then line number) is equal to
 it or at most `edits` code-point edits away. Whether the earlier one goes too makes no
 difference. Lines shorter than `min_chars` stay.
 
@@ -11,10 +11,11 @@ text; a line probes the substrings that can match for each length (from the left
 the right, an edit may have moved a segment by as many signs only as there are edits on
 that side). Lines that meet are verified with a bit-parallel edit distance in a band.
 
-Defined cases: a null text stays null and an empty one empty; rows that repeat a doc_id
-have the same places, so they remove nothing from each other; a null doc_id comes after
-all others; a document that loses all lines stays with an empty text; columns keep their
-names, whatever they are; an empty table gives no rows.
+Defined cases: a null text stays null and an empty one empty; each row is a document of its
+own, under a row key stored with it, so of rows that repeat a doc_id the one with the
+smaller row key comes first; a null doc_id comes after all others; a document that loses all
+lines stays with an empty text in `dedup`, and goes in `keep_lines` if it had a word before;
+columns keep their names, whatever they are; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -37,11 +38,11 @@ def _own(listed: str) -> Column:
 
 
 def _picked(rows: DataFrame, numbers: Column) -> DataFrame:
-    """`doc_id, line_no, line`: the lines of `_split` with the given numbers."""
+    """`line_no, line`: the lines of `_split` with the given numbers."""
     each = F.transform(
         numbers, lambda i: F.struct(i.alias("line_no"), F.get("_split", i).alias("line"))
     )
-    return rows.select("doc_id", F.inline(each))
+    return rows.select(F.inline(each))
 
 
 def _different(rows: DataFrame, listed: str) -> DataFrame:
@@ -164,9 +165,19 @@ def _signs(line: Column) -> Column:
     return F.filter(F.split(line, ""), lambda c: c != "")
 
 
-def _by_doc(places: DataFrame) -> DataFrame:
-    """`doc_id, _listed`: each document's lines among these; they fit in its row."""
-    return places.groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "h")).alias("_listed"))
+def _meet(rows: DataFrame) -> DataFrame:
+    """`a, b`: the lines of which one probes the other's index key, for `k, h, is_index` rows."""
+    return (
+        rows.where("is_index").select("k", F.col("h").alias("a"))
+        .join(rows.select("k", F.col("h").alias("b"), "is_index"), "k")
+        .where("a <> b and (not is_index or a < b)")
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    )
+
+
+def _by_row(places: DataFrame) -> DataFrame:
+    """`row, _listed`: each row's lines among these; they fit in it."""
+    return places.groupBy("row").agg(F.collect_list(F.struct("line_no", "h")).alias("_listed"))
 
 
 def _few_new_words(a: Column, b: Column, edits: int) -> Column:
@@ -174,62 +185,69 @@ def _few_new_words(a: Column, b: Column, edits: int) -> Column:
     return F.size(F.array_except(F.split(a, " "), F.split(b, " "))) <= 2 * edits
 
 
-def removed_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """`doc_id, _listed`: the lines to remove from each document, for `doc_id, text` rows."""
+def removed_lines(
+    docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS
+) -> DataFrame:
+    """`row, _listed`: the lines to remove from each row, for stored `row, doc_id, text` rows."""
     if min_chars <= edits:
         raise ValueError("lines must be longer than the number of edits")
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    lines = docs.select("doc_id", "row", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     hashes = {"h": F.xxhash64("line"), "g": F.xxhash64(F.lit(7), "line")}
     long = F.length("line") >= min_chars
-    places = durable(lines.where(long).select("doc_id", "line_no", *[c.alias(n) for n, c in hashes.items()]), "lines")
-    # The first place of each different line: documents first, then lines.
+    # `at` grows with the row, then with the line.
+    places = lines.withColumn("at", F.monotonically_increasing_id()).where(long)
+    places = durable(
+        places.select("doc_id", "row", "line_no", "at", *[c.alias(n) for n, c in hashes.items()]), "lines"
+    )
+    # The first place of each different line: documents first, then rows, then lines.
     per_doc = places.groupBy("h", "g", "doc_id").agg(
-        F.min("line_no").alias("line_no"), F.count(F.lit(1)).alias("n")
+        F.min("at").alias("at"),
+        F.min_by("row", "at").alias("row"),
+        F.min_by("line_no", "at").alias("line_no"),
+        F.count(F.lit(1)).alias("n"),
     )
     firsts = per_doc.groupBy("h", "g").agg(
         F.min("doc_id").alias("first_doc"),
+        F.min_by("at", "doc_id").alias("first_at"),
+        F.min_by("row", "doc_id").alias("first_row"),
         F.min_by("line_no", "doc_id").alias("first_line"),
         F.sum("n").alias("n"),
     )
     firsts = durable(firsts, "first-lines")
-    many = durable(firsts.where("n > 1").drop("n"), "repeated-lines")
+    many = durable(firsts.where("n > 1").select("h", "g", "first_doc", "first_at"), "repeated-lines")
     later = lookup(places, many, ["h", "g"], "inner").where(
-        "doc_id > first_doc or (doc_id = first_doc and line_no > first_line)"
+        "doc_id > first_doc or (doc_id = first_doc and at > first_at)"
     )
-    repeats = durable(_by_doc(later), "repeats")
+    repeats = durable(_by_row(later), "repeats")
 
     # Index and probes of the different lines, in one shuffle.
-    different = _different(lookup(docs, repeats, ["doc_id"]), "_listed").where(long)
+    different = _different(lookup(docs, repeats, ["row"]), "_listed").where(long)
     sized = different.select("line", F.xxhash64("line").alias("h"), F.length("line").alias("n"))
     index, probes = segment_keys(F.col("line"), F.col("n"), edits)
     entry = lambda key, is_index: F.struct(key.alias("k"), F.lit(is_index).alias("is_index"))
     entries = F.array(*[entry(k, True) for k in index], *[entry(k, False) for k in probes])
     rows = sized.select("h", F.inline(entries)).where("k is not null").repartition("k")
     shared = rows.groupBy("k").agg(
-        F.min("h").alias("low"), F.max("h").alias("high"), F.bool_or("is_index").alias("any")
+        F.min("h").alias("low"),
+        F.max("h").alias("high"),
+        F.bool_or("is_index").alias("any"),
     )
     shared = shared.where("low <> high and any").select("k")
     met = durable(rows.join(shared.hint("shuffle_hash"), "k"), "shared-segments")
-    pairs = (
-        met.where("is_index").select("k", F.col("h").alias("a"))
-        .join(met.select("k", F.col("h").alias("b"), "is_index"), "k")
-        .where("a <> b and (not is_index or a < b)")
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
-    )
-    pairs = durable(pairs, "line-pairs")
 
-    # Texts of the lines to verify, from their first places.
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct().join(firsts, "h")
-    wanted = wanted.select(F.col("first_doc").alias("doc_id"), F.col("first_line").alias("line_no"), "h")
-    chosen = durable(_by_doc(wanted), "lines-to-verify")
-    texts = lookup(docs, chosen, ["doc_id"], "inner").withColumn("_split", F.split("text", "\n"))
+    # Texts of the lines that meet another one, from their first places.
+    wanted = met.select("h").distinct().join(firsts, "h")
+    wanted = wanted.select(F.col("first_row").alias("row"), F.col("first_line").alias("line_no"), "h")
+    chosen = durable(_by_row(wanted), "lines-to-verify")
+    texts = lookup(docs, chosen, ["row"], "inner").withColumn("_split", F.split("text", "\n"))
     signs = (
         _picked(texts, _own("_listed"))
         .select(*[c.alias(n) for n, c in hashes.items()], "line")
         .dropDuplicates(["h", "g"])
     )
     signs = durable(signs, "line-texts")
+
+    pairs = durable(_meet(met).distinct(), "line-pairs")
     side = lambda name: signs.select(
         F.col("h").alias(name), F.col("g").alias(f"{name}_g"), F.col("line").alias(f"{name}_s")
     )
@@ -251,25 +269,30 @@ def removed_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHAR
     )
     near = durable(near, "near-lines")
     both = near.union(near.select("y", "x"))
-    place = F.struct("first_doc", "first_line")
+    place = F.struct("first_doc", "first_at")
     at = firsts.select(F.struct("h", "g").alias("x"), place.alias("x_at"))
     other = firsts.select(F.struct("h", "g").alias("y"), place.alias("y_at"))
     late = both.join(at, "x").join(other, "y").where("y_at < x_at").select("x.h", "x.g").distinct()
     late = durable(late, "late-lines")
     edited = lookup(places, late, ["h", "g"], "inner")
-    everything = edited.select("doc_id", "line_no", "h").union(later.select("doc_id", "line_no", "h"))
-    return durable(_by_doc(everything), "removed-lines")
+    everything = edited.select("row", "line_no", "h").union(later.select("row", "line_no", "h"))
+    return durable(_by_row(everything), "removed-lines")
 
 
 def dedup(
-    docs: DataFrame, text: str = "text", key: str = "doc_id", edits: int = EDITS, min_chars: int = MIN_CHARS
+    docs: DataFrame, text: str = "text", key: str = "doc_id", edits: int = EDITS,
+    min_chars: int = MIN_CHARS,
 ) -> DataFrame:
     """`doc` (the row as it came), `kept` (its text without the lines), `n_lines, n_removed`."""
-    ids = F.coalesce(F.col(key).cast("bigint"), F.lit(LAST_ID)).alias("doc_id")
-    slim = docs.select(ids, F.col(text).alias("text"))
-    removed = removed_lines(slim, edits, min_chars)
-    rows = docs.select(F.struct("*").alias("doc"), ids, F.col(text).alias("text"))
-    split = lookup(rows, removed, ["doc_id"]).withColumn("_split", F.split("text", "\n"))
+    # Row keys are stored with the rows: a replay could number them anew.
+    rows = docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row"))
+    rows = durable(rows, "keyed-documents")
+    ids = F.coalesce(F.col("doc").getField(key).cast("bigint"), F.lit(LAST_ID)).alias("doc_id")
+    removed = removed_lines(
+        rows.select("row", ids, F.col("doc").getField(text).alias("text")), edits, min_chars
+    )
+    rows = rows.withColumn("text", F.col("doc").getField(text))
+    split = lookup(rows, removed, ["row"]).withColumn("_split", F.split("text", "\n"))
     numbered = split.withColumn("_gone", F.when(F.col("_listed").isNotNull(), _own("_listed")))
     numbers = F.array_except(F.sequence(F.lit(0), F.size("_split") - 1), F.col("_gone"))
     kept = F.array_join(F.transform(numbers, lambda i: F.get("_split", i)), "\n")
@@ -282,9 +305,14 @@ def dedup(
 
 
 def keep_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
-    """The documents with the remaining text, and the columns they came with."""
+    """The documents with the remaining text, and the columns they came with.
+
+    A document whose removed lines held all its words goes; one that came without a word stays.
+    """
     done = dedup(docs, text, key, **options)
-    return done.select(
+    word = "[^\\x20\\x09-\\x0D]"
+    emptied = ~F.col("kept").rlike(word) & F.col("doc").getField(text).rlike(word)
+    return done.where((F.col("n_removed") == 0) | ~emptied).select(
         *[
             F.col("kept").alias(c) if c == text else F.col("doc").getField(c).alias(c)
             for c in docs.columns

@@ -144,14 +144,14 @@ def within(a, b, most):
 
 
 def line_dedup(docs, most=2, min_chars=20):
-    """Kept text of each row."""
+    """Kept text of each row; of equal ids the row that is given first comes first."""
     last = math.inf
     first: dict = {}
-    place = lambda doc, i: (last if doc is None else doc, i)
-    for doc, text in docs:
+    place = lambda row, doc, i: (last if doc is None else doc, row, i)
+    for row, (doc, text) in enumerate(docs):
         for i, line in enumerate((text or "").split("\n")):
             if len(line) >= min_chars:
-                first[line] = min(first.get(line, (last, last)), place(doc, i))
+                first[line] = min(first.get(line, (last, last, last)), place(row, doc, i))
     early = {a: min(first[b] for b in first if within(a, b, most)) for a in first}
     return [
         (
@@ -159,8 +159,15 @@ def line_dedup(docs, most=2, min_chars=20):
             None
             if text is None
             else "\n".join(
-                x for i, x in enumerate(text.split("\n")) if len(x) < min_chars or early[x] >= place(doc, i)
+                x
+                for i, x in enumerate(text.split("\n"))
+                if len(x) < min_chars or early[x] >= place(row, doc, i)
             ),
         )
-        for doc, text in docs
+        for row, (doc, text) in enumerate(docs)
     ]
+
+
+def emptied(text, kept):
+    """Did line dedup take all the words there were?"""
+    return bool(SPACED.search(text or "")) and not SPACED.search(kept or "")

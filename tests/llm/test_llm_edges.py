@@ -4,7 +4,7 @@ import random
 import re
 
 import pytest
-from brute import decontaminated, edits, jaccard_components, line_dedup, lm_scores, sha, substring_dedup
+from brute import decontaminated, edits, emptied, jaccard_components, line_dedup, lm_scores, sha, substring_dedup
 from pyspark.sql import functions as F
 
 from pairmill.llm import (
@@ -131,14 +131,40 @@ def test_packing_takes_the_cheaper_sizes():
     assert len(set(bins[:2])) == 2 or sizes.tolist() == [1024]
 
 
-def test_line_dedup(docs, empty, rows):
-    found = lines_op.dedup(docs.where("length(text) < 2000 or text is null")).select("doc.doc_id", "kept")
-    short = [(d, t) for d, t in rows if t is None or len(t) < 2000]
-    same(found.collect(), line_dedup(short))
-    assert lines_op.keep_lines(docs).columns == docs.columns
+def test_line_dedup(docs, empty):
+    short = docs.where("length(text) < 2000 or text is null")
+    found = lines_op.dedup(short).select("doc.doc_id", "kept")
+    # Rows of one id come in the order in which Spark reads them.
+    expected = line_dedup([(r.doc_id, r.text) for r in short.select("doc_id", "text").collect()])
+    same(found.collect(), expected)
+    kept = lines_op.keep_lines(short)
+    assert kept.columns == docs.columns
+    texts = [(r.doc_id, r.text) for r in short.select("doc_id", "text").collect()]
+    stay = [k for (_, t), k in zip(texts, expected, strict=True) if not emptied(t, k[1])]
+    assert len(stay) < len(expected)
+    same(kept.select("doc_id", "text").collect(), stay)
     assert lines_op.keep_lines(empty).count() == 0
 
 
+def test_line_dedup_by_row(spark):
+    """Rows without an id, or with one id, are documents of their own."""
+    a, b, c = (f"A line of its own, number {x * 9}." for x in "abc")
+    given = [
+        (None, a),  # comes after all ids
+        (None, f"{b}\nsmall"),
+        (None, f"{b}\nother"),  # a line on the same number of another row without id
+        (5, f"small\n{c}"),  # the earlier row of an id, on a later line
+        (5, f"{c}\nsmall"),
+        (1 << 62, a),
+        ((1 << 62) + 1, a + "!"),
+    ]
+    docs = spark.createDataFrame(given, "doc_id long, text string").coalesce(1)
+    found = lines_op.dedup(docs).select("doc.doc_id", "kept").collect()
+    same(found, [(None, ""), (None, f"{b}\nsmall"), (None, "other"), (5, f"small\n{c}"), (5, "small"), (1 << 62, a), ((1 << 62) + 1, "")])
+    left = lines_op.keep_lines(docs).collect()
+    same(left, [(None, f"{b}\nsmall"), (None, "other"), (5, f"small\n{c}"), (5, "small"), (1 << 62, a)])
+
+
 def test_edit_distance(spark):
     rng = random.Random(3)
     pairs = []
