@@ -11,6 +11,13 @@ text; a line probes the substrings that can match for each length (from the left
 the right, an edit may have moved a segment by as many signs only as there are edits on
 that side). Lines that meet are verified with a bit-parallel edit distance in a band.
 
+Lines of a large group of near copies differ in a word or two and share segments with all
+of the group. In a segment of more than `CROWD` lines they meet under second keys that all
+lines within `edits` share, so no pair is lost. If the edits are replacements alone, no sign
+moves, and one of `edits + 1` classes of places has the same signs in both lines. Else at
+least one edit inserts or deletes and touches one class of signs, where a replacement touches
+two: of `2 * edits` classes some are equal, as many as the lengths of the lines tell.
+
 Defined cases: a null text stays null and an empty one empty; each row is a document of its
 own, under a row key stored with it, so of rows that repeat a doc_id the one with the
 smaller row key comes first; a null doc_id comes after all others; a document that loses all
@@ -20,6 +27,8 @@ columns keep their names, whatever they are; an empty table gives no rows.
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +39,9 @@ EDITS = 2
 MIN_CHARS = 20
 LAST_ID = (1 << 63) - 1
 
+# In a segment with more lines than these they meet under second keys; it changes no result.
+CROWD = 16
+
 
 def _own(listed: str) -> Column:
     """Of the listed `line_no, h`, the line numbers whose line is that one in this row."""
@@ -65,8 +77,8 @@ def _key(i: int, size: Column, text: Column) -> Column:
     return F.xxhash64(F.lit(i), size, text)
 
 
-def segment_keys(line: Column, n: Column, edits: int) -> tuple[list[Column], list[Column]]:
-    """Keys under which a line is indexed, and the other keys that it probes.
+def segment_keys(line: Column, n: Column, edits: int) -> tuple[list[Column], list[tuple[Column, int]]]:
+    """Keys under which a line is indexed, and the other keys that it probes, for lines how much shorter.
 
     The probes of its own segments at their own places are its index keys.
     """
@@ -83,7 +95,7 @@ def segment_keys(line: Column, n: Column, edits: int) -> tuple[list[Column], lis
                     index.append(key)
                 else:
                     place = (start + shift >= 1) & (start + shift + length - 1 <= n)
-                    probes.append(F.when(place, key))
+                    probes.append((F.when(place, key), delta))
     return index, probes
 
 
@@ -165,16 +177,67 @@ def _signs(line: Column) -> Column:
     return F.filter(F.split(line, ""), lambda c: c != "")
 
 
+def class_hashes(line: Column, edits: int) -> tuple[Column, Column]:
+    """Hashes of the signs at each class of places, and of those of each class of signs, in order."""
+    signs, classes = _signs(line), 2 * edits
+
+    def at_places(i: int) -> Column:
+        return F.xxhash64(F.lit(i), F.filter(signs, lambda _, at: at % (edits + 1) == i))
+
+    def of_signs(i: int) -> Column:
+        mine = lambda c: F.pmod(F.pmod(F.ascii(c), F.lit(23)), F.lit(classes)) == i
+        return F.xxhash64(F.lit(i), F.filter(signs, mine))
+
+    places = F.array(*[at_places(i) for i in range(edits + 1)])
+    return places, F.array(*[of_signs(i) for i in range(classes)]).cast("array<bigint>")
+
+
+def second_keys(places: Column, signs: Column, delta: int, edits: int) -> list[Column]:
+    """What a line shares with one that is `delta` signs longer or shorter and within `edits`.
+
+    `delta` edits at least insert or delete; two, if there are any in lines of one length.
+    """
+    keys = [F.xxhash64(F.lit(-1 - i), F.get(places, F.lit(i))) for i in range(edits + 1)] if delta == 0 else []
+    shifts = delta or 2
+    if shifts <= edits:
+        equal = shifts  # of 2 * edits classes, 2 * edits - shifts may be touched
+        for j, chosen in enumerate(combinations(range(2 * edits), equal)):
+            same = [F.get(signs, F.lit(i)) for i in chosen]
+            keys.append(F.xxhash64(F.lit(delta), F.lit(j), *same))
+    return keys
+
+
 def _meet(rows: DataFrame) -> DataFrame:
-    """`a, b`: the lines of which one probes the other's index key, for `k, h, is_index` rows."""
+    """`a, b`: lines of which one probes the other's index key, for `k, h, is_index, probes` rows."""
     return (
         rows.where("is_index").select("k", F.col("h").alias("a"))
-        .join(rows.select("k", F.col("h").alias("b"), "is_index"), "k")
+        .join(rows.where("probes").select("k", F.col("h").alias("b"), "is_index"), "k")
         .where("a <> b and (not is_index or a < b)")
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     )
 
 
+def _meet_in_crowds(rows: DataFrame, signs: DataFrame, edits: int) -> DataFrame:
+    """`a, b`: of `k, h, role` rows those lines that also share a second key."""
+    chosen = signs.join(rows.select("h").distinct(), "h", "left_semi")
+    places, classes = class_hashes(F.col("line"), edits)
+    hashed = durable(chosen.select("h", places.alias("places"), classes.alias("classes")), "class-hashes")
+    # An index line has keys for partners of each length, and is itself one for its own length.
+    entry = lambda key, delta: F.struct(
+        key.alias("mark"), (F.col("role") == 0).alias("is_index"), F.lit(delta == 0).alias("index_probes")
+    )
+    by_delta = [
+        F.array(*[entry(key, d) for key in second_keys(F.col("places"), F.col("classes"), d, edits)])
+        for d in range(edits + 1)
+    ]
+    entries = F.when(F.col("role") == 0, F.concat(*by_delta))
+    for d, keys in enumerate(by_delta):
+        entries = entries.when(F.col("role") == d + 1, keys)
+    narrow = rows.join(hashed, "h").select("k", "h", F.inline(entries))
+    probes = (~F.col("is_index") | F.col("index_probes")).alias("probes")
+    return _meet(narrow.select(F.xxhash64("k", "mark").alias("k"), "h", "is_index", probes))
+
+
 def _by_row(places: DataFrame) -> DataFrame:
     """`row, _listed`: each row's lines among these; they fit in it."""
     return places.groupBy("row").agg(F.collect_list(F.struct("line_no", "h")).alias("_listed"))
@@ -186,7 +249,7 @@ def _few_new_words(a: Column, b: Column, edits: int) -> Column:
 
 
 def removed_lines(
-    docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS
+    docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, crowd: int = CROWD
 ) -> DataFrame:
     """`row, _listed`: the lines to remove from each row, for stored `row, doc_id, text` rows."""
     if min_chars <= edits:
@@ -224,15 +287,17 @@ def removed_lines(
     different = _different(lookup(docs, repeats, ["row"]), "_listed").where(long)
     sized = different.select("line", F.xxhash64("line").alias("h"), F.length("line").alias("n"))
     index, probes = segment_keys(F.col("line"), F.col("n"), edits)
-    entry = lambda key, is_index: F.struct(key.alias("k"), F.lit(is_index).alias("is_index"))
-    entries = F.array(*[entry(k, True) for k in index], *[entry(k, False) for k in probes])
+    # Role 0 is an index key (and a probe for lines as long); 1 + d probes for lines d signs shorter.
+    entry = lambda key, role: F.struct(key.alias("k"), F.lit(role).alias("role"))
+    entries = F.array(*[entry(k, 0) for k in index], *[entry(k, d + 1) for k, d in probes])
     rows = sized.select("h", F.inline(entries)).where("k is not null").repartition("k")
     shared = rows.groupBy("k").agg(
         F.min("h").alias("low"),
         F.max("h").alias("high"),
-        F.bool_or("is_index").alias("any"),
+        (F.min("role") == 0).alias("any"),
+        (F.count(F.lit(1)) > crowd).alias("crowded"),
     )
-    shared = shared.where("low <> high and any").select("k")
+    shared = shared.where("low <> high and any").select("k", "crowded")
     met = durable(rows.join(shared.hint("shuffle_hash"), "k"), "shared-segments")
 
     # Texts of the lines that meet another one, from their first places.
@@ -247,7 +312,9 @@ def removed_lines(
     )
     signs = durable(signs, "line-texts")
 
-    pairs = durable(_meet(met).distinct(), "line-pairs")
+    few = met.where("not crowded").select("k", "h", (F.col("role") == 0).alias("is_index"), F.lit(True).alias("probes"))
+    many = _meet_in_crowds(met.where("crowded"), signs, edits)
+    pairs = durable(_meet(few).union(many).distinct(), "line-pairs")
     side = lambda name: signs.select(
         F.col("h").alias(name), F.col("g").alias(f"{name}_g"), F.col("line").alias(f"{name}_s")
     )
@@ -281,7 +348,7 @@ def removed_lines(
 
 def dedup(
     docs: DataFrame, text: str = "text", key: str = "doc_id", edits: int = EDITS,
-    min_chars: int = MIN_CHARS,
+    min_chars: int = MIN_CHARS, crowd: int = CROWD,
 ) -> DataFrame:
     """`doc` (the row as it came), `kept` (its text without the lines), `n_lines, n_removed`."""
     # Row keys are stored with the rows: a replay could number them anew.
@@ -289,7 +356,7 @@ def dedup(
     rows = durable(rows, "keyed-documents")
     ids = F.coalesce(F.col("doc").getField(key).cast("bigint"), F.lit(LAST_ID)).alias("doc_id")
     removed = removed_lines(
-        rows.select("row", ids, F.col("doc").getField(text).alias("text")), edits, min_chars
+        rows.select("row", ids, F.col("doc").getField(text).alias("text")), edits, min_chars, crowd
     )
     rows = rows.withColumn("text", F.col("doc").getField(text))
     split = lookup(rows, removed, ["row"]).withColumn("_split", F.split("text", "\n"))

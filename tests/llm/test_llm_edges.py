@@ -131,13 +131,14 @@ def test_packing_takes_the_cheaper_sizes():
     assert len(set(bins[:2])) == 2 or sizes.tolist() == [1024]
 
 
-def test_line_dedup(docs, empty):
+@pytest.mark.parametrize("crowd", [0, 3, 1000])
+def test_line_dedup(docs, empty, crowd):
     short = docs.where("length(text) < 2000 or text is null")
-    found = lines_op.dedup(short).select("doc.doc_id", "kept")
+    found = lines_op.dedup(short, crowd=crowd).select("doc.doc_id", "kept")
     # Rows of one id come in the order in which Spark reads them.
     expected = line_dedup([(r.doc_id, r.text) for r in short.select("doc_id", "text").collect()])
     same(found.collect(), expected)
-    kept = lines_op.keep_lines(short)
+    kept = lines_op.keep_lines(short, crowd=crowd)
     assert kept.columns == docs.columns
     texts = [(r.doc_id, r.text) for r in short.select("doc_id", "text").collect()]
     stay = [k for (_, t), k in zip(texts, expected, strict=True) if not emptied(t, k[1])]
@@ -146,6 +147,29 @@ def test_line_dedup(docs, empty):
     assert lines_op.keep_lines(empty).count() == 0
 
 
+def test_lines_of_crowded_segments(spark):
+    """Near copies by whole words share segments but are far; some are one or two edits apart."""
+    rng = random.Random(11)
+    base = [f"{rng.choice('abcdefghklmnoprstu')}{rng.randrange(10**5):05}é" for _ in range(14)]
+    lines = []
+    for _ in range(60):
+        words = list(base)
+        for _ in range(rng.randrange(0, 3)):
+            words[rng.randrange(len(words))] = "".join(rng.choice("abcdefgh😀") for _ in range(6))
+        lines.append(" ".join(words))
+    for line in list(lines[:25]):
+        for _ in range(rng.randrange(1, 4)):
+            at = rng.randrange(len(line))
+            line = line[:at] + rng.choice(["", "x", "yz", "é"]) + line[at + rng.randrange(0, 2) :]
+        lines.append(line)
+    rows = [(i // 3, "\n".join(lines[i : i + 1 + i % 2])) for i in range(len(lines))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    expected = line_dedup(rows)
+    assert 20 < sum(not k for _, k in expected) < len(rows) - 20
+    for crowd in (0, 1000):
+        same(lines_op.dedup(docs, crowd=crowd).select("doc.doc_id", "kept").collect(), expected)
+
+
 def test_line_dedup_by_row(spark):
     """Rows without an id, or with one id, are documents of their own."""
     a, b, c = (f"A line of its own, number {x * 9}." for x in "abc")
