@@ -20,7 +20,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without lines that stand earlier, or nearly so."""
+    """The documents without lines that stand earlier, or nearly so; those left without a word go."""
     kept = line_dedup.keep_lines(docs)
     if "n_chars" in kept.columns:
         kept = kept.withColumn("n_chars", F.length("text").cast("bigint"))
