@@ -8,8 +8,8 @@ texts are broken up by a backslash, and a backslash is doubled.
 
 Defined cases: a null text or role is empty; a record that is no JSON object or whose
 fingerprint is unknown has null turns and is kept (`layout` is null), never guessed;
-turns with equal numbers are ordered by role, then text; a conversation without turns
-formats to the empty string; very long texts are ordinary ones.
+turns with equal numbers are ordered by role, then text; a record with an empty list shows
+no field of a turn, so its fingerprint is unknown too; very long texts are ordinary ones.
 """
 
 from __future__ import annotations
