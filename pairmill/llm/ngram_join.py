@@ -11,10 +11,12 @@ their first few n-grams (their prefix), so:
    whose distance never exceeds the sets' difference, so no similar pair is dropped. A
    forest of the surviving pairs is verified first; then all surviving pairs that still
    lie in different components.
-4. Verification: the sets to be compared with one probe are stored in a prefix tree. The
+4. A short sketch says nothing of long sets. Pairs of such are held against one another by
+   a sketch that grows with the set, before any set is sent anywhere.
+5. Verification: the sets to be compared with one probe are stored in a prefix tree. The
    traversal carries the overlap with the probe down shared paths and leaves a subtree
    as soon as overlap and remaining length cannot reach what is needed.
-5. Verified pairs are links; components are followed to the smallest document.
+6. Verified pairs are links; components are followed to the smallest document.
 
 The result is components, not links: in buckets of any size, pairs that already lie in one
 component are not verified, so the links, or their number, are not known. Candidates come
@@ -71,6 +73,8 @@ FREQUENT_SHARE = 0.0005
 # ... counted where a shard has it in so many classes.
 FREQUENT_IN_SHARD = 4
 SKETCH_BITS = 1024
+# Sets of more n-grams than this have a wide sketch too, of at least a bit for each n-gram.
+WIDE_FROM = 1024
 # Classes of a bucket, and sets of a prefix tree, that one task holds at a time.
 BLOCK = 4096
 TREE = 512
@@ -104,6 +108,18 @@ def sketch(grams: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
+def wide_sketch(grams: np.ndarray, above: int) -> np.ndarray | None:
+    """A sketch of the least power of two of bits that the set does not exceed, as 64-bit words.
+
+    One of twice the length becomes the shorter one when its halves are combined by xor.
+    """
+    if len(grams) <= above:
+        return None
+    bits = max(64, 1 << (len(grams) - 1).bit_length())
+    odd = np.bincount((mix(grams) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 class Rule:
     """Two sets link when den * intersection >= num * union."""
 
@@ -139,15 +155,20 @@ def prefix_of(grams: np.ndarray, count: int, frequent: np.ndarray, rank: np.ndar
 
 
 def _facts(docs: DataFrame, k: int) -> DataFrame:
-    """One row per document (kind 0: id, size, class) and per n-gram that a shard often has."""
+    """One row per document (kind 0: id, size, class) and per n-gram that a shard often has.
+
+    The first document of each class of a shard has the wide sketch of a long set.
+    """
+    above = WIDE_FROM
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         for number, table in enumerate(chunks(batches)):
-            sizes, names, sets = [], [], {}
+            sizes, names, wide, sets = [], [], [], {}
             for grams in gram_sets(text_of(table), k):
                 sizes.append(len(grams))
                 names.append(class_name(grams))
+                wide.append(None if names[-1] in sets else wide_sketch(grams, above))
                 sets.setdefault(names[-1], grams)
             kept = np.sort(np.concatenate(list(sets.values()))) if sets else np.empty(0, np.uint64)
             order, first = grouped(kept)
@@ -164,10 +185,11 @@ def _facts(docs: DataFrame, k: int) -> DataFrame:
                     "doc_id": pa.array(np.concatenate((ids, np.zeros(m, np.int64))), pa.int64()),
                     "n": pa.array(np.concatenate((sizes, counts)).astype(np.int64)),
                     "name": pa.array(np.concatenate((names, grams)).astype(np.int64)),
+                    "wide": pa.array(wide + [None] * m, pa.list_(pa.int64())),
                 }
             )
 
-    schema = "kind int, part int, chunk int, doc_id bigint, n bigint, name bigint"
+    schema = "kind int, part int, chunk int, doc_id bigint, n bigint, name bigint, wide array<bigint>"
     return durable(docs.mapInArrow(run, schema), "gram-facts")
 
 
@@ -422,9 +444,42 @@ def tree_matches(probe: np.ndarray, sets: list[np.ndarray], rule: Rule) -> list[
     return found
 
 
-def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, rule: Rule, k: int) -> DataFrame:
+def _wide_sketches(facts: DataFrame) -> DataFrame:
+    """`name, n, wide`: the wide sketch of each class of long sets."""
+    rows = facts.where("kind = 0 and wide is not null")
+    return durable(rows.groupBy("name").agg(F.first("n").alias("n"), F.first("wide").alias("wide")), "wide-sketches")
+
+
+def _not_apart(pairs: DataFrame, wide: DataFrame, rule: Rule) -> DataFrame:
+    """The stored pairs without those whose wide sketches differ in more bits than linked sets can.
+
+    The distance of two sketches of one length never exceeds the difference of the sets.
+    Pairs without two sketches that can be brought to one length stay.
+    """
+    side = lambda x: wide.select(F.col("name").alias(x), F.col("n").alias(f"n_{x}"), F.col("wide").alias(f"wide_{x}"))
+    met = lookup(durable(lookup(pairs, side("a"), ["a"]), "half-sketched"), side("b"), ["b"])
+    length = F.least(F.size("wide_a"), F.size("wide_b"))
+
+    def xor(x, y):
+        return x.bitwiseXOR(y)
+
+    def cut(name: str):
+        own = F.col(name)
+        halves = F.zip_with(F.slice(own, F.lit(1), length), F.slice(own, length + 1, length), xor)
+        return F.when(F.size(own) == length, own).when(F.size(own) == 2 * length, halves)
+
+    differing = F.transform(F.zip_with(cut("wide_a"), cut("wide_b"), xor), F.bit_count)
+    apart = F.aggregate(differing, F.lit(0), lambda total, n: total + n)
+    both = F.col("n_a") + F.col("n_b")
+    need = F.expr(f"((n_a + n_b) * {rule.num} + {rule.num + rule.den - 1}) div {rule.num + rule.den}")
+    return met.where(F.coalesce(apart <= both - 2 * need, F.lit(True))).select("a", "b")
+
+
+def _verified(
+    docs: DataFrame, classes: DataFrame, wide: DataFrame, pairs: DataFrame, rule: Rule, k: int
+) -> DataFrame:
     """The pairs of classes that link. Each set goes once to each prefix tree it stands in."""
-    pairs = durable(pairs.distinct(), "gram-pairs")
+    pairs = durable(_not_apart(durable(pairs.distinct(), "near-pairs"), wide, rule), "gram-pairs")
     trees = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("members"))
     trees = durable(trees.select("a", F.ceil(F.col("members") / TREE).cast("int").alias("trees")), "trees")
     placed = lookup(pairs, trees, ["a"], "inner").withColumn(
@@ -506,6 +561,7 @@ def join(
     least = F.min_by(F.struct("part", "chunk"), "doc_id").alias("at")
     classes = seen.where("n > 0").groupBy("name").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), least)
     classes = durable(classes.select("name", "doc_id", "n", "at.part", "at.chunk"), "gram-classes")
+    wide = _wide_sketches(facts)
     frequent, rank = _frequent(facts)
     members = _members(rows, classes, seen, rule, k, frequent, rank)
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"))
@@ -524,10 +580,10 @@ def join(
     )
     tried = _forest(members, rule)
     tried = durable(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "tried")
-    links = _verified(rows, classes, tried, rule, k)
+    links = _verified(rows, classes, wide, tried, rule, k)
     found = components(links, "gram-components")
     more = _crossing(members, found, rule).join(tried, ["a", "b"], "left_anti")
-    links = links.union(_verified(rows, classes, more, rule, k))
+    links = links.union(_verified(rows, classes, wide, more, rule, k))
     # Nodes are documents now: a class stands at its smallest.
     place = classes.select(F.col("name"), "doc_id")
     by_doc = (

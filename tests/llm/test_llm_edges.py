@@ -264,6 +264,42 @@ def test_ngram_join_in_blocks(docs, rows, monkeypatch):
     test_ngram_join(docs, rows, 5, 8, 10)
 
 
+def test_ngram_join_by_wide_sketches(docs, rows, monkeypatch):
+    """Wide sketches, of short sets too, drop no pair that links."""
+    monkeypatch.setattr(ngram_join, "WIDE_FROM", 0)
+    test_ngram_join(docs, rows, 3, 90, 100)
+    test_ngram_join(docs, rows, 2, 1, 2)
+
+
+@pytest.mark.parametrize("shared", [1, 900, 1900, 2047])
+def test_wide_sketches_differ_by_no_more_than_the_sets(shared):
+    import numpy as np
+
+    def bits(words):
+        return int(np.bitwise_count(words).sum())
+
+    grams = np.random.default_rng(shared).integers(0, 1 << 62, 6000).astype(np.uint64)
+    a, b = np.sort(grams[:2048]), np.sort(grams[2048 - shared : 4000])
+    x, y = ngram_join.wide_sketch(a, 1024), ngram_join.wide_sketch(b, 1024)
+    assert len(x) == 32 and len(y) == (32 if len(b) <= 2048 else 64)
+    folded = y if len(y) == 32 else y[:32] ^ y[32:]
+    assert bits(x ^ folded) <= len(a) + len(b) - 2 * shared
+    assert ngram_join.wide_sketch(a[:1024], 1024) is None
+
+
+def test_wide_sketches_part_long_sets(spark):
+    """Pairs go that differ too much; near ones stay, and those with one sketch or none."""
+    import numpy as np
+
+    draw = np.random.default_rng(7).integers(0, 1 << 62, 20_000).astype(np.uint64)
+    sets = {1: draw[:4000], 2: draw[100:4200], 3: draw[8000:12_000], 4: draw[:500], 5: draw[12_000:20_000]}
+    rows = [(i, len(g), ngram_join.wide_sketch(g, 1024).tolist()) for i, g in sets.items() if len(g) > 1024]
+    wide = spark.createDataFrame(rows, "name long, n long, wide array<long>")
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (2, 3), (1, 4), (4, 9), (3, 5)], "a long, b long")
+    kept = ngram_join._not_apart(pairs, wide, ngram_join.Rule(9, 10)).collect()
+    assert sorted(map(tuple, kept)) == [(1, 2), (1, 4), (4, 9)]
+
+
 def test_ngram_join_keeps_columns(docs, empty):
     assert ngram_join.keep_first(docs).columns == docs.columns
     assert ngram_join.keep_first(empty).count() == 0
