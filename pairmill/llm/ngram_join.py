@@ -53,6 +53,7 @@ from pairmill.llm.shards import (
     ask,
     bucket_count,
     chunks,
+    give_back,
     group_starts,
     grouped,
     pack_bytes,
@@ -78,6 +79,8 @@ WIDE_FROM = 1024
 # Classes of a bucket, and sets of a prefix tree, that one task holds at a time.
 BLOCK = 4096
 TREE = 512
+# Text read, and sets sent to trees, by one task at a time.
+SENT_BYTES = 4 << 20
 # Groups up to this size are compared all at once, so many pairs at a time.
 SMALL_GROUP = 256
 PAIRS = 1 << 17
@@ -188,6 +191,7 @@ def _facts(docs: DataFrame, k: int) -> DataFrame:
                     "wide": pa.array(wide + [None] * m, pa.list_(pa.int64())),
                 }
             )
+        give_back()
 
     schema = "kind int, part int, chunk int, doc_id bigint, n bigint, name bigint, wide array<bigint>"
     return durable(docs.mapInArrow(run, schema), "gram-facts")
@@ -364,6 +368,7 @@ def _forest(members: DataFrame, rule: Rule) -> DataFrame:
                     "sketch": pa.array([b""] * n + [sketches[x].tobytes() for x in leaders], pa.binary()),
                 }
             )
+        give_back()
 
     schema = "a bigint, b bigint, leads boolean, n bigint, sketch binary"
     wide = ["bucket", "block", "split", "name", "n", "sketch"]
@@ -401,6 +406,7 @@ def _crossing(members: DataFrame, found: DataFrame, rule: Rule) -> DataFrame:
             cross = lambda i, j: (parts[i] != parts[j]) & ~(copied[i] & copied[j])
             for i, j in _near_pairs(starts, sizes, sketches, rule, cross):
                 yield pa.RecordBatch.from_pydict({"a": pa.array(names[i]), "b": pa.array(names[j])})
+        give_back()
 
     both = own.unionByName(copies).select("bucket", "block", "component", "seen", "name", "n", "sketch")
     dealt = both.repartition("bucket", "block").sortWithinPartitions("bucket", "block", "name")
@@ -475,6 +481,10 @@ def _not_apart(pairs: DataFrame, wide: DataFrame, rule: Rule) -> DataFrame:
     return met.where(F.coalesce(apart <= both - 2 * need, F.lit(True))).select("a", "b")
 
 
+def _columns(rows: list[tuple], kinds: dict[str, pa.DataType]) -> list[pa.Array]:
+    return [pa.array([row[i] for row in rows], kind) for i, kind in enumerate(kinds.values())]
+
+
 def _verified(
     docs: DataFrame, classes: DataFrame, wide: DataFrame, pairs: DataFrame, rule: Rule, k: int
 ) -> DataFrame:
@@ -494,28 +504,23 @@ def _verified(
     by_doc = where.groupBy("doc_id").agg(F.collect_list(F.struct("name", "jobs")).alias("wanted"))
     asked = lookup(docs, durable(by_doc, "wanted-sets"), ["doc_id"], "inner")
 
+    kinds = {"a": pa.int64(), "tree": pa.int32(), "name": pa.int64(), "grams": pa.binary()}
+
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text"):
-            out: dict[str, list] = {"a": [], "tree": [], "name": [], "grams": []}
+        for batch in pieces(batches, "text", SENT_BYTES):
             wanted = batch.column("wanted").to_pylist()
+            sent, size = [], 0
             for grams, jobs in zip(gram_sets(batch.column("text"), k), wanted, strict=True):
-                name = class_name(grams)
-                for entry in jobs:
-                    if entry["name"] == name:
-                        for job in entry["jobs"]:
-                            out["a"].append(job["a"])
-                            out["tree"].append(job["tree"])
-                            out["name"].append(name)
-                            out["grams"].append(grams.tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(out["a"], pa.int64()),
-                    pa.array(out["tree"], pa.int32()),
-                    pa.array(out["name"], pa.int64()),
-                    pa.array(out["grams"], pa.binary()),
-                ],
-                names=list(out),
-            )
+                name, data = class_name(grams), grams.tobytes()
+                for job in (job for entry in jobs if entry["name"] == name for job in entry["jobs"]):
+                    sent.append((job["a"], job["tree"], name, data))
+                    size += len(data)
+                    # A set may have many trees: they go out a few at a time.
+                    if size > SENT_BYTES:
+                        yield pa.RecordBatch.from_arrays(_columns(sent, kinds), names=list(kinds))
+                        sent, size = [], 0
+            yield pa.RecordBatch.from_arrays(_columns(sent, kinds), names=list(kinds))
+        give_back()
 
     sets = asked.mapInArrow(emit, "a bigint, tree int, name bigint, grams binary")
 
@@ -536,6 +541,7 @@ def _verified(
                 out_a += [head] * len(hits)
                 out_b += [others[i] for i in hits]
             yield pa.RecordBatch.from_pydict({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
+        give_back()
 
     dealt = sets.repartition("a", "tree").sortWithinPartitions("a", "tree")
     return durable(dealt.mapInArrow(run, "a bigint, b bigint"), "gram-links")
