@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pairmill.llm import chat_format, host_rules, spelling
+from pairmill.llm import chat_format, decontaminate, host_rules, spelling, substring_dedup
 
 ORACLE: dict[str, str] = {}
 
@@ -186,3 +186,96 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
   CASE WHEN page_id <> least THEN least END AS refers_to
 FROM digests JOIN firsts USING (body)
 """
+
+_SPACED = "[^\\x20\\x09-\\x0D]+"
+_LETTERS = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+_LAST = 2**63 - 1
+_K, _NUM, _DEN = 3, 90, 100
+
+# Every pair of documents that share a shingle is counted; the components are followed link by link.
+ORACLE["op9_ngram_jaccard_join"] = f"""
+WITH RECURSIVE split AS (
+  SELECT row_number() OVER () AS id, coalesce(doc_id, {_LAST}) AS doc,
+    regexp_extract_all({_lower("coalesce(text, '')")}, '{_SPACED}') AS w FROM documents),
+grams AS (
+  SELECT DISTINCT id, doc, gram FROM (
+    SELECT id, doc, unnest(CASE WHEN len(w) >= {_K}
+      THEN list_transform(range(1, len(w) - {_K - 2}), lambda i: array_to_string(w[i:i + {_K - 1}], ' '))
+      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS gram
+    FROM split)),
+sizes AS (SELECT id, count(*) AS n FROM grams GROUP BY id),
+met AS (
+  SELECT a.id AS x, b.id AS y, count(*) AS shared FROM grams a JOIN grams b ON a.gram = b.gram AND a.id < b.id
+  GROUP BY ALL),
+linked AS (
+  SELECT x, y FROM met JOIN sizes a ON a.id = x JOIN sizes b ON b.id = y
+  WHERE {_DEN} * shared >= {_NUM} * (a.n + b.n - shared)),
+edges AS (
+  SELECT DISTINCT a.doc AS a, b.doc AS b FROM (
+    SELECT x, y FROM linked UNION ALL SELECT y, x FROM linked) l
+  JOIN split a ON a.id = l.x JOIN split b ON b.id = l.y),
+reach AS (
+  SELECT DISTINCT doc AS node, doc AS met FROM split
+  UNION SELECT r.node, e.b FROM reach r JOIN edges e ON r.met = e.a),
+least AS (SELECT node, min(met) AS component FROM reach GROUP BY node)
+SELECT nullif(s.doc, {_LAST}) AS doc_id, coalesce(n, 0) AS n_shingles,
+  nullif(component, {_LAST}) AS component_id
+FROM split s JOIN least ON s.doc = least.node LEFT JOIN sizes ON sizes.id = s.id
+"""
+
+_WINDOW = substring_dedup.WINDOW
+
+ORACLE["op10_substring_dedup"] = f"""
+WITH split AS (
+  SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(coalesce(text, ''), '{_SPACED}') AS w
+  FROM documents),
+places AS (
+  SELECT id, coalesce(doc_id, {_LAST}) AS doc, i, array_to_string(w[i:i + {_WINDOW - 1}], ' ') AS k
+  FROM (SELECT *, unnest(range(1, len(w) - {_WINDOW - 2})) AS i FROM split)),
+least AS (SELECT k, min(doc) AS doc FROM places GROUP BY k),
+hits AS (SELECT p.id, p.i FROM places p JOIN least l ON p.k = l.k AND l.doc < p.doc),
+gone AS (SELECT DISTINCT id, i + t AS i FROM hits, range({_WINDOW}) r(t)),
+words AS (SELECT id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM split),
+kept AS (
+  SELECT id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS body
+  FROM words ANTI JOIN gone USING (id, i) GROUP BY id)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(body, '')) AS kept_sha256
+FROM split LEFT JOIN kept USING (id)
+"""
+
+_ITEM = decontaminate.WINDOW
+
+# A longest match is a row of windows one after the other in both texts.
+ORACLE["op6_decontamination"] = f"""
+WITH split AS (
+  SELECT row_number() OVER () AS id, doc_id,
+    regexp_extract_all({_lower("coalesce(text, '')")}, '{_LETTERS}') AS w FROM documents),
+items AS (
+  SELECT row_number() OVER () AS item_row, coalesce(CAST(item_id AS VARCHAR), '') AS item,
+    regexp_extract_all({_lower("coalesce(text, '')")}, '{_LETTERS}') AS v FROM benchmark),
+asked AS (
+  SELECT item_row, item, size, j, array_to_string(v[j:j + size - 1], ' ') AS k FROM (
+    SELECT *, least(len(v), {_ITEM}) AS size, unnest(range(1, len(v) - least(len(v), {_ITEM}) + 2)) AS j
+    FROM items WHERE len(v) > 0)),
+places AS (
+  SELECT id, size, i, array_to_string(w[i:i + size - 1], ' ') AS k FROM (
+    SELECT id, w, size, unnest(range(1, len(w) - size + 2)) AS i
+    FROM split JOIN (SELECT DISTINCT size FROM asked) s ON len(w) >= size)),
+met AS (SELECT p.id, p.i, a.item_row, a.item, a.j, p.size FROM places p JOIN asked a ON p.k = a.k AND p.size = a.size),
+hit AS (
+  SELECT id, count(DISTINCT i + t) AS n_hit FROM (SELECT id, i, unnest(range(size)) AS t FROM met) GROUP BY id),
+found AS (
+  SELECT id, count(*) AS n_items, string_agg(item, ',' ORDER BY encode(item)) AS listed
+  FROM (SELECT DISTINCT id, item FROM met) GROUP BY id),
+islands AS (
+  SELECT id, i, size, item_row, i - j AS diagonal,
+    i - row_number() OVER (PARTITION BY id, item_row, i - j ORDER BY i) AS island FROM met),
+runs AS (
+  SELECT id, count(*) + any_value(size) - 1 AS n, min(i) - 1 AS spot
+  FROM islands GROUP BY id, item_row, diagonal, island),
+longest AS (SELECT id, max(n) AS n, min_by(spot, struct_pack(x := -n, y := spot)) AS spot FROM runs GROUP BY id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(listed, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated,
+  coalesce(n, 0) AS longest_match, coalesce(spot, -1) AS longest_at
+FROM split LEFT JOIN hit USING (id) LEFT JOIN found USING (id) LEFT JOIN longest USING (id)
+"""
