@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pairmill.llm.shards import SHARD_BYTES, give_back
 from pairmill.llm.textscan import LETTERS, covered, mix, multipliers, pieces, scan
 
 WINDOW = 10
@@ -250,7 +251,7 @@ def mark(
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             test = Suffixes([i for i, _ in block], [t for _, t in block], window)
             for batch in batches:
-                for part in pieces(iter([batch]), "text"):
+                for part in pieces(iter([batch]), "text", SHARD_BYTES):
                     found = search(part.column("text"), test)
                     if number:
                         old = {n: part.column(n) for n in found}
@@ -268,6 +269,7 @@ def mark(
                     made["longest"] = pa.array(np.asarray(found["longest"]), pa.int64())
                     made["place"] = pa.array(np.asarray(found["place"]), pa.int64())
                     yield pa.RecordBatch.from_pydict(made)
+            give_back()
 
         return run
 
