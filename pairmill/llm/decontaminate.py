@@ -143,7 +143,10 @@ def search(texts: pa.Array, test: Suffixes) -> dict[str, list]:
         size = match_lengths(words.names, ends, test, which, place)
         order = np.lexsort((place, -size, doc))
         head = order[np.flatnonzero(np.diff(doc[order], prepend=-1))]
-        better = size[head] > longest[doc[head]]
+        # Of equal lengths the earliest place, whatever was searched first.
+        begin = place[head] - words.first[doc[head]]
+        most = longest[doc[head]]
+        better = (size[head] > most) | ((size[head] == most) & (begin < spot[doc[head]]))
         head = head[better]
         longest[doc[head]] = size[head]
         spot[doc[head]] = place[head] - words.first[doc[head]]
@@ -181,7 +184,9 @@ def _merge(old: dict, new: dict) -> dict:
             else:
                 out += [s, e]
         spans.append(out)
-    better = np.asarray(new["longest"]) > np.asarray(old["longest"])
+    most, size = np.asarray(old["longest"]), np.asarray(new["longest"])
+    earlier = np.asarray(new["place"]) < np.asarray(old["place"])
+    better = (size > most) | ((size == most) & (size > 0) & earlier)
     return {
         "n_words": new["n_words"],
         "spans": spans,

@@ -541,3 +541,13 @@ def test_lists_of_many_buckets(spark):
             assert got.get_list("t", names, buckets, np.int64).tolist() == list(range(len(names)))
     given = shards._sorted_answers([(3, [None, (3, -2, "t", [3], []), (3, 5, "t", [2, 0], [b"x", b"y"])])])
     assert list(given) == [[("t", 5, b"y")], [], [("t", 5, b"x")]]
+
+
+def test_longest_match_is_the_earliest_of_equal_ones(spark, monkeypatch):
+    """Whatever block of the benchmark, or step of a search, meets it first."""
+    words = [" ".join(f"{c}{i}" for i in range(12)) for c in "abc"]
+    docs = spark.createDataFrame([(1, "x " + " y ".join(words))], "doc_id int, text string")
+    bench = spark.createDataFrame([(i, t) for i, t in enumerate(reversed(words))], "item_id int, text string")
+    for block_bytes in (1, 1 << 20):
+        row = decontaminate.mark(docs, bench, block_bytes=block_bytes).first()
+        assert (row.longest_match, row.longest_at, row.n_items) == (12, 1, 3)
