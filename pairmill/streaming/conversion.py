@@ -120,6 +120,8 @@ def drained(tasks: DataFrame, documents: DataFrame, bucket: str) -> DataFrame:
     spark = tasks.sparkSession
     home = fresh_path(spark, "stream-replies")
     drain(tasks, documents, bucket, f"{home}/table", f"{home}/checkpoint")
+    if not exists(spark, f"{home}/table"):  # no file, so no micro-batch
+        return spark.createDataFrame([], REPLY).drop("batch")
     return spark.read.parquet(f"{home}/table").drop("batch")
 
 

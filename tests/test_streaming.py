@@ -7,6 +7,8 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from pairmill.operators import jobs
+from pairmill.plans import tables
+from pairmill.plans.catalog import QUERIES
 from pairmill.session import publish
 from pairmill.streaming import completion, control, intake, pending
 from pairmill.streaming import conversion as stream_conversion
@@ -305,3 +307,29 @@ def test_no_marker_no_end(spark, tmp_path):
     tasks = intake.read_folder(spark, f"{tmp_path}/t/*", schema)
     with pytest.raises(TimeoutError):
         control.run_until_marker(tasks, lambda taken, n: None, f"{tmp_path}/gate", f"{tmp_path}/c", timeout=6)
+
+
+@pytest.mark.parametrize("as_folder", [False, True])
+def test_pages_may_be_a_folder_of_part_files(spark, tmp_path, as_folder):
+    """The streams over `pages.parquet` read all of it, be it one file or many."""
+    made = [(i, f"https://a.example/{i}", f"<p>page {i}</p>") for i in range(12)]
+    pages = spark.createDataFrame(made, tables.PAGE_STREAM)
+    pages.repartition(3).write.parquet(str(tmp_path / "pages.parquet"))
+    home = tmp_path
+    if not as_folder:
+        home = tmp_path / "one"
+        pages.coalesce(1).write.parquet(str(tmp_path / "single"))
+        home.mkdir()
+        next((tmp_path / "single").glob("part-*.parquet")).rename(home / "pages.parquet")
+    for name in ("stream_tasks", "stream_convert"):
+        assert QUERIES[name](spark, str(home)).count() == 12
+
+
+def test_stream_without_a_file_converts_nothing(spark, tmp_path):
+    spark.createDataFrame([], tables.PAGE_STREAM).write.parquet(str(tmp_path / "pages"))
+    for part in (tmp_path / "pages").glob("part-*"):
+        part.unlink()
+    tasks = intake.read_folder(spark, str(tmp_path / "pages"), tables.PAGE_STREAM)
+    tasks = tables.task_rows(tasks).withColumnRenamed("page_id", "task_no")
+    documents = spark.createDataFrame([("u", "<p>x</p>")], "url string, html string")
+    assert stream_conversion.drained(tasks, documents, "b").count() == 0
