@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from pairmill.functions.text import canonical_pair, decade_of
-from pairmill.operators import ngrams, pairs, scoring, skew
+from pairmill.operators import coded, ngrams, pairs, scoring, skew
 from pairmill.plans import counters, flow
 from pairmill.session import durable
 
@@ -286,3 +286,31 @@ def test_ranks_evaluate_their_input_once(spark):
     numbered = skew.number_rows(made, ["g"], ["id"], "n", "total")
     assert rows(numbered.groupBy("g").agg(F.max("n"), F.max("total"))) == [(0, 167, 167), (1, 167, 167), (2, 166, 166)]
     assert seen.value == 500
+
+
+@pytest.mark.parametrize("most", [0, 9, coded.CODES])
+def test_coded_counts_equal_plain_counts(spark, monkeypatch, most):
+    """Whether all, some or no words have a code, and however few events a task holds."""
+    monkeypatch.setattr(coded, "EVENTS", 50)
+    monkeypatch.setattr(coded, "TOKENS", 7)
+    made = [*some_documents(5), (90, None, None, "sun sun sun"), (91, "s", 1890, "tide"), (92, "s", 1995, None)]
+    docs = documents(spark, made)
+    marginals = durable(pairs.token_marginals(ngrams.text_token_events(docs)), "marginals")
+    codes = coded.word_codes(marginals, most)
+    counts = coded.spelled(coded.coded_pair_counts(docs, codes, ngrams.ORDER), codes)
+    others = pairs.pair_counts(coded.rare_pair_events(docs, codes, ngrams.ORDER))
+    assert (codes.table.count() > 0) == (most > 0) and codes.table.count() <= most
+    assert (counts.count() > 0, others.count() > 0) == (most > 0, most < coded.CODES)
+    plain = pairs.pair_counts(ngrams.text_pair_events(docs))
+    columns = ["decade", "w1", "w2", "c_pair"]
+    assert rows(counts.unionByName(others, allowMissingColumns=True), *columns) == rows(plain, *columns)
+    totals = pairs.totals_of(marginals)
+    table = flow.Counts(plain, marginals, totals, counts, others)
+    for rule in pairs.SELF_PAIRS:
+        assert rows(table.stats(rule)) == rows(pairs.pair_stats(plain, marginals, totals, rule))
+
+
+def test_text_pairs_pass_the_shuffle_as_numbers(spark):
+    plan = flow.from_text(documents(spark, some_documents())).weighted._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(dealt) == 1 and "pair#" in dealt[0] and "w1" not in dealt[0]
