@@ -314,3 +314,8 @@ def test_text_pairs_pass_the_shuffle_as_numbers(spark):
     plan = flow.from_text(documents(spark, some_documents())).weighted._jdf.queryExecution().executedPlan().toString()
     dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
     assert len(dealt) == 1 and "pair#" in dealt[0] and "w1" not in dealt[0]
+
+
+def test_ngram_counts_are_shuffled_once(spark):
+    plan = ngrams.ngram_counts(documents(spark, some_documents()))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
