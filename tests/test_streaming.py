@@ -333,3 +333,22 @@ def test_stream_without_a_file_converts_nothing(spark, tmp_path):
     tasks = tables.task_rows(tasks).withColumnRenamed("page_id", "task_no")
     documents = spark.createDataFrame([("u", "<p>x</p>")], "url string, html string")
     assert stream_conversion.drained(tasks, documents, "b").count() == 0
+
+
+def test_horizon_holds_many_replies_in_one_part(spark, tmp_path):
+    """Replies that share a part of the state are judged one by one, and leave it one by one."""
+    base = 1_700_000_000
+    files = [
+        [(1, 1, base), (1, 2, base + 50), (None, 1, base), (1, 1, base), (2, 1, None)],
+        [(1, 3, base + 100)],
+        [(1, 1, base), (1, 2, base + 50), (2, 1, None), (None, 1, base), (1, 4, base + 101)],
+    ]
+    folder, out, checkpoint = (str(tmp_path / n) for n in ("s", "out", "checkpoint"))
+    for number, made in enumerate(files):
+        table = spark.createDataFrame([(j, t, 1, False, at) for j, t, at in made], WIDE.replace("ts timestamp", "at bigint"))
+        table.withColumn("ts", F.timestamp_seconds("at")).drop("at").coalesce(1).write.parquet(f"{folder}/in{number}")
+        intake.drain(completion.within_horizon(stream(spark, folder), 70, parts=1), out, checkpoint)
+    found = told(spark.read.parquet(out), "local_id", "task_no", "kept")
+    kept = [(1, 1), (1, 2), (None, 1), (2, 1), (1, 3), (1, 4)]
+    late = [(1, 1), (None, 1)]
+    assert found == sorted([(*r, True) for r in kept] + [(*r, False) for r in late], key=repr)
