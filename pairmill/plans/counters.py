@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from pairmill.operators.pairs import weighted_stats
 from pairmill.operators.scoring import scored
 from pairmill.plans.flow import Counts
 from pairmill.session import durable
@@ -38,8 +39,10 @@ def counted_run(counts: Counts, run: str = "run") -> tuple[DataFrame, Counters]:
     counters = Counters(run)
     words = durable(counters.watch(counts.marginals, "words", singles=F.count_if(F.col("c_single") > 0)), "words")
     totals = durable(counters.watch(counts.totals, "decades"), "totals")
-    pairs = counters.watch(counts.pairs, "pairs", weight=F.sum("c_pair"))
-    stats = Counts(pairs, words, totals).stats()
+    # Pairs that come with the weights of their words need not join the word table.
+    weighted = counts.with_weights()
+    seen = counters.watch(counts.pairs if weighted is None else weighted, "pairs", weight=F.sum("c_pair"))
+    stats = Counts(seen, words, totals).stats() if weighted is None else weighted_stats(seen, totals)
     good = (F.col("c_w1") > 0) & (F.col("c_w2") > 0)
     kept = counters.watch(stats, "stats", positive=F.count_if(good))
     scores = durable(counters.watch(scored(kept), "scores"), "scores")

@@ -319,3 +319,33 @@ def test_text_pairs_pass_the_shuffle_as_numbers(spark):
 def test_ngram_counts_are_shuffled_once(spark):
     plan = ngrams.ngram_counts(documents(spark, some_documents()))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_pairs_of_rare_words_pass_one_shuffle(spark, monkeypatch):
+    """Pairs with a word without a code are dealt by that word, once, with any word table."""
+    monkeypatch.setattr(coded.word_codes, "__defaults__", (9,))
+    monkeypatch.setattr(coded, "PARTNERS", 3)
+    made = [*some_documents(5), (90, None, None, "sun sun sun"), (91, "s", 1890, "tide"), (92, "s", 1995, None)]
+    docs = documents(spark, made)
+    counts = flow.from_text(docs)
+    assert 0 < counts.weighted.count() < counts.pairs.count()
+    plain = pairs.pair_counts(ngrams.text_pair_events(docs))
+    assert rows(counts.pairs) == rows(plain) and rows(counts.with_weights().select(*plain.columns)) == rows(plain)
+    for small in (True, False):
+        monkeypatch.setattr(pairs, "fits_broadcast", lambda table, small=small: small)
+        for rule in pairs.SELF_PAIRS:
+            assert rows(counts.stats(rule)) == rows(pairs.pair_stats(plain, counts.marginals, counts.totals, rule))
+    # The partners of a rare word are dealt once, and its pairs meet all weights where they lie.
+    plan = counts.rare._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert [line for line in dealt if "REPARTITION_BY_COL" in line] and not any("w1" in line or "code" in line for line in dealt)
+    _, seen = counters.counted_run(counts, "r")
+    assert seen.of("pairs")["records"] == plain.count()
+
+
+def test_token_sums_equal_token_events(spark, monkeypatch):
+    monkeypatch.setattr(coded, "TOKENS", 7)
+    docs = documents(spark, [*some_documents(3), (90, None, None, "sun sun"), (91, "s", 1890, "tide"), (92, "s", 1995, None)])
+    for order in (1, 2, 5):
+        plain = pairs.token_marginals(ngrams.text_token_events(docs, order))
+        assert rows(pairs.token_marginals(coded.text_token_sums(docs, order))) == rows(plain)
