@@ -57,38 +57,42 @@ def lookup(rows: DataFrame, stored: DataFrame, keys: Sequence[str], how: str = "
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """`node, component`: the smallest node that a node reaches over `a, b` edges.
 
-    Each round every node hands its smallest neighbour to all others it has, until
-    nothing changes (the rounds grow with the logarithm of the longest path). Edges are
-    stored in the shared folder after each round; groups are summed before the shuffle.
+    Each round every node points at the least of itself and its neighbours, pointers are
+    doubled until all lead to the end, and each edge goes on between the ends of its nodes,
+    once, unless both have one end. An end that no node points at has a lesser neighbour
+    then, so two rounds at least halve the nodes that have edges. All steps are stored in
+    the shared folder.
     """
-    both = edges.select("a", "b").where("a <> b")
-    links = durable(both.union(both.select("b", "a")).distinct(), label)
-    least = durable(_least(links), label)
+    a, b = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    links = durable(edges.where("a <> b").select(a, b).distinct(), label)
+    found = None
     while True:
-        # Every node points at its neighbourhood's least; then pointers are doubled.
-        jumped = (
-            least.alias("x")
-            .join(least.alias("y"), F.col("x.component") == F.col("y.node"))
-            .select(F.col("x.node").alias("node"), F.col("y.component").alias("component"))
-        )
-        hooked = links.join(least, links["b"] == least["node"]).select(
-            F.col("a").alias("node"), "component"
-        )
-        # The least of a pointed-at node also falls when one of its followers finds less.
-        offers = hooked.union(jumped)
-        roots = (
-            least.withColumnRenamed("component", "root")
-            .join(offers.groupBy("node").agg(F.min("component").alias("c")), "node")
-            .select(F.col("root").alias("node"), F.col("c").alias("component"))
-        )
-        after = durable(
-            offers.union(roots).union(least).groupBy("node").agg(F.min("component").alias("component")),
-            label,
-        )
-        changed = after.join(least, ["node", "component"], "left_anti").limit(1).count()
-        least = after
-        if not changed:
-            return least
+        both = links.union(links.select("b", "a"))
+        ends = _ends(durable(_least(both), label), label)
+        if found is None:
+            found = ends
+        else:
+            further = ends.select(F.col("node").alias("component"), F.col("component").alias("_end"))
+            moved = lookup(found, further, ["component"])
+            found = durable(moved.select("node", F.coalesce("_end", "component").alias("component")), label)
+        for side in ("a", "b"):
+            end = ends.select(F.col("node").alias(side), F.col("component").alias("_end"))
+            links = lookup(links, end, [side], "inner").drop(side).withColumnRenamed("_end", side)
+            links = durable(links, label) if side == "a" else links
+        links = durable(links.where("a <> b").select(a, b).distinct(), label)
+        if links.isEmpty():
+            return found
+
+
+def _ends(pointers: DataFrame, label: str) -> DataFrame:
+    """Stored `node, component` pointers to lesser nodes, each followed to its end."""
+    while True:
+        ahead = pointers.select(F.col("node").alias("component"), F.col("component").alias("_end"))
+        jumped = lookup(pointers, ahead, ["component"], "inner").select("node", F.col("_end").alias("component"), (F.col("_end") != F.col("component")).alias("_moved"))
+        jumped = durable(jumped, label)
+        pointers = jumped.drop("_moved")
+        if jumped.where("_moved").isEmpty():
+            return pointers
 
 
 def _least(links: DataFrame) -> DataFrame:
