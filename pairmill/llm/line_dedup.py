@@ -13,10 +13,11 @@ that side). Lines that meet are verified with a bit-parallel edit distance in a
 
 Lines of a large group of near copies differ in a word or two and share segments with all
 of the group. In a segment of more than `CROWD` lines they meet under second keys that all
-lines within `edits` share, so no pair is lost. If the edits are replacements alone, no sign
-moves, and one of `edits + 1` classes of places has the same signs in both lines. Else at
-least one edit inserts or deletes and touches one class of signs, where a replacement touches
-two: of `2 * edits` classes some are equal, as many as the lengths of the lines tell.
+lines within `edits` share, so no pair is lost; a line makes a bounded number of them. If the
+edits are replacements alone, no sign moves, and one of `edits + 1` classes of places has the
+same signs in both lines. Else at least one edit inserts or deletes and touches one class of
+signs, where a replacement touches two: of `2 * edits` classes some are equal, as many as the
+lengths of the lines tell.
 
 Defined cases: a null text stays null and an empty one empty; each row is a document of its
 own, under a row key stored with it, so of rows that repeat a doc_id the one with the
@@ -39,7 +40,8 @@ EDITS = 2
 MIN_CHARS = 20
 LAST_ID = (1 << 63) - 1
 
-# In a segment with more lines than these they meet under second keys; it changes no result.
+# In a segment with more lines than these, and index lines than a quarter of it, they meet under
+# second keys; it changes no result. Other segments make that many pairs at most for each line.
 CROWD = 16
 
 
@@ -192,19 +194,29 @@ def class_hashes(line: Column, edits: int) -> tuple[Column, Column]:
     return places, F.array(*[of_signs(i) for i in range(classes)]).cast("array<bigint>")
 
 
-def second_keys(places: Column, signs: Column, delta: int, edits: int) -> list[Column]:
-    """What a line shares with one that is `delta` signs longer or shorter and within `edits`.
+def second_keys(places: Column, signs: Column, edits: int) -> tuple[list[Column], dict[int, list[Column]]]:
+    """What a line may share with one within `edits`: places, and as many classes of signs as given.
+
+    A list of classes is one list for all lengths of the other line, so it is made once.
+    """
+    at_places = [F.xxhash64(F.lit(-1 - i), F.get(places, F.lit(i))) for i in range(edits + 1)]
+    of_signs = {
+        equal: [
+            F.xxhash64(F.lit(equal), F.lit(j), *[F.get(signs, F.lit(i)) for i in chosen])
+            for j, chosen in enumerate(combinations(range(2 * edits), equal))
+        ]
+        for equal in range(1, edits + 1)
+    }
+    return at_places, of_signs
+
+
+def equal_classes(delta: int) -> int:
+    """Classes of signs that are equal at least in lines within the edits, one `delta` signs longer.
 
     `delta` edits at least insert or delete; two, if there are any in lines of one length.
+    Of 2 * edits classes 2 * edits less their number may be touched.
     """
-    keys = [F.xxhash64(F.lit(-1 - i), F.get(places, F.lit(i))) for i in range(edits + 1)] if delta == 0 else []
-    shifts = delta or 2
-    if shifts <= edits:
-        equal = shifts  # of 2 * edits classes, 2 * edits - shifts may be touched
-        for j, chosen in enumerate(combinations(range(2 * edits), equal)):
-            same = [F.get(signs, F.lit(i)) for i in chosen]
-            keys.append(F.xxhash64(F.lit(delta), F.lit(j), *same))
-    return keys
+    return delta or 2
 
 
 def _meet(rows: DataFrame) -> DataFrame:
@@ -217,25 +229,39 @@ def _meet(rows: DataFrame) -> DataFrame:
     )
 
 
+def _second_rows(rows: DataFrame, hashed: DataFrame, edits: int) -> DataFrame:
+    """`k, h, is_index, probes`: the second keys of `k, h, role` rows."""
+    at_places, of_signs = second_keys(F.col("places"), F.col("classes"), edits)
+    entry = lambda key, is_index, probes: F.struct(
+        key.alias("mark"), F.lit(is_index).alias("is_index"), F.lit(probes).alias("probes")
+    )
+    # An index line has keys for partners of each length, and probes those of its own length.
+    own = [entry(key, True, True) for key in at_places]
+    own += [entry(key, True, n == equal_classes(0)) for n, keys in of_signs.items() for key in keys]
+    entries = F.when(F.col("role") == 0, F.array(*own))
+    # A probe for its own length has moved by a sign or more, so edits insert and delete.
+    for delta in range(edits + 1):
+        if keys := of_signs.get(equal_classes(delta)):
+            entries = entries.when(F.col("role") == delta + 1, F.array(*[entry(key, False, True) for key in keys]))
+    narrow = rows.join(hashed, "h").select("k", "h", F.inline(entries))
+    return narrow.select(F.xxhash64("k", "mark").alias("k"), "h", "is_index", "probes")
+
+
 def _meet_in_crowds(rows: DataFrame, signs: DataFrame, edits: int) -> DataFrame:
     """`a, b`: of `k, h, role` rows those lines that also share a second key."""
     chosen = signs.join(rows.select("h").distinct(), "h", "left_semi")
     places, classes = class_hashes(F.col("line"), edits)
     hashed = durable(chosen.select("h", places.alias("places"), classes.alias("classes")), "class-hashes")
-    # An index line has keys for partners of each length, and is itself one for its own length.
-    entry = lambda key, delta: F.struct(
-        key.alias("mark"), (F.col("role") == 0).alias("is_index"), F.lit(delta == 0).alias("index_probes")
+    # The keys are made and dealt once, and only those that lines share are stored.
+    dealt = _second_rows(rows, hashed, edits).repartition("k")
+    shared = dealt.groupBy("k").agg(
+        F.min("h").alias("low"),
+        F.max("h").alias("high"),
+        F.max("is_index").alias("indexed"),
+        F.max("probes").alias("probed"),
     )
-    by_delta = [
-        F.array(*[entry(key, d) for key in second_keys(F.col("places"), F.col("classes"), d, edits)])
-        for d in range(edits + 1)
-    ]
-    entries = F.when(F.col("role") == 0, F.concat(*by_delta))
-    for d, keys in enumerate(by_delta):
-        entries = entries.when(F.col("role") == d + 1, keys)
-    narrow = rows.join(hashed, "h").select("k", "h", F.inline(entries))
-    probes = (~F.col("is_index") | F.col("index_probes")).alias("probes")
-    return _meet(narrow.select(F.xxhash64("k", "mark").alias("k"), "h", "is_index", probes))
+    shared = shared.where("low <> high and indexed and probed").select("k")
+    return _meet(durable(dealt.join(shared.hint("shuffle_hash"), "k"), "shared-second-keys"))
 
 
 def _by_row(places: DataFrame) -> DataFrame:
@@ -294,10 +320,11 @@ def removed_lines(
     shared = rows.groupBy("k").agg(
         F.min("h").alias("low"),
         F.max("h").alias("high"),
-        (F.min("role") == 0).alias("any"),
-        (F.count(F.lit(1)) > crowd).alias("crowded"),
+        F.sum((F.col("role") == 0).cast("int")).alias("indexed"),
+        F.count(F.lit(1)).alias("n"),
     )
-    shared = shared.where("low <> high and any").select("k", "crowded")
+    crowded = (F.col("n") > crowd) & (F.col("indexed") > crowd // 4)
+    shared = shared.where("low <> high and indexed > 0").withColumn("crowded", crowded).select("k", "crowded")
     met = durable(rows.join(shared.hint("shuffle_hash"), "k"), "shared-segments")
 
     # Texts of the lines that meet another one, from their first places.

@@ -170,6 +170,55 @@ def test_lines_of_crowded_segments(spark):
         same(lines_op.dedup(docs, crowd=crowd).select("doc.doc_id", "kept").collect(), expected)
 
 
+def test_second_keys_grow_with_the_lines(spark, monkeypatch):
+    """A line of a crowded segment has 13 keys at most; keys of one line alone are not stored."""
+    stored = {}
+
+    def watched(df, label):
+        stored[label] = durable(df, label)
+        return stored[label]
+
+    monkeypatch.setattr(lines_op, "durable", watched)
+    made = []
+    for n in (40, 80):
+        rng = random.Random(n)
+        some = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n)]
+        head = "Lines of a large group begin with a text that all have,"
+        lines = [f"{head} {w}{'x' * (i % 3)}" for i, w in enumerate(some)]
+        lines += [f"{line[:-1]}y" for line in lines[: n // 4]]
+        docs = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "doc_id long, text string").coalesce(1)
+        found = lines_op.dedup(docs, crowd=0).select("doc.doc_id", "kept").collect()
+        same(found, line_dedup(list(enumerate(lines))))
+        crowds = stored["shared-segments"].where("crowded")
+        keys = lines_op._second_rows(crowds, stored["class-hashes"], 2).groupBy("k")
+        keys = keys.agg(F.countDistinct("h").alias("n"), F.count(F.lit(1)).alias("rows")).collect()
+        made.append(sum(r["rows"] for r in keys))
+        assert 0 < made[-1] <= 13 * crowds.count()
+        shared = stored["shared-second-keys"].select("k").distinct().count()
+        assert 0 < shared <= sum(r["n"] > 1 for r in keys) < len(keys)
+    assert made[1] < 2.5 * made[0]
+
+
+@pytest.mark.parametrize("most", [1, 3])
+def test_lines_of_crowded_segments_by_edits(spark, most):
+    rng = random.Random(most)
+    lines = []
+    for _ in range(30):
+        words = [f"{w}{w}é" for w in "abcdefgh"]
+        words[rng.randrange(8)] = "".join(rng.choice("abcd") for _ in range(5))
+        lines.append(" ".join(words))
+    for line in list(lines):
+        for _ in range(rng.randrange(1, most + 2)):
+            at = rng.randrange(len(line))
+            line = line[:at] + rng.choice(["", "x", "y"]) + line[at + rng.randrange(0, 2) :]
+        lines.append(line)
+    rows = list(enumerate(lines))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    expected = line_dedup(rows, most=most)
+    assert 5 < sum(not k for _, k in expected) < len(rows)
+    same(lines_op.dedup(docs, edits=most, crowd=0).select("doc.doc_id", "kept").collect(), expected)
+
+
 def test_line_dedup_by_row(spark):
     """Rows without an id, or with one id, are documents of their own."""
     a, b, c = (f"A line of its own, number {x * 9}." for x in "abc")
