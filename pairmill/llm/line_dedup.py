@@ -67,38 +67,43 @@ def _different(rows: DataFrame, listed: str) -> DataFrame:
     return _picked(split, F.array_except(numbers, gone))
 
 
-def _segment(n: Column, i: int, edits: int) -> tuple[Column, Column]:
+def _segment(n: Column, i: Column, edits: int) -> tuple[Column, Column]:
     """Start (from 1) and length of segment i of a line of n signs; later ones are longer."""
     parts = edits + 1
     base, more = F.floor(n / parts).cast("int"), n % parts
-    start = base * (i - 1) + F.greatest(F.lit(0), more - (parts - i + 1)) + 1
-    return start, base + F.when(more >= parts - i + 1, 1).otherwise(0)
+    start = base * (i - 1) + F.greatest(F.lit(0), more + i - (parts + 1)) + 1
+    return start, base + F.when(more + i >= parts + 1, 1).otherwise(0)
 
 
-def _key(i: int, size: Column, text: Column) -> Column:
-    return F.xxhash64(F.lit(i), size, text)
+def segment_places(edits: int) -> list[dict[str, int]]:
+    """Where a line is cut for its keys: segment i of lines `delta` signs shorter, moved by `shift`.
+
+    Role 0 is an index key (and a probe for lines as long); 1 + d probes for lines d signs shorter.
+    """
+    return [
+        {"delta": delta, "i": i, "shift": shift, "role": 0 if delta == shift == 0 else delta + 1}
+        for delta in range(edits + 1)
+        for i in range(1, edits + 2)
+        for shift in range(1 - i, i)
+        if abs(shift - delta) <= edits + 1 - i
+    ]
 
 
-def segment_keys(line: Column, n: Column, edits: int) -> tuple[list[Column], list[tuple[Column, int]]]:
-    """Keys under which a line is indexed, and the other keys that it probes, for lines how much shorter.
+def segment_keys(sized: DataFrame, edits: int) -> DataFrame:
+    """`k, h, role`: the keys under which `line, h, n` rows are indexed and probe.
 
-    The probes of its own segments at their own places are its index keys.
+    The places are rows, so that one key's code serves all of them. The code of all keys side by
+    side is a method longer than the JVM compiles.
     """
-    index, probes = [], []
-    for delta in range(edits + 1):
-        size = (n - delta).cast("int")
-        for i in range(1, edits + 2):
-            start, length = _segment(size, i, edits)
-            for shift in range(-(i - 1), i):
-                if abs(shift - delta) > edits + 1 - i:
-                    continue
-                key = _key(i, size, F.substring(line, start + shift, length))
-                if delta == 0 and shift == 0:
-                    index.append(key)
-                else:
-                    place = (start + shift >= 1) & (start + shift + length - 1 <= n)
-                    probes.append((F.when(place, key), delta))
-    return index, probes
+    places = F.array(
+        *[F.struct(*[F.lit(v).alias(name) for name, v in place.items()]) for place in segment_places(edits)]
+    )
+    size = F.col("n") - F.col("delta")
+    start, length = _segment(size, F.col("i"), edits)
+    start = start + F.col("shift")
+    cut = sized.select("line", "h", "n", F.inline(places)).where((start >= 1) & (start + length - 1 <= F.col("n")))
+    key = F.xxhash64("i", size, F.substring("line", start, length))
+    return cut.select(key.alias("k"), "h", "role")
 
 
 def _automaton(a: Column, b: Column, edits: int, steps: Column) -> Column:
@@ -312,11 +317,7 @@ def removed_lines(
     # Index and probes of the different lines, in one shuffle.
     different = _different(lookup(docs, repeats, ["row"]), "_listed").where(long)
     sized = different.select("line", F.xxhash64("line").alias("h"), F.length("line").alias("n"))
-    index, probes = segment_keys(F.col("line"), F.col("n"), edits)
-    # Role 0 is an index key (and a probe for lines as long); 1 + d probes for lines d signs shorter.
-    entry = lambda key, role: F.struct(key.alias("k"), F.lit(role).alias("role"))
-    entries = F.array(*[entry(k, 0) for k in index], *[entry(k, d + 1) for k, d in probes])
-    rows = sized.select("h", F.inline(entries)).where("k is not null").repartition("k")
+    rows = segment_keys(sized, edits).repartition("k")
     shared = rows.groupBy("k").agg(
         F.min("h").alias("low"),
         F.max("h").alias("high"),

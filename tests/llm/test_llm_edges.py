@@ -199,6 +199,29 @@ def test_second_keys_grow_with_the_lines(spark, monkeypatch):
     assert made[1] < 2.5 * made[0]
 
 
+def test_code_of_each_step_on_lines_is_compiled(spark, monkeypatch, capsys):
+    """The JVM leaves methods of more than 8000 bytes to its interpreter."""
+    longest = {}
+
+    def watched(df, label):
+        stored = durable(df, label)
+        capsys.readouterr()
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        df.select("*").explain("codegen")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        sizes = re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)
+        longest[label] = max(map(int, sizes), default=0)
+        return stored
+
+    monkeypatch.setattr(lines_op, "durable", watched)
+    lines = [f"A line that many documents have, number {i % 37:04}{'x' * (i % 3)}" for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string").coalesce(1)
+    found = lines_op.dedup(docs, crowd=0).select("doc.doc_id", "kept").collect()
+    same(found, line_dedup(list(enumerate(lines))))
+    assert longest["shared-segments"] > 0
+    assert not {label: size for label, size in longest.items() if size >= 8000}
+
+
 @pytest.mark.parametrize("most", [1, 3])
 def test_lines_of_crowded_segments_by_edits(spark, most):
     rng = random.Random(most)
