@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pairmill.llm.common import lookup
 from pairmill.session import durable
 
 LEAST_LETTERS = 5
@@ -156,15 +157,17 @@ def refined_grams(hot: DataFrame) -> DataFrame:
 def near_pairs(words: DataFrame, least: int = LEAST_LETTERS, hot_chunk: int = HOT_CHUNK) -> DataFrame:
     """`word, n, other, other_n`: each pair of words one edit apart, once.
 
-    `words` is a stored table `word, n` of distinct words of `least` code points or more.
+    `words` is a stored table `word, n` of distinct words of `least` code points or more. Its
+    chunks and grams are many rows for each word, which Spark's estimate does not know: it
+    would broadcast them by the size of the word table. They are joined through the shuffle.
     """
     key = ["l", "part", "chunk"]
     one, other = chunks(words), grams(words, least)
     hot = durable(one.groupBy(*key).agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > hot_chunk), "hot-chunks")
-    marked = F.broadcast(hot.select(*key)) if _few(hot) else hot.select(*key)
+    marked = hot.select(*key).hint("broadcast" if _few(hot) else "merge")
 
     def verified(a: DataFrame, b: DataFrame, on: list[str]) -> DataFrame:
-        met = a.join(b, on).where("l < length(other) or word < other")
+        met = a.hint("merge").join(b, on).where("l < length(other) or word < other")
         return met.where(F.levenshtein("word", "other", 1) == 1).select("word", "n", "other", "other_n")
 
     cold = verified(one.join(marked, key, "left_anti"), other, key)
@@ -191,7 +194,7 @@ def roots(links: DataFrame) -> DataFrame:
     while True:
         further = known.select(F.col("word").alias("root"), F.col("root").alias("next"))
         # Doubled steps: the root so far leads to its own root so far.
-        after = known.join(further, "root", "left")
+        after = lookup(known, further, ["root"])
         after = durable(
             after.select(
                 "word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")
@@ -213,7 +216,7 @@ def group(words: DataFrame, least: int = LEAST_LETTERS, times: int = TIMES, hot_
     near = (
         pairs.unionByName(turned).groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), best.alias("best"))
     )
-    joined = words.join(near, "word", "left")
+    joined = words.join(near.hint("merge"), "word", "left")
     found = durable(
         joined.select(
             "word",
@@ -225,7 +228,7 @@ def group(words: DataFrame, least: int = LEAST_LETTERS, times: int = TIMES, hot_
         "forms",
     )
     last = roots(found.where("form is not null"))
-    return found.join(last, "word", "left").select(
+    return lookup(found, last, ["word"]).select(
         "word", "n", "n_near", "form", "form_n", F.coalesce("root", "word").alias("root")
     )
 

@@ -169,6 +169,16 @@ def test_spelling_finds_every_pair(spark, hot):
     assert grouped(spelling.group(table, hot_chunk=hot)) == plain_groups(words)
 
 
+def test_spelling_sends_no_exploded_table(spark, tmp_path):
+    """Spark's estimate of chunks and grams is that of the words; only the hot chunks, which are counted, are broadcast."""
+    words = [(f"{a}{b}house", a * 20 + b) for a in range(9) for b in range(9)]
+    spark.createDataFrame(words, "word string, n bigint").write.parquet(f"{tmp_path}/words")
+    found = spelling.near_pairs(spark.read.parquet(f"{tmp_path}/words"), hot_chunk=1)
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    joins = re.findall(r"(\w+Join) .*(Inner|LeftAnti|LeftSemi)", plan)
+    assert sorted(joins) == [("BroadcastHashJoin", "LeftAnti")] + 2 * [("BroadcastHashJoin", "LeftSemi")] + 2 * [("SortMergeJoin", "Inner")]
+
+
 def test_spelling_edge_cases(spark, monkeypatch):
     monkeypatch.setattr(spelling, "PIECE", 64)
     monkeypatch.setattr(spelling, "HELD_WORDS", 5)
