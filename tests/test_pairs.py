@@ -3,9 +3,12 @@
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 from itertools import combinations
 
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from conftest import rows
 from hypothesis import given, settings
@@ -310,6 +313,32 @@ def test_coded_counts_equal_plain_counts(spark, monkeypatch, most):
         assert rows(table.stats(rule)) == rows(pairs.pair_stats(plain, marginals, totals, rule))
 
 
+def test_pair_sums_take_one_array_of_events(spark, monkeypatch):
+    """Beside its array of events a task makes small arrays only."""
+    for name, size in (("EVENTS", 1 << 20), ("TOKENS", 1 << 14), ("SLICE", 1 << 12)):
+        monkeypatch.setattr(coded, name, size, raising=False)
+    taken = []
+
+    class Text:
+        def mapInArrow(self, function, schema):
+            taken.append(function)
+            raise InterruptedError
+
+    monkeypatch.setattr(coded, "_tokenized", lambda documents: Text())
+    words, rng = [f"w{i}" for i in range(500)], random.Random(3)
+    codes = coded.word_codes(spark.createDataFrame([(9, w, 7) for w in words], "decade int, w string, c_w bigint"))
+    with pytest.raises(InterruptedError):
+        coded.coded_pair_counts(None, codes, 5)
+    texts = [rng.choices(words, k=1000) for _ in range(400)]
+    batch = pa.RecordBatch.from_arrays([pa.array([9] * 400, pa.int32()), pa.array(texts)], names=["decade", "t"])
+    tracemalloc.start()
+    total = sum(pc.sum(made["c"]).as_py() for made in taken[0](iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert total == 400 * 996 * 10
+    assert peak < 2 * 8 * coded.EVENTS
+
+
 def test_text_pairs_pass_the_shuffle_as_numbers(spark):
     plan = flow.from_text(documents(spark, some_documents())).weighted._jdf.queryExecution().executedPlan().toString()
     dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]

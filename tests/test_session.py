@@ -63,3 +63,15 @@ def test_shuffles_grow_with_the_input(spark):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "819200"
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_batches_of_documents_are_bounded(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for held, bounded in (("10000", "1000"), ("0", "1000"), ("70", "70")):
+            spark.conf.set(key, held)
+            session.bound_batches(spark)
+            assert spark.conf.get(key) == bounded
+    finally:
+        spark.conf.set(key, before)
